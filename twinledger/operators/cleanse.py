@@ -35,8 +35,14 @@ def drop_blank_ids(raw: DataFrame, strict: bool = True) -> DataFrame:
     only the trade id and the instrument are checked.
     """
     ids = [c for c in (STRICT_IDS if strict else BASIC_IDS) if c in raw.columns]
+    unchecked = [c for c in STRICT_IDS if c in raw.columns and c not in ids]
     present = reduce(lambda a, b: a & b, [_id_present(c, strict) for c in ids])
-    return raw.filter(present).withColumns({c: strip_ws(F.col(c)) for c in ids})
+    return raw.filter(present).withColumns(
+        {
+            **{c: strip_ws(F.col(c)) for c in ids},
+            **{c: F.when(~F.col(c).isin(NULL_TOKENS), F.col(c)) for c in unchecked},
+        }
+    )
 
 
 def coerce_numbers(df: DataFrame) -> DataFrame:

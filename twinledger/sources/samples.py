@@ -35,7 +35,7 @@ def _iso(ts: Column) -> Column:
     return format_iso_utc(ts.cast("timestamp"))
 
 
-def _raw_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _raw_view(spark: SparkSession, sf_dir: str, more_dirt: bool = False) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").join(
         table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")
     )
@@ -44,10 +44,9 @@ def _raw_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     ) % 100
     shipped = F.col("l_shipdate").cast("timestamp")
     order, line = F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")
-    return lines.select(
-        F.when(b.between(4, 6), "")
-        .otherwise(F.concat(F.lit("TRD-"), order, F.lit("-"), line))
-        .alias("trade_id"),
+    trade_id = F.concat(F.lit("TRD-"), order, F.lit("-"), line)
+    feed = lines.select(
+        F.when(b.between(4, 6), "").otherwise(trade_id).alias("trade_id"),
         F.when(b.between(7, 9), "").otherwise(F.col("p_brand")).alias("instrument"),
         F.when(b.between(10, 13), "")
         .when(b == 14, "-150.0")
@@ -72,7 +71,38 @@ def _raw_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_partkey").alias("arr_part"),
         F.col("l_orderkey").alias("arr_order"),
         F.col("l_linenumber").alias("arr_line"),
+        b.alias("_b"),
     )
+    if more_dirt:
+        feed = feed.withColumns(
+            {c: _more_dirt(F.col(c), dirt, F.col("_b")) for c, dirt in _MORE_DIRT.items()}
+        ).withColumn(
+            "timestamp",
+            F.when(F.col("_b") == 37, F.concat(F.substring("timestamp", 1, 19), F.lit("+02:00")))
+            .when(F.col("_b") == 38, F.date_format("arr_ship", "MM/dd/yyyy HH:mm"))
+            .otherwise(F.col("timestamp")),
+        )
+    return feed.drop("_b")
+
+
+# Texts that further buckets carry in the dirtier feed; ``{}`` stands for the clean value.
+_MORE_DIRT = {
+    "trade_id": {26: "\t{} ", 39: "none", 40: "NA"},
+    "instrument": {27: "NaN "},
+    "buy_order_id": {28: "null"},
+    "sell_order_id": {29: "None"},
+    "price": {30: "1e3", 31: "10d", 32: "inf", 33: " 12.5 "},
+    "quantity": {34: "0.5", 35: "10.7", 36: "1_000"},
+}
+
+
+def _more_dirt(clean: Column, dirt: dict[int, str], b: Column) -> Column:
+    value = clean
+    for bucket, text in dirt.items():
+        head, _, tail = text.partition("{}")
+        dirty = F.concat(F.lit(head), clean, F.lit(tail)) if "{}" in text else F.lit(text)
+        value = F.when(b == bucket, dirty).otherwise(value)
+    return value
 
 
 # Tables built once per session and data folder: (application, folder, name) to what was built.
@@ -93,6 +123,16 @@ def raw_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dirty_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw feed with more kinds of dirt: padding, null words, odd numbers, other layouts."""
+    return _once(
+        use_utc(spark),
+        sf_dir,
+        "dirty",
+        lambda: materialize(_raw_view(spark, sf_dir, more_dirt=True), "dirty_feed"),
+    )
+
+
 def clean_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleanse_trades(raw_trades(spark, sf_dir), ARRIVAL)
 
@@ -146,6 +186,49 @@ def stores(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return read_store(spark, legacy), read_store(spark, cloud)
 
 
+def outage_days(spark: SparkSession) -> DataFrame:
+    """The outage days as intervals over the text of a timestamp."""
+    return spark.range(0, 1, 1, 1).select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(kind).alias("kind"),
+                        F.lit(f"{start}T00:00:00Z").alias("start"),
+                        F.lit(f"{end}T00:00:00Z").alias("end"),
+                    )
+                    for kind, start, end in OUTAGE_DAYS
+                ]
+            )
+        )
+    )
+
+
+def drill_cuts(n: int) -> list[int]:
+    """Positions at which a drill over n trades is delivered: four parts."""
+    return [i * n // 4 for i in range(5)]
+
+
+def drill_outages(spark: SparkSession, n: int) -> DataFrame:
+    """An outage in the third quarter of a feed and a halt near its end."""
+    return spark.range(0, 1, 1, 1).select(
+        F.inline(
+            F.array(
+                F.struct(
+                    F.lit("PARTITION").alias("kind"),
+                    F.lit(n // 2).cast("long").alias("start"),
+                    F.lit(3 * n // 4).cast("long").alias("end"),
+                ),
+                F.struct(
+                    F.lit("HALT").alias("kind"),
+                    F.lit(7 * n // 8).cast("long").alias("start"),
+                    F.lit(15 * n // 16).cast("long").alias("end"),
+                ),
+            )
+        )
+    )
+
+
 def fresh_store(spark: SparkSession, name: str) -> str:
     path = scratch_dir(spark, name)
     create_store(spark, path)

@@ -83,10 +83,11 @@ def telemetry_snapshot(
         ),
         "recent_logs": tail.agg(F.sort_array(F.collect_list(F.struct("*"))).alias("v")),
     }
-    row = None
+    stacked = None
     for name, part in parts.items():
-        named = part.select(F.lit(1).alias("_one"), F.col("v").alias(name))
-        row = named if row is None else row.join(named, "_one", "left")
+        named = part.select(F.col("v").alias(name))
+        stacked = named if stacked is None else stacked.unionByName(named, allowMissingColumns=True)
+    row = stacked.agg(*[F.first(name, ignorenulls=True).alias(name) for name in parts])
     target = F.when(F.col("state.is_streaming"), F.col("state.target_rate")).otherwise(0)
     return row.select(
         "audit.legacy_count",
