@@ -20,13 +20,15 @@ def flag_intervals(
     tie_break: list[str] | None = None,
     few: int = FEW_INTERVALS,
     width: int = BLOCK_WIDTH,
+    unique_axis: bool | None = None,
 ) -> DataFrame:
     """Add a boolean column ``flag``: the row's ``axis`` value lies in an interval of ``kind``.
 
     ``intervals`` has ``kind``, ``start`` and ``end`` (end excluded); those of one kind must not
     overlap. A few intervals are broadcast as a range join. More are merged into the feed's
-    order and carried forward to the rows behind them, which costs one sort whatever their
-    number and however the rows bunch up.
+    order and carried forward to the rows behind them, whatever their number and however the
+    rows bunch up. On an axis of unique whole numbers (as feed positions are) the merged order
+    needs no sort.
     """
     wanted = intervals.filter(F.col("kind") == kind).select("start", "end")
     if wanted.limit(few + 1).count() <= few:
@@ -41,10 +43,16 @@ def flag_intervals(
         F.col("end").alias("_end"),
         F.lit(0).alias("_is_row"),
     )
-    rows = feed.select("*", F.lit(None).cast(marks.schema["_end"].dataType).alias("_end"),
-                       F.lit(1).alias("_is_row"))
-    order = [axis, "_is_row", *(tie_break or [])]
-    timeline = with_position(rows.unionByName(marks), order, "_position")
+    rows = feed.select(
+        "*",
+        F.lit(None).cast(marks.schema["_end"].dataType).alias("_end"),
+        F.lit(1).alias("_is_row"),
+    )
+    merged = rows.unionByName(marks)
+    if unique_axis if unique_axis is not None else axis == "ingest_seq":
+        timeline = merged.withColumn("_position", F.col(axis) * 2 + F.col("_is_row"))
+    else:
+        timeline = with_position(merged, [axis, "_is_row", *(tie_break or [])], "_position")
     open_until = scan_forward(
         timeline, "_position", lasts={"_open_until": F.col("_end")}, width=width
     )

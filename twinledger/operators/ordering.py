@@ -54,34 +54,34 @@ def scan_forward(
     """Add running sums and last non-null values along ``seq``, the current row included.
 
     ``seq`` must be unique and whole. ``width`` is the number of positions per block: N rows
-    give about N / width block rows for the global level.
+    give about N / width block rows for the global level. The values within blocks are written
+    once, and what each block hands on is read off its last row.
     """
     sums, lasts = sums or {}, lasts or {}
-    blocked = df.withColumn("_block", F.floor(F.col(seq) / width).cast("long"))
-
     within = (
         Window.partitionBy("_block").orderBy(seq).rowsBetween(Window.unboundedPreceding, 0)
     )
-    local = blocked.select(
-        "*",
-        *[F.coalesce(F.sum(c).over(within), F.lit(0)).alias(f"_s_{n}") for n, c in sums.items()],
-        *[F.last(c, ignorenulls=True).over(within).alias(f"_l_{n}") for n, c in lasts.items()],
+    local = materialize(
+        df.withColumn("_block", F.floor(F.col(seq) / width).cast("long")).select(
+            "*",
+            *[F.coalesce(F.sum(c).over(within), F.lit(0)).alias(f"_in_{n}") for n, c in sums.items()],
+            *[F.last(c, ignorenulls=True).over(within).alias(f"_in_{n}") for n, c in lasts.items()],
+        ),
+        "blocks",
     )
-
-    totals = blocked.groupBy("_block").agg(
-        *[F.sum(c).alias(f"_t_{n}") for n, c in sums.items()],
-        *[F.max_by(c, F.when(c.isNotNull(), F.col(seq))).alias(f"_e_{n}") for n, c in lasts.items()],
+    ends = local.groupBy("_block").agg(
+        *[F.max_by(f"_in_{n}", seq).alias(f"_end_{n}") for n in [*sums, *lasts]]
     )
     before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select(
+    carried = ends.select(
         "_block",
-        *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_cs_{n}") for n in sums],
-        *[F.last(f"_e_{n}", ignorenulls=True).over(before).alias(f"_cl_{n}") for n in lasts],
+        *[F.coalesce(F.sum(f"_end_{n}").over(before), F.lit(0)).alias(f"_to_{n}") for n in sums],
+        *[F.last(f"_end_{n}", ignorenulls=True).over(before).alias(f"_to_{n}") for n in lasts],
     )
     return local.join(carried, "_block").select(
         *df.columns,
-        *[(F.col(f"_cs_{n}") + F.col(f"_s_{n}")).alias(n) for n in sums],
-        *[F.coalesce(f"_l_{n}", f"_cl_{n}").alias(n) for n in lasts],
+        *[(F.col(f"_to_{n}") + F.col(f"_in_{n}")).alias(n) for n in sums],
+        *[F.coalesce(f"_in_{n}", f"_to_{n}").alias(n) for n in lasts],
     )
 
 

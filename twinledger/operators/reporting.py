@@ -15,6 +15,7 @@ from twinledger.schema import (
     CUTOVER_DAYS,
     EXPORT_ID_PREFIX,
     EXPORT_LABELS,
+    PRICE_TYPE,
     RECENT_KEPT,
     RECENT_SHOWN,
     REPORT_LABELS,
@@ -108,7 +109,7 @@ def feed_display(feed: DataFrame) -> DataFrame:
     return feed.select(
         "trade_id",
         "instrument",
-        F.concat(F.lit("$"), F.format_string("%.2f", F.col("price"))).alias("price_text"),
+        F.concat(F.lit("$"), F.col("price").cast(PRICE_TYPE).cast("string")).alias("price_text"),
         "quantity",
         F.concat(F.lit("$"), money_text(notional())).alias("volume_text"),
         time_of_day(F.col("timestamp")).alias("time_text"),

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from twinledger.functions.numbers import notional
 from twinledger.operators.ordering import keep_first
-from twinledger.operators.validate import accepted, with_trade_reasons
+from twinledger.operators.validate import trade_is_valid
 from twinledger.plans.joins import fits_broadcast
 from twinledger.schema import STORE, STORE_TOTALS, TRADE_COLUMNS
 
@@ -59,22 +59,29 @@ def find_by_id(store: DataFrame, trade_id: str) -> DataFrame:
 
 def storable(trades: DataFrame) -> DataFrame:
     """Rows that meet the store's own checks: nothing missing, price and quantity positive."""
-    return accepted(with_trade_reasons(trades))
+    return trades.filter(trade_is_valid())
 
 
-def new_trades(batch: DataFrame, store: DataFrame, order_by: list[str] | None = None) -> DataFrame:
-    """The first copy of each id in the batch that the store does not hold.
+def first_copies(batch: DataFrame, order_by: list[str] | None = None) -> DataFrame:
+    """The first copy of each id, in the stated order if there is one."""
+    return keep_first(batch, "trade_id", order_by) if order_by else batch.dropDuplicates(["trade_id"])
 
-    A batch whose ids fit a broadcast first narrows the store's ids to its own, so the store is
-    scanned but not shuffled. A larger one is joined by shuffling both sides on the id; each id
-    is there once on either side, so no key is frequent.
+
+def not_held(firsts: DataFrame, store: DataFrame) -> DataFrame:
+    """Trades whose ids the store lacks. Ids are unique on both sides, so no key is frequent."""
+    return firsts.join(store.select("trade_id"), "trade_id", "left_anti")
+
+
+def not_held_small(firsts: DataFrame, store: DataFrame) -> DataFrame:
+    """The same for a batch that may be small next to the store, and is cheap to read twice.
+
+    If its ids fit a broadcast they first narrow the store's ids, so the store is scanned but not
+    shuffled.
     """
-    first = keep_first(batch, "trade_id", order_by) if order_by else batch.dropDuplicates(["trade_id"])
-    held = store.select("trade_id")
-    ids = batch.select("trade_id").distinct()
+    ids = firsts.select("trade_id")
     if fits_broadcast(ids):
-        held = held.join(F.broadcast(ids), "trade_id", "left_semi")
-    return first.join(held, "trade_id", "left_anti")
+        store = store.select("trade_id").join(F.broadcast(ids), "trade_id", "left_semi")
+    return not_held(firsts, store)
 
 
 def append_idempotent(
@@ -83,33 +90,42 @@ def append_idempotent(
     writer: str,
     batch_id: int,
     order_by: list[str] | None = None,
+    bulk: bool = False,
 ) -> int:
     """Add the trades whose ids are new and return how many were added.
 
     The first copy in ``order_by`` wins within a batch; without it the copies are taken to be
-    equal. Rows that fail the store's checks are left out. What the batch added is also kept as
-    one row of totals, measured while the batch is written.
+    equal. Rows that fail the store's checks are left out. A batch is held on the executors while
+    its size is looked at; a ``bulk`` load is not, and goes straight to a join that shuffles both
+    sides. What the batch added is also kept as one row of totals, measured during the write.
     """
     spark = trades.sparkSession
     create_store(spark, store)
     own = (F.col("writer") == writer) & (F.col("batch_id") == batch_id)
     others = read_store(spark, store).filter(~own)
 
+    firsts = first_copies(storable(trades), order_by).select(*TRADE_COLUMNS)
+    if bulk:
+        return _write_batch(not_held(firsts, others), store, writer, batch_id)
+    firsts = firsts.persist()
+    try:
+        return _write_batch(not_held_small(firsts, others), store, writer, batch_id)
+    finally:
+        firsts.unpersist()
+
+
+def _write_batch(new: DataFrame, store: str, writer: str, batch_id: int) -> int:
     added = Observation()
-    rows = (
-        new_trades(storable(trades), others, order_by)
-        .select(*TRADE_COLUMNS, F.current_timestamp().alias("created_at"))
-        .observe(
-            added,
-            F.count(F.lit(1)).alias("trade_count"),
-            F.coalesce(F.sum(notional()), F.lit(0)).cast("decimal(36,2)").alias("volume"),
-        )
+    rows = new.withColumn("created_at", F.current_timestamp()).observe(
+        added,
+        F.count(F.lit(1)).alias("trade_count"),
+        F.coalesce(F.sum(notional()), F.lit(0)).cast("decimal(36,2)").alias("volume"),
     )
     folder = f"writer={writer}/batch_id={batch_id}"
     rows.write.mode("overwrite").parquet(f"{store}/{folder}")
 
     measured = added.get
-    totals = spark.range(0, 1, 1, 1).select(
+    totals = new.sparkSession.range(0, 1, 1, 1).select(
         F.lit(measured["trade_count"]).cast("long").alias("trade_count"),
         F.lit(measured["volume"]).cast("decimal(36,2)").alias("volume"),
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,11 @@ def _reasons(rules: dict[str, Column]) -> Column:
     return F.array_compact(F.array(*broken))
 
 
+def _passes(rules: dict[str, Column]) -> Column:
+    """Whether no rule is broken; stops at the first that is."""
+    return reduce(lambda a, b: a & b, [F.coalesce(~bad, F.lit(False)) for bad in rules.values()])
+
+
 def _blank(names: list[str]) -> dict[str, Column]:
     return {f"{n} must be a non-empty string": is_blank(F.col(n)) for n in names}
 
@@ -29,15 +36,21 @@ def _not_positive(name: str, fractional: bool = False) -> dict[str, Column]:
     return {f"{name} must be strictly positive": bad}
 
 
+def _trade_rules() -> dict[str, Column]:
+    return {
+        **_blank(["trade_id", "instrument"]),
+        **_not_positive("price", fractional=True),
+        **_not_positive("quantity"),
+        **_blank(["buy_order_id", "sell_order_id", "timestamp"]),
+    }
+
+
 def trade_reject_reasons() -> Column:
-    return _reasons(
-        {
-            **_blank(["trade_id", "instrument"]),
-            **_not_positive("price", fractional=True),
-            **_not_positive("quantity"),
-            **_blank(["buy_order_id", "sell_order_id", "timestamp"]),
-        }
-    )
+    return _reasons(_trade_rules())
+
+
+def trade_is_valid() -> Column:
+    return _passes(_trade_rules())
 
 
 def order_reject_reasons() -> Column:

@@ -316,11 +316,11 @@ def store_reset(spark, sf):
             )
         )
 
-    stores.append_idempotent(trades, path, "load", 0)
+    stores.append_idempotent(trades, path, "load", 0, bulk=True)
     look("loaded")
     stores.reset_store(spark, path)
     look("reset")
-    stores.append_idempotent(trades, path, "load", 0)
+    stores.append_idempotent(trades, path, "load", 0, bulk=True)
     look("loaded again")
     return spark.range(0, 1, 1, 1).select(F.inline(F.array(*seen)))
 
@@ -459,7 +459,7 @@ def _cloud_copy(spark, sf) -> str:
     """A cloud store of the query's own, to replay into."""
     _, cloud = samples.stores(spark, sf)
     path = samples.fresh_store(spark, "cloud")
-    stores.append_idempotent(_trades(cloud), path, "load", 0)
+    stores.append_idempotent(_trades(cloud), path, "load", 0, bulk=True)
     return path
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinledger.operators.store import new_trades, storable
+from twinledger.operators.store import first_copies, not_held, storable
 from twinledger.schema import PRICE_TYPE, TRADE_COLUMNS
 
 
@@ -44,5 +44,5 @@ def append_jdbc(
 ) -> None:
     """Add the trades whose ids the table does not hold; its primary key guards against races."""
     held = read_jdbc_store(trades.sparkSession, url, table, **how)
-    rows = new_trades(storable(trades), held, order_by).select(*TRADE_COLUMNS)
+    rows = not_held(first_copies(storable(trades), order_by), held).select(*TRADE_COLUMNS)
     rows.write.format("jdbc").options(**jdbc_options(url, table)).mode("append").save()

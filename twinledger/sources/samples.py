@@ -172,9 +172,9 @@ def store_paths(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
 
     def build() -> tuple[str, str]:
         legacy, cloud = scratch_dir(spark, "legacy"), scratch_dir(spark, "cloud")
-        append_idempotent(clean_trades(spark, sf_dir).select(*TRADE_COLUMNS), legacy, "load", 0)
+        append_idempotent(clean_trades(spark, sf_dir).select(*TRADE_COLUMNS), legacy, "load", 0, bulk=True)
         held = read_store(spark, legacy).filter(~during())
-        append_idempotent(held.select(*TRADE_COLUMNS), cloud, "load", 0)
+        append_idempotent(held.select(*TRADE_COLUMNS), cloud, "load", 0, bulk=True)
         return legacy, cloud
 
     return _once(spark, sf_dir, "stores", build)

@@ -91,9 +91,14 @@ def load_payloads(
     goes on."""
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        good, bad = split_checked(parse_payloads(batch))
-        append_idempotent(good.select(*TRADE_COLUMNS), store, WRITER, batch_id)
-        write_batch(bad.select("payload", "reject_reasons"), quarantine, batch_id)
+        # Held, so that each payload is parsed once and not once per rule and side.
+        parsed = parse_payloads(batch).persist()
+        try:
+            good, bad = split_checked(parsed)
+            append_idempotent(good.select(*TRADE_COLUMNS), store, WRITER, batch_id)
+            write_batch(bad.select("payload", "reject_reasons"), quarantine, batch_id)
+        finally:
+            parsed.unpersist()
 
     return start(stream, each_batch, checkpoint, every)
 
