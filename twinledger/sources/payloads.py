@@ -16,7 +16,7 @@ _PAYLOAD = T.StructType(
 )
 
 
-def to_json_payload(df: DataFrame, columns: list[str] | None = None) -> Column:
+def to_json_payload(columns: list[str] | None = None) -> Column:
     return F.to_json(F.struct(*(columns or TRADE_COLUMNS)))
 
 

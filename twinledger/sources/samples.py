@@ -31,12 +31,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a table that comes in fewer files than there are cores, over all cores. A table in
+    many files is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def _iso(ts: Column) -> Column:
     return format_iso_utc(ts.cast("timestamp"))
 
 
 def _raw_view(spark: SparkSession, sf_dir: str, more_dirt: bool = False) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").join(
+    lines = spread(table(spark, sf_dir, "lineitem")).join(
         table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")
     )
     b = (
