@@ -8,10 +8,10 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from twinledger.operators import outcomes, parity
+from twinledger.operators import outcomes, parity, reconcile
 from twinledger.operators import store as stores
 from twinledger.plans.drills import dual_ingestion, slices_of
-from twinledger.schema import FEED
+from twinledger.schema import FEED, TRADE_COLUMNS
 from twinledger.sources import topics
 from twinledger.streaming import loads, telemetry
 
@@ -61,6 +61,17 @@ def test_both_consumers_match_the_batch_ledger(spark, drill):
     assert sorted(r.ingest_seq for r in letters.collect()) == list(range(60, 90))
 
 
+def test_dead_letters_heal_the_outage_but_not_the_halt(spark, drill, tmp_path):
+    at, _, _, _ = drill
+    cloud, letters = str(tmp_path / "cloud"), str(tmp_path / "letters")
+    stores.append_idempotent(stores.read_store(spark, at.cloud).select(*TRADE_COLUMNS), cloud, "load", 0)
+    reconcile.read_dead_letters(spark, at.dead_letters).write.partitionBy("batch_id").parquet(letters)
+    done = reconcile.replay_dead_letters(spark, at.legacy, cloud, letters).first()
+    lacking = parity.missing_ids(stores.read_store(spark, at.legacy), stores.read_store(spark, cloud))
+    assert done.initial_missing_count - done.replayed_count == lacking.count() == done.final_drift > 0
+    assert reconcile.read_dead_letters(spark, letters).count() == 0
+
+
 def test_parity_log_has_a_row_per_tick(spark, drill):
     at, ledger, _, _ = drill
     log = spark.read.parquet(at.parity_log).orderBy("batch_id").collect()

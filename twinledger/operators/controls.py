@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from twinledger.functions.numbers import clamp
-from twinledger.operators.ordering import BLOCK_WIDTH, scan_forward
+from twinledger.operators.ordering import scan_forward
 from twinledger.operators.outcomes import PARTITION
 from twinledger.schema import (
     LOG_CHAOS_OFF,
@@ -22,13 +22,14 @@ from twinledger.schema import (
     RATE_MAX,
     RATE_MIN,
 )
+from twinledger.session import materialize
 
 
 def clamp_rate(c: Column) -> Column:
     return clamp(c, RATE_MIN, RATE_MAX)
 
 
-def control_state(events: DataFrame, width: int = BLOCK_WIDTH) -> DataFrame:
+def control_state(events: DataFrame, width: int | None = None) -> DataFrame:
     """State after each event of a log with ``seq`` (unique, whole), ``action`` and ``rate``.
 
     ``stream_toggle`` and ``chaos_toggle`` flip their switch. ``cutover`` and ``rollback`` set one
@@ -89,7 +90,7 @@ def latest_state(state: DataFrame) -> DataFrame:
     return state.orderBy(F.desc("seq")).limit(1)
 
 
-def outage_intervals(state: DataFrame, end_of_feed: int, width: int = BLOCK_WIDTH) -> DataFrame:
+def outage_intervals(state: DataFrame, end_of_feed: int, width: int | None = None) -> DataFrame:
     """Outages as intervals: from each event that starts one to the event that ends it.
 
     Turning points alternate between start and end, so they pair up by their running number; an
@@ -108,7 +109,7 @@ def outage_intervals(state: DataFrame, end_of_feed: int, width: int = BLOCK_WIDT
         F.min("seq").alias("start"),
         F.coalesce(F.max(F.when(F.col("_on") == 0, F.col("seq"))), F.lit(end_of_feed)).alias("end"),
     )
-    return pairs.select(F.lit(PARTITION).alias("kind"), "start", "end")
+    return materialize(pairs.select(F.lit(PARTITION).alias("kind"), "start", "end"), "outages")
 
 
 def log_messages(state: DataFrame) -> DataFrame:

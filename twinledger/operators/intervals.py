@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinledger.operators.ordering import BLOCK_WIDTH, scan_forward, with_position
+from twinledger.operators.ordering import scan_forward, with_position
 
 # Up to this many intervals every row is compared with each of them.
 FEW_INTERVALS = 256
@@ -19,7 +19,7 @@ def flag_intervals(
     axis: str = "ingest_seq",
     tie_break: list[str] | None = None,
     few: int = FEW_INTERVALS,
-    width: int = BLOCK_WIDTH,
+    width: int | None = None,
     unique_axis: bool | None = None,
 ) -> DataFrame:
     """Add a boolean column ``flag``: the row's ``axis`` value lies in an interval of ``kind``.

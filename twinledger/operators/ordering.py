@@ -7,13 +7,15 @@ row per block is ordered globally.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from twinledger.session import materialize
 
-# Positions are unique whole numbers, so a block never holds more rows than this.
-BLOCK_WIDTH = 1 << 18
+# Positions are unique whole numbers, so a block never holds more rows than its width.
+_LEAST_WIDTH = 1024
 
 _ROW_IN_PARTITION = (1 << 33) - 1
 
@@ -44,20 +46,28 @@ def with_position(df: DataFrame, order_by: list[str], name: str = "ingest_seq")
     )
 
 
+def block_width(last_position: int) -> int:
+    """The width at which blocks are about as long as there are blocks: a million each way for a
+    million million positions."""
+    return max(_LEAST_WIDTH, math.isqrt(max(last_position, 0)))
+
+
 def scan_forward(
     df: DataFrame,
     seq: str,
     sums: dict[str, Column] | None = None,
     lasts: dict[str, Column] | None = None,
-    width: int = BLOCK_WIDTH,
+    width: int | None = None,
 ) -> DataFrame:
     """Add running sums and last non-null values along ``seq``, the current row included.
 
-    ``seq`` must be unique and whole. ``width`` is the number of positions per block: N rows
-    give about N / width block rows for the global level. The values within blocks are written
-    once, and what each block hands on is read off its last row.
+    ``seq`` must be unique and whole. ``width`` is the number of positions per block; left out,
+    it follows from the largest position. The values within blocks are written once, and what
+    each block hands on is read off its last row.
     """
     sums, lasts = sums or {}, lasts or {}
+    if width is None:
+        width = block_width(df.agg(F.max(seq)).first()[0] or 0)
     within = (
         Window.partitionBy("_block").orderBy(seq).rowsBetween(Window.unboundedPreceding, 0)
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from twinledger.functions.numbers import notional
 from twinledger.operators.intervals import flag_intervals
-from twinledger.operators.ordering import BLOCK_WIDTH, scan_forward
+from twinledger.operators.ordering import scan_forward
 from twinledger.operators.parity import audit_columns
 from twinledger.schema import (
     FEED_DROPPED,
@@ -96,7 +96,7 @@ def outcome_summary(ledger: DataFrame) -> DataFrame:
 
 
 def running_parity(
-    ledger: DataFrame, every: int, seq: str = "ingest_seq", width: int = BLOCK_WIDTH
+    ledger: DataFrame, every: int, seq: str = "ingest_seq", width: int | None = None
 ) -> DataFrame:
     """The audit after every ``every`` trades and after the last one.
 

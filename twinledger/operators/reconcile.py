@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from twinledger.operators.ordering import keep_first
 from twinledger.operators.parity import missing_ids, parity_audit
 from twinledger.operators.store import append_idempotent, read_store
-from twinledger.schema import TRADE_COLUMNS
+from twinledger.schema import DEAD_LETTERS, TRADE_COLUMNS
 from twinledger.session import materialize
 
 
@@ -52,6 +52,31 @@ def reconcile(
     )
 
 
+def read_dead_letters(spark: SparkSession, path: str) -> DataFrame:
+    """What outages dropped, in order of arrival, copies included."""
+    return spark.read.schema(DEAD_LETTERS).parquet(path)
+
+
+def clear_dead_letters(spark: SparkSession, path: str) -> None:
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in DEAD_LETTERS.fields]
+    empty = spark.range(0, 0, 1, 1).select(*columns)
+    empty.write.mode("overwrite").partitionBy("batch_id").parquet(path)
+
+
+def replay_dead_letters(
+    spark: SparkSession, legacy_path: str, cloud_path: str, dead_letters: str, replay_id: int = 0
+) -> DataFrame:
+    """Reconcile from the dead letters, then clear them.
+
+    They are cleared only after the replay is stored; a failure in between repeats the replay,
+    which adds nothing twice. Trades that came while the consumer was halted are not among them.
+    """
+    letters = read_dead_letters(spark, dead_letters)
+    done = reconcile(spark, legacy_path, cloud_path, letters, replay_id, ["ingest_seq"])
+    clear_dead_letters(spark, dead_letters)
+    return done
+
+
 def failback_proof(feed: DataFrame, legacy: DataFrame, cloud: DataFrame) -> DataFrame:
     """After a failback: the primary holds every trade of the feed, and the shadow holds nothing
     the primary lacks."""

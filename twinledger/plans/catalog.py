@@ -14,10 +14,10 @@ from twinledger.functions.timestamps import normalize_iso8601
 from twinledger.operators import cleanse, controls, outcomes, parity, reconcile, reporting
 from twinledger.operators import store as stores
 from twinledger.operators import validate
-from twinledger.operators.ordering import keep_first
+from twinledger.operators.ordering import block_width, keep_first
 from twinledger.plans.drills import DrillTables, dual_ingestion, slices_of
-from twinledger.schema import FEED, RAW_FEED, TRADE_COLUMNS
-from twinledger.session import scratch_dir, use_utc
+from twinledger.schema import RAW_FEED, TRADE_COLUMNS
+from twinledger.session import materialize, scratch_dir, use_utc
 from twinledger.sources import feeds, payloads, samples, topics
 from twinledger.streaming import loads, telemetry
 
@@ -27,8 +27,6 @@ ARRIVAL = samples.ARRIVAL
 CHECKPOINT_EVERY = 250
 TERM = " brand#1 "
 EXPORTED_AT_MS = 1_790_847_000_250
-# Small enough that the sample tables span several blocks.
-BLOCK = 4096
 
 _catalog: dict[str, Query] = {}
 
@@ -383,12 +381,13 @@ def _day_ledger(spark, sf):
 
 
 def _control_state(spark, sf):
-    return controls.control_state(samples.control_events(spark, sf), width=BLOCK)
+    events = samples.control_events(spark, sf)
+    return controls.control_state(events, block_width(events.count()))
 
 
 def _control_outages(spark, sf):
     end = samples.table(spark, sf, "events").count()
-    return controls.outage_intervals(_control_state(spark, sf), end, width=BLOCK)
+    return controls.outage_intervals(_control_state(spark, sf), end, block_width(end))
 
 
 @query
@@ -408,8 +407,9 @@ def shadow_outcomes(spark, sf):
 @query
 def shadow_outcomes_by_control(spark, sf):
     """Outcome of each event trade under the many outages that the control log starts and ends."""
+    feed = samples.event_trades(spark, sf)
     flagged = outcomes.flag_outages(
-        samples.event_trades(spark, sf), _control_outages(spark, sf), width=BLOCK
+        feed, _control_outages(spark, sf), width=block_width(2 * feed.count())
     )
     return outcomes.outcome_ledger(flagged).select(
         "ingest_seq", "trade_id", "legacy_inserted", "cloud_inserted", "cloud_status"
@@ -433,7 +433,7 @@ def enriched_feed(spark, sf):
 @query
 def running_parity(spark, sf):
     """The audit after every 250 trades and at the end."""
-    return outcomes.running_parity(_day_ledger(spark, sf), CHECKPOINT_EVERY, width=BLOCK)
+    return outcomes.running_parity(_day_ledger(spark, sf), CHECKPOINT_EVERY)
 
 
 @query
@@ -520,6 +520,7 @@ def failback_proof(spark, sf):
         F.lit(n).cast("long").alias("end"),
     )
     ledger = outcomes.outcome_ledger(outcomes.flag_outages(feed, halt))
+    ledger = materialize(ledger.select("trade_id", "legacy_inserted", "cloud_inserted"), "ledger")
     return reconcile.failback_proof(
         feed, ledger.filter("legacy_inserted"), ledger.filter("cloud_inserted")
     )
@@ -644,7 +645,7 @@ def _drill(spark, sf) -> DrillTables:
         deliveries = slices_of(feed, samples.drill_cuts(n))
         return dual_ingestion(spark, deliveries, samples.drill_outages(spark, n))
 
-    return samples._once(spark, sf, "drill", run)
+    return samples.once(spark, sf, "drill", run)
 
 
 @query
@@ -669,11 +670,22 @@ def stream_shadow_outage(spark, sf):
 @query
 def stream_dead_letter(spark, sf):
     """Everything the outage dropped, copies included."""
-    schema = T.StructType(FEED.fields + [T.StructField("batch_id", T.LongType())])
-    letters = spark.read.schema(schema).parquet(_drill(spark, sf).dead_letters)
+    letters = reconcile.read_dead_letters(spark, _drill(spark, sf).dead_letters)
     return letters.select("ingest_seq", *TRADE_COLUMNS)
 
 
+@query
+def stream_dead_letters_replayed(spark, sf):
+    """The drill's dead letters replayed into a copy of its cloud store, and cleared."""
+    at = _drill(spark, sf)
+    cloud, letters = samples.fresh_store(spark, "cloud"), scratch_dir(spark, "letters")
+    stores.append_idempotent(_trades(stores.read_store(spark, at.cloud)), cloud, "load", 0, bulk=True)
+    reconcile.read_dead_letters(spark, at.dead_letters).write.partitionBy("batch_id").parquet(letters)
+    done = reconcile.replay_dead_letters(spark, at.legacy, cloud, letters)
+    left = reconcile.read_dead_letters(spark, letters).count()
+    return _flat_summary(done).withColumn("letters_left", F.lit(left).cast("long"))
+
+
 @query
 def stream_parity_log(spark, sf):
     """The audit after each delivery."""

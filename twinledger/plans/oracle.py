@@ -665,6 +665,24 @@ FROM ledger GROUP BY 1 HAVING bool_or(legacy_inserted)"""
     sql["stream_shadow_outage"] = f"WITH {_DRILL} SELECT {_TRADE} FROM ledger WHERE cloud_inserted"
     sql["stream_dead_letter"] = f"""WITH {_EVENT_TRADES}
 SELECT ingest_seq, {_TRADE} FROM et WHERE ingest_seq >= n // 2 AND ingest_seq < 3 * n // 4"""
+    sql["stream_dead_letters_replayed"] = f"""WITH {_DRILL},
+legacy AS (SELECT * FROM ledger WHERE legacy_inserted),
+cloud AS (SELECT * FROM ledger WHERE cloud_inserted),
+gone AS (SELECT * FROM legacy WHERE trade_id NOT IN (SELECT trade_id FROM cloud)),
+letters AS (
+  SELECT *, row_number() OVER (PARTITION BY trade_id ORDER BY ingest_seq) AS nth FROM ledger
+  WHERE cut_off AND NOT halted),
+back AS (SELECT trade_id, price, quantity FROM letters
+         WHERE nth = 1 AND trade_id IN (SELECT trade_id FROM gone)),
+healed AS (SELECT trade_id, price, quantity FROM cloud UNION ALL SELECT * FROM back),
+{_totals('lt', 'legacy')}, {_totals('ct', 'healed')}
+SELECT (SELECT count(*) FROM back) AS replayed_count,
+       (SELECT count(*) FROM gone) AS initial_missing_count,
+       CASE WHEN lt.n = ct.n AND lt.v = ct.v THEN 'IN_PARITY' ELSE 'DRIFT_DETECTED' END AS final_status,
+       abs(lt.n - ct.n)::BIGINT AS final_drift, lt.n AS legacy_count, ct.n AS cloud_count,
+       lt.v::DOUBLE AS legacy_volume, ct.v::DOUBLE AS cloud_volume,
+       abs(lt.v - ct.v)::DOUBLE AS volume_difference, 0::BIGINT AS letters_left
+FROM lt, ct"""
     sql["stream_parity_log"] = f"""WITH {_DRILL}, parts AS (
   SELECT i AS batch_id, (i + 1) * n // 4 AS upto
   FROM range(4) r(i), (SELECT count(*) AS n FROM events)),

@@ -45,6 +45,9 @@ FEED = T.StructType(
     ]
 )
 
+# Feed rows that an outage dropped, kept per batch.
+DEAD_LETTERS = T.StructType(FEED.fields + [T.StructField("batch_id", T.LongType())])
+
 # What a store holds. The last two columns are directory partitions.
 STORE = T.StructType(
     TRADE.fields

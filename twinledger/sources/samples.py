@@ -116,7 +116,7 @@ def _more_dirt(clean: Column, dirt: dict[int, str], b: Column) -> Column:
 _built: dict[tuple[str, str, str], object] = {}
 
 
-def _once(spark: SparkSession, sf_dir: str, name: str, build):
+def once(spark: SparkSession, sf_dir: str, name: str, build):
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _built:
         _built[key] = build()
@@ -125,14 +125,14 @@ def _once(spark: SparkSession, sf_dir: str, name: str, build):
 
 def raw_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A raw feed of text, with its dirt decided by a bucket of each line's keys."""
-    return _once(
+    return once(
         use_utc(spark), sf_dir, "raw", lambda: materialize(_raw_view(spark, sf_dir), "raw_feed")
     )
 
 
 def dirty_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw feed with more kinds of dirt: padding, null words, odd numbers, other layouts."""
-    return _once(
+    return once(
         use_utc(spark),
         sf_dir,
         "dirty",
@@ -158,7 +158,7 @@ def delivery_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
             "delivery_feed",
         )
 
-    return _once(spark, sf_dir, "delivery_feed", build)
+    return once(spark, sf_dir, "delivery_feed", build)
 
 
 def during(kind: str | None = None) -> Column:
@@ -184,7 +184,7 @@ def store_paths(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
         append_idempotent(held.select(*TRADE_COLUMNS), cloud, "load", 0, bulk=True)
         return legacy, cloud
 
-    return _once(spark, sf_dir, "stores", build)
+    return once(spark, sf_dir, "stores", build)
 
 
 def stores(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
