@@ -105,7 +105,7 @@ def outage_intervals(state: DataFrame, end_of_feed: int, width: int | None = Non
     ).filter(F.col("_on").isNotNull())
     turns = lined_up.filter(F.col("_on") != F.coalesce(F.col("_before"), F.lit(0)))
     numbered = scan_forward(turns, "seq", sums={"_turn": F.lit(1)}, width=width)
-    pairs = numbered.groupBy(F.floor((F.col("_turn") - 1) / 2).alias("_pair")).agg(
+    pairs = numbered.groupBy(F.expr("(_turn - 1) div 2").alias("_pair")).agg(
         F.min("seq").alias("start"),
         F.coalesce(F.max(F.when(F.col("_on") == 0, F.col("seq"))), F.lit(end_of_feed)).alias("end"),
     )

@@ -72,7 +72,7 @@ def scan_forward(
         Window.partitionBy("_block").orderBy(seq).rowsBetween(Window.unboundedPreceding, 0)
     )
     local = materialize(
-        df.withColumn("_block", F.floor(F.col(seq) / width).cast("long")).select(
+        df.withColumn("_block", F.expr(f"`{seq}` div {width}")).select(
             "*",
             *[F.coalesce(F.sum(c).over(within), F.lit(0)).alias(f"_in_{n}") for n, c in sums.items()],
             *[F.last(c, ignorenulls=True).over(within).alias(f"_in_{n}") for n, c in lasts.items()],

@@ -104,7 +104,7 @@ def running_parity(
     running sums go over checkpoints and not over trades.
     """
     kept_legacy, kept_cloud = F.col("legacy_inserted"), F.col("cloud_inserted")
-    steps = ledger.groupBy(F.floor(F.col(seq) / every).cast("long").alias("_step")).agg(
+    steps = ledger.groupBy(F.expr(f"`{seq}` div {every}").alias("_step")).agg(
         F.max(seq).alias("_last"),
         F.count(F.when(kept_legacy, 1)).alias("_ln"),
         F.count(F.when(kept_cloud, 1)).alias("_cn"),
