@@ -52,13 +52,25 @@ def test_running_values_over_gaps_and_blocks(spark):
     df = spark.createDataFrame(random.Random(6).sample(rows, N), "s long, v int, t string")
     for width in (1, 7, 64, 10_000):
         got = scan_forward(
-            df, "s", sums={"total": F.col("v")}, lasts={"seen": F.col("t")}, width=width
+            df,
+            "s",
+            sums={"total": F.col("v")},
+            lasts={"seen": F.col("t")},
+            sums_since={
+                "since": (F.col("v"), F.col("v") == 8),
+                "since_x": (F.col("v"), F.coalesce(F.col("t") == "x", F.lit(False))),
+                "never": (F.col("v"), F.lit(False)),
+            },
+            width=width,
         )
-        total, seen, want = 0, None, []
+        total, seen, since, since_x, want = 0, None, 0, 0, []
         for s, v, t in rows:
             total, seen = total + v, t or seen
-            want.append((s, total, seen))
-        assert [(r.s, r.total, r.seen) for r in got.orderBy("s").collect()] == want
+            since = 0 if v == 8 else since + v
+            since_x = 0 if t == "x" else since_x + v
+            want.append((s, total, seen, since, since_x, total))
+        names = ["s", "total", "seen", "since", "since_x", "never"]
+        assert [tuple(r[n] for n in names) for r in got.orderBy("s").collect()] == want
 
 
 def test_keep_first_limits_before_the_shuffle(spark, capsys):

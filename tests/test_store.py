@@ -78,6 +78,20 @@ def test_reset(spark, tmp_path):
     assert stores.append_idempotent(trades(spark, T1), path, "load", 0) == 1
 
 
+def test_reset_under_dynamic_overwrite(spark, tmp_path):
+    path, key = str(tmp_path / "store"), "spark.sql.sources.partitionOverwriteMode"
+    stores.append_idempotent(trades(spark, T1), path, "load", 0)
+    spark.conf.set(key, "dynamic")
+    try:
+        stores.reset_store(spark, path)
+        assert total(spark, path) == (0, 0.0)
+        assert stores.append_idempotent(trades(spark, T1), path, "load", 0) == 1
+        assert stores.append_idempotent(trades(spark), path, "load", 0) == 0
+        assert total(spark, path) == (0, 0.0)
+    finally:
+        spark.conf.unset(key)
+
+
 def audit_of(spark, legacy, cloud, **how):
     df = parity.parity_audit(trades(spark, *legacy), trades(spark, *cloud), **how)
     assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in AUDIT]

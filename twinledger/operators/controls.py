@@ -36,18 +36,19 @@ def control_state(events: DataFrame, width: int | None = None) -> DataFrame:
     flag and clear the other; ``rollback`` also ends the outage. ``reset`` puts every flag back
     to off. ``set_rate`` sets the target rate within its limits.
 
-    A switch is on when it was flipped an odd number of times since it was last cleared, so both
-    come from running counts, and the flags from the last event that decided them.
+    A switch is on when it was flipped an odd number of times since it was last cleared; the
+    flags come from the last event that decided them.
     """
     action = F.col("action")
-    stream_clear = action == "reset"
-    chaos_clear = action.isin("reset", "rollback")
-    counted = scan_forward(
+    state = scan_forward(
         events,
         "seq",
-        sums={
-            "_stream_flips": (action == "stream_toggle").cast("long"),
-            "_chaos_flips": (action == "chaos_toggle").cast("long"),
+        sums_since={
+            "_stream_flips": ((action == "stream_toggle").cast("long"), action == "reset"),
+            "_chaos_flips": (
+                (action == "chaos_toggle").cast("long"),
+                action.isin("reset", "rollback"),
+            ),
         },
         lasts={
             "_cutover": F.when(action == "cutover", True).when(
@@ -60,25 +61,13 @@ def control_state(events: DataFrame, width: int | None = None) -> DataFrame:
         },
         width=width,
     )
-    state = scan_forward(
-        counted,
-        "seq",
-        lasts={
-            "_stream_base": F.when(stream_clear, F.col("_stream_flips")),
-            "_chaos_base": F.when(chaos_clear, F.col("_chaos_flips")),
-        },
-        width=width,
-    )
-
-    def on(flips: str, base: str) -> Column:
-        return (F.col(flips) - F.coalesce(F.col(base), F.lit(0))) % 2 == 1
 
     cutover = F.coalesce(F.col("_cutover"), F.lit(False))
     return state.select(
         "seq",
         "action",
-        on("_stream_flips", "_stream_base").alias("is_streaming"),
-        on("_chaos_flips", "_chaos_base").alias("is_chaos_active"),
+        (F.col("_stream_flips") % 2 == 1).alias("is_streaming"),
+        (F.col("_chaos_flips") % 2 == 1).alias("is_chaos_active"),
         cutover.alias("is_cutover_active"),
         F.coalesce(F.col("_rollback"), F.lit(False)).alias("is_rollback_active"),
         F.coalesce(F.col("_rate"), F.lit(RATE_DEFAULT)).cast("int").alias("target_rate"),

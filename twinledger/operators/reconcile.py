@@ -60,7 +60,8 @@ def read_dead_letters(spark: SparkSession, path: str) -> DataFrame:
 def clear_dead_letters(spark: SparkSession, path: str) -> None:
     columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in DEAD_LETTERS.fields]
     empty = spark.range(0, 0, 1, 1).select(*columns)
-    empty.write.mode("overwrite").partitionBy("batch_id").parquet(path)
+    writer = empty.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy("batch_id").parquet(path)
 
 
 def replay_dead_letters(

@@ -29,7 +29,9 @@ _ID_BLOOM_FILTER = {
 def _create(spark: SparkSession, path: str, schema: T.StructType, mode: str) -> None:
     columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
     empty = spark.range(0, 0, 1, 1).select(*columns)
-    empty.write.mode(mode).partitionBy(*_LAYOUT).parquet(path)
+    # Static, so that overwriting with nothing removes every partition whatever the session says.
+    writer = empty.write.mode(mode).option("partitionOverwriteMode", "static")
+    writer.partitionBy(*_LAYOUT).parquet(path)
 
 
 def totals_path(store: str) -> str:

@@ -66,7 +66,7 @@ def _trades(df: DataFrame) -> DataFrame:
 
 @query
 def scan_raw_feed(spark, sf):
-    """Raw CSV, every column as text."""
+    """Raw CSV, every column as text. CSV does not tell empty from missing; both show as empty."""
     path = scratch_dir(spark, "raw_csv")
     feeds.write_trades(_trades(samples.raw_trades(spark, sf)), path, "csv")
     return feeds.read_raw_csv(spark, path).fillna("", RAW_FEED.fieldNames())
@@ -765,12 +765,13 @@ def telemetry_snapshot(spark, sf):
     feed = samples.event_trades(spark, sf)
     flagged = outcomes.flag_outages(feed, samples.drill_outages(spark, feed.count()))
     record = outcomes.feed_record(flagged).drop("halted", "cut_off", "event_ts")
+    state = _control_state(spark, sf)
     snapshot = telemetry.telemetry_snapshot(
         parity.parity_audit(legacy, cloud),
         cloud,
         record.withColumn("event_ts", F.to_timestamp("timestamp")),
-        _control_state(spark, sf),
-        controls.log_messages(_control_state(spark, sf)),
+        state,
+        controls.log_messages(state),
         "1 hour",
     )
     trade = F.transform(

@@ -129,8 +129,7 @@ dirty AS (
     CASE WHEN b = 25 THEN NULL WHEN b = 37 THEN strftime(l_shipdate - INTERVAL 2 HOUR, """
     + _ISO
     + """)
-         ELSE iso END AS iso_timestamp,
-    trade_id IS NOT NULL AND instrument IS NOT NULL AS basic_ok
+         ELSE iso END AS iso_timestamp
   FROM raw
 ),
 marked AS (
@@ -592,7 +591,7 @@ FROM r WHERE processed % {CHECKPOINT_EVERY} = 0 OR processed = total"""
     sql["audit_tail"] = f"WITH {_LOG} SELECT * FROM log ORDER BY seq DESC LIMIT 8"
 
     # Reconciliation
-    sql["replay_candidates"] = f"""{first_copies.replace('WITH ', 'WITH ', 1)},
+    sql["replay_candidates"] = f"""{first_copies},
 gone AS (SELECT trade_id FROM clean WHERE {_CUT} OR {_HALT})
 SELECT {_TRADE} FROM held WHERE nth = 1 AND trade_id IN (SELECT trade_id FROM gone)"""
     sql["reconcile_from_backlog"] = _reconciled("TRUE")

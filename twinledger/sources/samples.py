@@ -377,6 +377,6 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     cut = F.substring(whole, F.lit(1), F.length(whole) - 20)
     return clean.select(
-        F.concat_ws("/", "trade_id").alias("source_id"),
+        F.col("trade_id").alias("source_id"),
         F.when(b == 1, cut).otherwise(whole).alias("payload"),
     )

@@ -72,15 +72,14 @@ def telemetry_snapshot(
     """
     newest = throughput(feed, bucket).orderBy(F.desc("bucket_start")).limit(1)
     shown = recent_trades(feed)
+    trade = F.struct("ingest_seq", *[c for c in feed.columns if c != "ingest_seq"])
     tail = audit_log_tail(messages)
     parts = {
         "audit": audit.agg(F.first(F.struct(*audit.columns)).alias("v")),
         "state": latest_state(state).agg(F.first(F.struct(*state.columns)).alias("v")),
         "rate": newest.agg(F.coalesce(F.first("trades"), F.lit(0)).alias("v")),
         "reporting": eod_report(store).agg(F.first(F.struct("*")).alias("v")),
-        "latest_trades": shown.agg(
-            F.sort_array(F.collect_list(F.struct("ingest_seq", *[c for c in feed.columns if c != "ingest_seq"])), asc=False).alias("v")
-        ),
+        "latest_trades": shown.agg(F.sort_array(F.collect_list(trade), asc=False).alias("v")),
         "recent_logs": tail.agg(F.sort_array(F.collect_list(F.struct("*"))).alias("v")),
     }
     stacked = None
