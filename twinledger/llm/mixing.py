@@ -8,7 +8,8 @@ words that are left. Two more passes along the same order fill what the last doc
 
 Random numbers are hashes of id and text, so reruns agree. A running sum over a source is made
 of sums over 1024 stretches of the order and one sum inside the stretch where it ends, so a
-source with a third of all rows is never one task.
+source with a third of all rows is never one task. At the end one more document may be taken that passes
+the target, if that comes closer to it.
 
 NULL text has size 0; NULL is a source of its own, last in order. Rows that are repeats of one
 document (same id and text) share their random number and are taken together or not at all.
@@ -141,6 +142,12 @@ def mix(sized: DataFrame, weights: tuple = WEIGHTS, cap: float = CAP) -> DataFra
         taken = taken | F.coalesce(
             (F.col("p") > 0) & (F.col("size") <= F.col(f"{name}_room")) & reached, F.lit(False)
         )
+    # A last document that comes closer to the target by going past it.
+    gap = F.struct(F.abs(F.col("size") - F.col("room")).alias("gap"), "z")
+    left = ranked(plan).filter(~taken & (F.col("p") > 0) & (F.col("size") < 2 * F.col("room")))
+    last = left.groupBy("skey").agg(F.min(gap).alias("last"))
+    plan = materialize(plan.join(last, "skey", "left"), "mix_plan")
+    taken = taken | F.coalesce((F.col("p") > 0) & (F.col("z") == F.col("last.z")), F.lit(False))
     copies = (F.col("whole") + F.when(taken, 1).otherwise(0)).cast("long")
     return ranked(plan).select(*sized.columns, "source_size", "target", copies.alias("copies"))
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinledger.llm import decontaminate, mixing, sharding, simhash
+from twinledger.llm import decontaminate, mixing, sharding, simhash, toxicity, url_rules
 from twinledger.llm.common import table
 from twinledger.session import materialize
 
@@ -31,6 +31,22 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_rules.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "mined_rule")
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = docs.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        toxicity.score_column(F.col("text"), model).alias("score"),
+    )
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     sized = materialize(mixing.sized_documents(table(spark, sf_dir, "documents")), "mix_sizes")
     return mixing.mix(sized).select(
@@ -56,7 +72,9 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontaminate, op2_simhash, op6_mixing, op10_sharding)}
+    return {f.__name__: f for f in (
+        op1_decontaminate, op2_simhash, op3_url_rules, op4_toxicity, op6_mixing, op10_sharding,
+    )}
 
 
 def llm_oracles() -> dict[str, str]:
