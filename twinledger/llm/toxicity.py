@@ -19,6 +19,7 @@ learning rows only the lexicon and the patterns vote. Repeated labels of an id c
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,10 +31,11 @@ from pyspark.sql import types as T
 from twinledger.llm.common import packed, unpacked
 from twinledger.session import materialize
 
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 10_000
 MOST_VOTERS = 2_000
 FOLDS = 5
-BEGINNINGS = (4, 5, 6)
+BEGINNINGS = (4, 5, 6, 7)
+MOST_REPEATS = 3
 LEXICON = (
     "clown creep disgusting dumb fool garbage hateful idiot imbecile jerk loathsome loser moron pathetic "
     "pig scum stupid trash vermin worthless"
@@ -56,25 +58,39 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(fold == 0, F.lit(True))
 
 
-def signals(text: str | None, known: dict[str, int] | None = None) -> list:
-    """The voters that fire on a text: words, ``word-`` for beginnings, ``/name`` for patterns.
-
-    With ``known`` only those in it, as its numbers.
-    """
+def signals(text: str | None) -> list[str]:
+    """The voters that fire on a text: words, ``/name`` for patterns, and beginnings of words,
+    ``abcd-``, ``abcd--`` and ``abcd---`` for one, two and three different words that begin so."""
     text = text or ""
     words = set(_WORD.findall(text.lower()))
     fired = {name for name, pattern in _PATTERNS if pattern.search(text)}
-    if known is None:
-        for n in BEGINNINGS:
-            fired.update(w[:n] + "-" for w in words if len(w) >= n)
-        return sorted(fired | words)
-    found = {known[s] for s in fired if s in known}
-    get = known.get
-    found.update(k for k in map(get, words) if k is not None)
     for n in BEGINNINGS:
-        heads = {w[:n] for w in words if len(w) >= n}
-        found.update(k for k in (get(h + "-") for h in heads) if k is not None)
-    return sorted(found)
+        for head, times in Counter(w[:n] for w in words if len(w) >= n).items():
+            fired.update(head + "-" * k for k in range(1, min(times, MOST_REPEATS) + 1))
+    return sorted(fired | words)
+
+
+class Voters:
+    """Chosen voters by number, arranged for looking them up."""
+
+    def __init__(self, names: list[str]):
+        self.number = {name: i for i, name in enumerate(names)}
+        self.patterns = [(self.number[n], p) for n, p in _PATTERNS if n in self.number]
+        self.heads: dict[str, list[tuple[int, int]]] = {}
+        for name, i in self.number.items():
+            if name.endswith("-"):
+                self.heads.setdefault(name.rstrip("-"), []).append((name.count("-"), i))
+
+    def fired(self, text: str | None) -> list[int]:
+        text = text or ""
+        words = set(_WORD.findall(text.lower()))
+        found = [i for i, p in self.patterns if p.search(text)]
+        found += [i for i in map(self.number.get, words) if i is not None]
+        heads = self.heads
+        for n in BEGINNINGS:
+            for head, times in Counter(h for h in (w[:n] for w in words if len(w) >= n) if h in heads).items():
+                found += [i for need, i in heads[head] if times >= need]
+        return found
 
 
 @dataclass
@@ -118,7 +134,7 @@ def _shares(votes: np.ndarray, fires: np.ndarray, p: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    voters: dict[str, int]
+    voters: Voters
     weights: np.ndarray
     bias: float
 
@@ -145,12 +161,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
         known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     )
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    fire = F.udf(signals, T.ArrayType(T.StringType()))
-    rows = materialize(texts.select("doc_id", "toxic", fire("text").alias("fired")), "learning_rows")
-    voters = {s: i for i, s in enumerate(sorted({*LEXICON, *(n for n, _ in _PATTERNS), *_mined(rows)}))}
-    number = F.udf(lambda fired: [voters[s] for s in fired if s in voters], T.ArrayType(T.IntegerType()))
+    rows = materialize(texts.select("doc_id", "toxic", "text"), "learning_rows")
+    voters = Voters(sorted({*LEXICON, *(n for n, _ in _PATTERNS), *_mined(rows)}))
+    number = F.udf(voters.fired, T.ArrayType(T.IntegerType()))
     # An id that stands for several documents would break the bound on what is collected.
-    seen = rows.select("doc_id", "toxic", number("fired").alias("v")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
+    seen = rows.select("doc_id", "toxic", number("text").alias("v")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     votes = [(r.v, float(r.toxic)) for r in seen.collect()]
     return _learn(votes, voters)
 
@@ -161,8 +176,9 @@ def _mined(rows: DataFrame) -> list[str]:
     toxic, total = rows.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count("*")).first()
     if not toxic or toxic == total:
         return []
+    fire = F.udf(signals, T.ArrayType(T.StringType()))
     counts = (
-        rows.select("toxic", F.explode("fired").alias("s"))
+        rows.select("toxic", F.explode(fire("text")).alias("s"))
         .groupBy("s")
         .agg(F.sum("toxic").alias("a"), F.count("*").alias("n"))
         .filter("n >= 3")
@@ -180,13 +196,13 @@ def _mined(rows: DataFrame) -> list[str]:
     return [r.s for r in strong.orderBy(F.desc(g2), "s").limit(MOST_VOTERS).collect()]
 
 
-def _learn(rows: list[tuple[list[int], float]], voters: dict[str, int]) -> Model:
-    lexicon = [voters[s] for s in LEXICON]
+def _learn(rows: list[tuple[list[int], float]], voters: Voters) -> Model:
+    lexicon = [voters.number[s] for s in LEXICON]
     if not rows:
-        weights = np.zeros(len(voters))
+        weights = np.zeros(len(voters.number))
         weights[lexicon] = 4.0
         return Model(voters, weights, -3.0)
-    size = len(voters)
+    size = len(voters.number)
     fired = np.zeros((len(rows), size + 1), np.float32)
     for i, (v, label) in enumerate(rows):
         fired[i, v] = 1
@@ -209,7 +225,7 @@ def score_column(text: Column, model: Model) -> Column:
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        z = np.array([weights[signals(t, voters)].sum() + bias for t in texts], float)
+        z = np.array([weights[voters.fired(t)].sum() + bias for t in texts], float)
         return pd.Series(1 / (1 + np.exp(-np.clip(z, -30, 30))), dtype="float64")
 
     return score(text)
