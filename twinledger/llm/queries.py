@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinledger.llm import decontaminate, mixing, sharding, simhash, toxicity, url_rules
+from twinledger.llm import decontaminate, fingerprints, mixing, secret_scan, sharding, simhash, toxicity, url_rules
 from twinledger.llm.common import table
 from twinledger.session import materialize
 
@@ -54,6 +54,15 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+    return found.withColumn("base_sha256", F.sha2(F.col("base").cast("binary"), 256)).drop("base")
+
+
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_neighbours(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     columns = sharding.record_columns(F.col("doc_id"), F.col("text"))
@@ -73,7 +82,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_decontaminate, op2_simhash, op3_url_rules, op4_toxicity, op6_mixing, op10_sharding,
+        op1_decontaminate, op2_simhash, op3_url_rules, op4_toxicity, op6_mixing, op8_secrets,
+        op9_fingerprints, op10_sharding,
     )}
 
 
