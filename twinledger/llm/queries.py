@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinledger.llm import decontaminate, fingerprints, mixing, secret_scan, sharding, simhash, toxicity, url_rules
+from twinledger.llm import decontaminate, fingerprints, mixing, secret_scan, sharding, simhash, token_shards, toxicity, url_rules
 from twinledger.llm.common import table
-from twinledger.session import materialize
+from twinledger.session import materialize, scratch_dir
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +54,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_shards.write_shards(table(spark, sf_dir, "documents"), scratch_dir(spark, "token_shards"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.find_secrets(table(spark, sf_dir, "documents"))
     return found.withColumn("base_sha256", F.sha2(F.col("base").cast("binary"), 256)).drop("base")
@@ -82,7 +86,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_decontaminate, op2_simhash, op3_url_rules, op4_toxicity, op6_mixing, op8_secrets,
+        op1_decontaminate, op2_simhash, op3_url_rules, op4_toxicity, op6_mixing, op7_token_shards, op8_secrets,
         op9_fingerprints, op10_sharding,
     )}
 
