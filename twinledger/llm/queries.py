@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinledger.llm import decontaminate, fingerprints, mixing, secret_scan, sharding, simhash, token_shards, toxicity, url_rules
+from twinledger.llm import decontaminate, fingerprints, mixing, secret_scan, sharding, simhash, suffix_dedup, token_shards, toxicity, url_rules
 from twinledger.llm.common import table
 from twinledger.session import materialize, scratch_dir
 
@@ -47,6 +47,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("ranges")
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     sized = materialize(mixing.sized_documents(table(spark, sf_dir, "documents")), "mix_sizes")
     return mixing.mix(sized).select(
@@ -86,13 +90,13 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_decontaminate, op2_simhash, op3_url_rules, op4_toxicity, op6_mixing, op7_token_shards, op8_secrets,
+        op1_decontaminate, op2_simhash, op3_url_rules, op4_toxicity, op5_suffix_dedup, op6_mixing, op7_token_shards, op8_secrets,
         op9_fingerprints, op10_sharding,
     )}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op1_decontaminate": DECONTAMINATE_SQL}
+    return {"op1_decontaminate": DECONTAMINATE_SQL, "op5_suffix_dedup": SUFFIX_DEDUP_SQL}
 
 
 DECONTAMINATE_SQL = r"""
@@ -122,3 +126,27 @@ SELECT doc.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM doc LEFT JOIN hit ON doc.doc_id = hit.doc_id LEFT JOIN named ON doc.doc_id = named.doc_id
 """
+
+# Hex text has two characters per byte, so byte strings are cut at odd places.
+SUFFIX_DEDUP_SQL = r"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), place AS (
+  SELECT r, doc_id, i, h[2 * i + 1:2 * i + 100] AS s
+  FROM (SELECT r, doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS i FROM doc)
+), least AS (SELECT s, min(doc_id) AS d FROM place GROUP BY s
+), cut AS (
+  SELECT r, i, i - coalesce(lag(i) OVER (PARTITION BY r ORDER BY i), -1000) > 50 AS new
+  FROM place JOIN least ON place.s = least.s WHERE least.d < coalesce(doc_id, 9223372036854775807)
+), span AS (
+  SELECT r, min(i) AS a, max(i) + 50 AS b
+  FROM (SELECT r, i, sum(CASE WHEN new THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY i) AS g FROM cut) GROUP BY r, g
+), part AS (
+  SELECT r, sum(b - a) AS n_removed, count(*) AS n_spans,
+    list(a ORDER BY a) AS starts, list(b ORDER BY a) AS ends FROM span GROUP BY r
+)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(CASE WHEN starts IS NULL THEN h ELSE array_to_string(list_transform(range(0, len(starts) + 1),
+    k -> h[CASE WHEN k = 0 THEN 1 ELSE 2 * ends[k] + 1 END:CASE WHEN k = len(starts) THEN len(h) ELSE 2 * starts[k + 1] END]), '') END)) AS kept_sha256
+FROM doc LEFT JOIN part ON doc.r = part.r
+"""
