@@ -147,6 +147,6 @@ WITH doc AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text,
 SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
   CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
   sha256(unhex(CASE WHEN starts IS NULL THEN h ELSE array_to_string(list_transform(range(0, len(starts) + 1),
-    k -> h[CASE WHEN k = 0 THEN 1 ELSE 2 * ends[k] + 1 END:CASE WHEN k = len(starts) THEN len(h) ELSE 2 * starts[k + 1] END]), '') END)) AS kept_sha256
+    lambda k: h[CASE WHEN k = 0 THEN 1 ELSE 2 * ends[k] + 1 END:CASE WHEN k = len(starts) THEN len(h) ELSE 2 * starts[k + 1] END]), '') END)) AS kept_sha256
 FROM doc LEFT JOIN part ON doc.r = part.r
 """
