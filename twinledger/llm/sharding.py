@@ -60,13 +60,11 @@ def _fill(loose: DataFrame, loads: Column, version: Column) -> DataFrame:
             F.array_append(done["picks"], least.cast("int") - 1).alias("picks"),
         )
 
-    start = F.struct(loads.alias("loads"), F.expr("cast(array() as array<int>)").alias("picks"))
-    one = loose.agg(order.alias("order"), F.first(version).alias("version"), F.first(loads).alias("start"))
-    one = one.withColumn("start", F.struct(F.col("start").alias("loads"), start["picks"].alias("picks")))
-    picks = F.reduce("order", F.col("start"), give)["picks"]
-    return one.select("version", "order", picks.alias("picks")).select(
-        "version", F.explode(F.arrays_zip(F.col("order.virtual_slot").alias("virtual_slot"), F.col("picks").alias("shard"))).alias("s")
-    ).select("version", "s.virtual_slot", "s.shard")
+    one = loose.agg(order.alias("order"), F.first(version).alias("version"), F.first(loads).alias("loads"))
+    start = F.struct(F.col("loads"), F.expr("cast(array() as array<int>)").alias("picks"))
+    dealt = one.select("version", "order", F.reduce("order", start, give)["picks"].alias("picks"))
+    pairs = F.arrays_zip(F.col("order.virtual_slot").alias("virtual_slot"), F.col("picks").alias("shard"))
+    return dealt.select("version", F.explode(pairs).alias("s")).select("version", "s.virtual_slot", "s.shard")
 
 
 def first_map(weights: DataFrame, shards: int = SHARDS) -> DataFrame:
