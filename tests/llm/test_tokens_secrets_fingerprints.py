@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from twinledger.llm import fingerprints, queries, secret_scan, token_shards
 from tests.llm.conftest import DOC_SCHEMA, document_rows, sentence, write_tables
@@ -99,10 +100,13 @@ def test_patterns_stay_and_counts_agree(spark, tmp_path):
 
 def test_field_learns_and_adds_what_looks_like_a_secret(spark):
     rows = secret_rows()
-    found = secret_scan.find_secrets(spark.createDataFrame(rows, DOC_SCHEMA)).collect()
-    assert "field:5:" in next(r.spans for r in found if r.doc_id == 3000)
-    quiet = [r for r in found if r.doc_id is not None and r.doc_id >= 1000 and (r.doc_id - 1000) % 7 in (3, 4)]
-    assert all("field" not in r.spans for r in quiet if r.doc_id != 3000)
+    docs = spark.createDataFrame(rows, DOC_SCHEMA).select("doc_id", secret_scan.scan_column(F.col("text")).alias("s"))
+    scanned = docs.select("doc_id", "s.*")
+    field = secret_scan.learn(scanned.filter("doc_id < 3000"))
+    spans = secret_scan.spans_column(F.col("base"), F.col("free"), field)
+    found = {r.doc_id: r.spans for r in scanned.select("doc_id", spans.alias("spans")).collect()}
+    assert found[3000] == "field:5:28"
+    assert not any("field" in found[1000 + i] for i in range(120) if i % 7 in (3, 4))
 
 
 def test_viterbi_and_marginals_against_all_paths():
