@@ -13,10 +13,19 @@ from twinledger.operators.cleanse import (
     cleanse_trades,
     drop_blank_ids,
     keep_positive,
+    cleanse_csv,
     coerce_numbers,
+    out_of_range,
+    rejects_by_rule,
 )
 from twinledger.schema import NULL_TOKENS, TRADE_COLUMNS, WHITESPACE
-from twinledger.sources.feeds import dataset_summary, read_raw_csv, read_trades_csv
+from twinledger.sources.feeds import (
+    ARRIVAL,
+    dataset_summary,
+    read_arriving_csv,
+    read_raw_csv,
+    read_trades_csv,
+)
 
 GOOD = ("T1", "AAPL", "150.50", "10", "B1", "S1", "2026-10-01T10:00:00Z")
 
@@ -154,8 +163,8 @@ def test_quantity_is_cut_after_the_test(spark):
             but(trade_id="C", quantity="0"), but(trade_id="D", price="0.0"),
             but(trade_id="E", price="-99.99"), but(trade_id="F", quantity="99999999999")]
     got = {r.trade_id: r.quantity for r in keep_positive(coerce_numbers(raw(spark, rows))).collect()}
-    # Beyond an INT the quantity is NULL, which validation rejects.
-    assert got == {"A": 0, "B": 10, "F": None}
+    # Beyond an INT the row is set aside.
+    assert got == {"A": 0, "B": 10}
 
 
 def test_first_copy_with_bad_time_takes_its_id_along(spark):
@@ -193,3 +202,43 @@ def test_summary(spark):
     got = dataset_summary(raw(spark, [GOOD, but(price=None)])).orderBy("column_index").collect()
     assert [r.column_name for r in got] == [*TRADE_COLUMNS, "seq"]
     assert got[2].total_rows == 2 and got[2].present == 1 and got[7].column_type == "int"
+
+
+def test_csv_on_disk_to_csv(spark, tmp_path):
+    """The first copy of an id is the first by file name, then by line."""
+    header = ",".join(TRADE_COLUMNS)
+    (tmp_path / "in").mkdir()
+    for name, rows in (("b.csv", [but(price="9"), but(trade_id="T2")]), ("a.csv", [but(trade_id="T3"), but(price="7"), but(price="8")])):
+        (tmp_path / "in" / name).write_text("\n".join([header, *(",".join(r) for r in rows)]))
+    metrics = cleanse_csv(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    got = {r.trade_id: r.price for r in read_trades_csv(spark, str(tmp_path / "out")).collect()}
+    assert {k: float(v) for k, v in got.items()} == {"T1": 7.0, "T2": 150.5, "T3": 150.5}
+    assert metrics == {"initial_records": 5, "retained_records": 3, "dropped_records": 2, "dropped_pct": 40.0}
+
+
+def test_readme_example(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("\n".join([",".join(TRADE_COLUMNS), ",".join(GOOD), ",".join(GOOD)]))
+    clean = cleanse_trades(read_arriving_csv(spark, str(tmp_path)), order_by=ARRIVAL)
+    assert [r.trade_id for r in clean.collect()] == ["T1"]
+
+
+def test_numbers_beyond_a_store_are_set_aside(spark):
+    df = raw(spark, [but(quantity="3000000000"), but(trade_id="T2", price="2e13"), but(trade_id="T3")])
+    assert ids(keep_positive(coerce_numbers(df))) == ["T3"]
+    aside = {r.trade_id: (r.reject_reasons, float(r.price), float(r.quantity)) for r in out_of_range(df).collect()}
+    assert aside == {
+        "T1": (["quantity is beyond the store's range"], 150.5, 3e9),
+        "T2": (["price is beyond the store's range"], 2e13, 10.0),
+    }
+    assert {r.rule: r.rows for r in rejects_by_rule(df).collect()} == {"range": 2, "usable": 1}
+
+
+def test_more_timestamp_layouts(spark):
+    cases = [
+        ("October 1, 2026", "2026-10-01T00:00:00Z"), ("10/01/2026 09:30 AM", "2026-10-01T09:30:00Z"),
+        ("Oct 1 2026 9:30 PM", "2026-10-01T21:30:00Z"), ("Thu, 01 Oct 2026 10:00:00 GMT", "2026-10-01T10:00:00Z"),
+        ("20261001T100000Z", "2026-10-01T10:00:00Z"), ("01-Oct-2026", "2026-10-01T00:00:00Z"),
+        ("10/01/26", "2026-10-01T00:00:00Z"), ("10/01/99", "1999-10-01T00:00:00Z"),
+        ("10/01/2026 09:30:15.250", "2026-10-01T09:30:15Z"), ("13/13/26", None), ("99991001T100000Z", None),
+    ]
+    assert evaluated(spark, cases, normalize_iso8601) == [want for _, want in cases]

@@ -6,10 +6,11 @@ from __future__ import annotations
 import random
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from twinledger.operators import controls, outcomes, reporting
-from twinledger.operators.intervals import flag_intervals
+from twinledger.operators.intervals import FEW_INTERVALS, flag_intervals
 from twinledger.operators.ordering import keep_first, scan_forward, with_position
 from twinledger.plans.joins import fits_broadcast, join_dimension
 
@@ -90,14 +91,29 @@ def intervals(spark, rows):
     return spark.createDataFrame(rows, "kind string, start long, end long")
 
 
-def test_intervals_few_and_many_agree(spark):
-    spans = [("PARTITION", s, s + 7) for s in range(0, N, 20)] + [("HALT", 5, 9)]
-    df, iv = feed(spark, feed_rows()), intervals(spark, spans)
-    want = {s for k, a, b in spans if k == "PARTITION" for s in range(a, min(b, N))}
-    for few, unique in ((256, None), (3, True), (3, False)):
-        got = flag_intervals(df, iv, "PARTITION", "hit", few=few, width=50, unique_axis=unique)
-        assert got.count() == N
-        assert {r.ingest_seq for r in got.filter("hit").collect()} == want
+@pytest.mark.parametrize("spans", [3, 32, 33, 256, 257])
+def test_intervals_agree_whatever_their_number(spark, spans):
+    """Overlaps, equal borders, empty intervals and rows without a position, by both plans."""
+    rng = random.Random(spans)
+    given = [("PARTITION", s, s + rng.randint(0, 9)) for s in rng.choices(range(N), k=spans - 2)]
+    given += [("PARTITION", 10, 20), ("PARTITION", 20, 25), ("HALT", 0, N)]
+    df = feed(spark, feed_rows()).withColumn(
+        "ingest_seq", F.when(F.col("ingest_seq") % 11 != 5, F.col("ingest_seq"))
+    )
+    inside = {s for k, a, b in given if k == "PARTITION" for s in range(a, b)}
+    want = sorted((str(r.ingest_seq), r.ingest_seq in inside) for r in df.select("ingest_seq").collect())
+    for few, unique in ((10_000, None), (0, True), (0, False), (FEW_INTERVALS, None)):
+        got = flag_intervals(df, intervals(spark, given), "PARTITION", "hit", few=few, width=50, unique_axis=unique)
+        assert sorted((str(r.ingest_seq), r.hit) for r in got.collect()) == want
+
+
+def test_no_nested_loops_over_intervals(spark, capsys):
+    df = feed(spark, feed_rows())
+    for spans in (5, 300):
+        given = intervals(spark, [("PARTITION", s, s + 2) for s in range(spans)])
+        flag_intervals(df, given, "PARTITION", "hit").explain()
+        plan = capsys.readouterr().out
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
 def test_intervals_on_an_axis_with_ties(spark):
@@ -287,13 +303,16 @@ def test_cutover_gate(spark):
 
     assert tuple(gate(range(3, 10))) == (7, True)
     assert tuple(gate([1, 2, 3, 5, 6, 7, 8, 9, 10])) == (6, False)
+    weekdays = [(f"2026-01-{d:02d}", "IN_PARITY") for d in (5, 6, 7, 8, 9, 12, 13)]
+    closed = spark.createDataFrame(weekdays, "day string, status string").withColumn("day", F.to_date("day"))
+    assert tuple(reporting.cutover_gate(closed).first()) == (7, True)
     assert tuple(gate([])) == (0, False)
 
 
 def test_recent_and_views(spark):
     df = feed(spark, feed_rows())
     assert [r.ingest_seq for r in reporting.recent_trades(df).collect()] == list(range(N - 1, N - 16, -1))
-    assert reporting.recent_trades(df, shown=99).count() == 40
+    assert reporting.recent_trades(df, shown=99).count() == 99
     assert reporting.first_in_stream(df, 10).count() == 10
     cuts = reporting.phase_cuts(df).first()
     assert (cuts.total, cuts.outage_start, cuts.outage_end) == (N, 150, 250)

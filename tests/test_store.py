@@ -117,7 +117,7 @@ def test_drift_replay_parity(spark, tmp_path):
     done = reconcile(spark, legacy, cloud, trades(spark, T2, T2, T1)).first()
     assert (done.replayed_count, done.initial_missing_count) == (1, 1)
     assert (done.final_status, done.final_drift, done.final_audit.cloud_count) == ("IN_PARITY", 0, 2)
-    again = reconcile(spark, legacy, cloud, trades(spark, T2), replay_id=1).first()
+    again = reconcile(spark, legacy, cloud, trades(spark, T2)).first()
     assert (again.replayed_count, again.initial_missing_count) == (0, 0)
     by_batch = parity.parity_from_totals(
         stores.read_totals(spark, legacy), stores.read_totals(spark, cloud)
@@ -175,3 +175,30 @@ def test_jdbc_options():
     o = jdbc_options("jdbc:x", partition_column="created_at", lower="2026-01-01", upper="2026-12-31", user="u")
     assert o["partitionColumn"] == "created_at" and o["numPartitions"] == "64" and o["user"] == "u"
     assert "partitionColumn" not in jdbc_options("jdbc:x")
+
+
+def test_replays_lose_nothing(spark, tmp_path):
+    """Three replays in a row, and a second drift replayed after the first."""
+    legacy, cloud = str(tmp_path / "legacy"), str(tmp_path / "cloud")
+    every = [("T%d" % i, *T1[1:]) for i in range(10)]
+    stores.append_idempotent(trades(spark, *every), legacy, "load", 0)
+    stores.append_idempotent(trades(spark, *every[:5]), cloud, "load", 0)
+    backlog = trades(spark, *every)
+    done = [reconcile(spark, legacy, cloud, trades(spark, *every[5:8])).first()]
+    done += [reconcile(spark, legacy, cloud, backlog).first() for _ in range(3)]
+    assert [d.replayed_count for d in done] == [3, 2, 0, 0]
+    assert [d.final_audit.cloud_count for d in done] == [8, 10, 10, 10]
+    assert stores.read_store(spark, cloud).select("trade_id").distinct().count() == 10
+
+
+def test_a_replay_number_is_never_used_twice(spark, tmp_path):
+    path = str(tmp_path / "store")
+    assert stores.next_batch_id(spark, path, "replay") == 0
+    stores.append_idempotent(trades(spark, T1), path, "replay", 0)
+    assert stores.next_batch_id(spark, path, "replay") == 1
+    # Rows without totals, as a crash between the two writes leaves them, count as used.
+    stores.append_idempotent(trades(spark, T2), path, "replay", 7)
+    import shutil
+
+    shutil.rmtree(f"{stores.totals_path(path)}/writer=replay/batch_id=7")
+    assert stores.next_batch_id(spark, path, "replay") == 8

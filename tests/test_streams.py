@@ -163,6 +163,41 @@ def test_kafka_records_decode(spark):
     assert "maxOffsetsPerTrigger" not in topics.kafka_options("h:9092")
 
 
+def test_two_topics_into_one_store(spark, tmp_path):
+    store = str(tmp_path / "store")
+    stores.create_store(spark, store)
+    feed = trades(spark, 40)
+    for name, part in (("a", feed.filter("ingest_seq < 20")), ("b", feed.filter("ingest_seq >= 10"))):
+        topics.publish(part, str(tmp_path / name))
+        stream = topics.subscribe(spark, str(tmp_path / name))
+        loads.drain(loads.load_legacy(stream, store, str(tmp_path / f"ck_{name}")))
+    assert stores.read_store(spark, store).count() == feed.select("trade_id").distinct().count()
+
+
+def test_each_delivered_trade_is_accounted_for(spark, tmp_path):
+    """Accepted, duplicate, dropped, halted and refused add up to what was delivered; an outage that
+    begins between two batches counts from then on."""
+    topic, store = topics.topic_path(str(tmp_path)), str(tmp_path / "store")
+    stores.create_store(spark, store)
+    feed = trades(spark).withColumn("quantity", F.when(F.col("ingest_seq") % 13 == 3, 0).otherwise(F.col("quantity")))
+    known = []
+    for lo, hi in ((0, 60), (60, N)):
+        topics.publish(feed.filter(f"ingest_seq >= {lo} AND ingest_seq < {hi}"), topic)
+        stream = topics.subscribe(spark, topic)
+        load = loads.load_cloud(
+            stream, store, str(tmp_path / "letters"), lambda: outages(spark, *known) if known else outages(spark, ("HALT", -2, -1)),
+            str(tmp_path / "ck"), quarantine=str(tmp_path / "q"), outcomes=str(tmp_path / "o"),
+        )
+        loads.drain(load)
+        known.append(("PARTITION", 0, 90))
+    met = spark.read.parquet(str(tmp_path / "o")).collect()
+    refused = spark.read.parquet(str(tmp_path / "q")).collect()
+    assert sorted(r.ingest_seq for r in met + refused) == list(range(N))
+    assert {r.ingest_seq for r in met if r.cloud_status == "DROPPED_BY_CHAOS"} == set(range(60, 90))
+    assert all(r.reject_reasons for r in refused)
+    assert stores.read_store(spark, store).count() == sum(r.cloud_status == "STORED" for r in met)
+
+
 def test_rate_cap():
     assert [topics.rate_cap(r) for r in (-3, 0, 20, 1000)] == [1, 1, 20, 100]
     assert topics.rate_cap(20, 5) == 100

@@ -18,16 +18,27 @@ _YEAR = r"(?:167[7-9]|16[89]\d|1[7-9]\d\d|2[01]\d\d|22[0-5]\d|226[0-2])"
 
 # A calendar date must lead, so that a bare time of day is not read as "today".
 _ISO_SHAPE = rf"^{_YEAR}-\d{{1,2}}(-\d{{1,2}}([T ].*)?)?$"
-_FREE_FORM_SHAPE = rf"\d.*\b{_YEAR}\b|^{_YEAR}/|[A-Za-z]{{3}} .*\b{_YEAR}\b"
+_FREE_FORM_SHAPE = rf"\d.*\b{_YEAR}\b|^{_YEAR}/|[A-Za-z]{{3}} .*\b{_YEAR}\b|^\d{{1,2}}/\d{{1,2}}/\d\d\b"
+_COMPACT_SHAPE = rf"^{_YEAR}\d{{4}}T\d{{6}}Z?$"
+# A day of the week in front and a zone word behind say nothing more.
+_AROUND = r"^[A-Za-z]{3,9}, (?=\d)| (?:GMT|UTC|Z)$"
+_CENTURY_TURNS = 2068
 
 # Free-form layouts tried in turn after ISO. Month comes first in the numeric ones.
 FREE_FORM_LAYOUTS = [
-    "M/d/yyyy[ H:mm[:ss]]",
+    "M/d/yyyy[ H:mm[:ss[.SSSSSS][.SSS]]]",
+    "M/d/yyyy h:mm[:ss] a",
     "M-d-yyyy[ H:mm[:ss]]",
     "yyyy/M/d[ H:mm[:ss]]",
     "MMM d[,] yyyy[ H:mm[:ss]]",
+    "MMM d[,] yyyy h:mm[:ss] a",
+    "MMMM d[,] yyyy[ H:mm[:ss]]",
+    "MMMM d[,] yyyy h:mm[:ss] a",
     "d MMM yyyy[ H:mm[:ss]]",
+    "d MMMM yyyy[ H:mm[:ss]]",
+    "d-MMM-yyyy[ H:mm[:ss]]",
 ]
+_TWO_DIGIT_YEAR_LAYOUT = "M/d/yy[ H:mm[:ss]]"
 
 
 def _from_epoch(text: Column) -> Column:
@@ -41,11 +52,17 @@ def _from_epoch(text: Column) -> Column:
 def parse_timestamp(c: Column) -> Column:
     """Epoch seconds or milliseconds, ISO text, or a known free-form layout; else NULL."""
     text = strip_ws(c)
-    layouts = [F.try_to_timestamp(text, F.lit(layout)) for layout in FREE_FORM_LAYOUTS]
+    bare = F.regexp_replace(text, _AROUND, "")
+    layouts = [F.try_to_timestamp(bare, F.lit(layout)) for layout in FREE_FORM_LAYOUTS]
+    short = F.try_to_timestamp(bare, F.lit(_TWO_DIGIT_YEAR_LAYOUT))
+    # Two digits from 69 on are of the last century.
+    short = F.when(F.year(short) > _CENTURY_TURNS, short - F.expr("INTERVAL 100 YEARS")).otherwise(short)
+    compact = F.try_to_timestamp(F.regexp_replace(text, "Z$", ""), F.lit("yyyyMMdd'T'HHmmss"))
     return (
         F.when(text.rlike(_ISO_SHAPE), text.try_cast("timestamp"))
         .when(text.rlike(_EPOCH_SHAPE), _from_epoch(text))
-        .when(text.rlike(_FREE_FORM_SHAPE), F.coalesce(*layouts))
+        .when(text.rlike(_COMPACT_SHAPE), compact)
+        .when(text.rlike(_FREE_FORM_SHAPE), F.coalesce(*layouts, short))
     )
 
 

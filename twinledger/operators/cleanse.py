@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from twinledger.functions.numbers import to_number
@@ -16,6 +16,7 @@ from twinledger.functions.text import strip_ws
 from twinledger.functions.timestamps import normalize_iso8601
 from twinledger.operators.ordering import keep_first
 from twinledger.schema import NULL_TOKENS, PRICE_TYPE
+from twinledger.sources.feeds import ARRIVAL, read_arriving_csv
 
 STRICT_IDS = ["trade_id", "instrument", "buy_order_id", "sell_order_id"]
 BASIC_IDS = ["trade_id", "instrument"]
@@ -54,17 +55,38 @@ def keep_positive(df: DataFrame) -> DataFrame:
     """Drop missing and non-positive numbers, then give them their stored types.
 
     Quantity is cut to a whole number after the test, so 0.5 passes here and is left as 0 for
-    validation to reject.
+    validation to reject. Numbers beyond what a store holds are dropped too, never turned into
+    NULL; ``out_of_range`` has those rows with their reasons.
     """
     return (
         df.dropna(subset=["price", "quantity"])
         .filter((F.col("price") > 0) & (F.col("quantity") > 0))
-        .withColumns(
-            {
-                "price": F.col("price").try_cast(PRICE_TYPE),
-                "quantity": F.col("quantity").try_cast("int"),
-            }
-        )
+        .withColumns(_stored_numbers())
+        .dropna(subset=["price", "quantity"])
+    )
+
+
+def _stored_numbers() -> dict[str, Column]:
+    return {
+        "price": F.col("price").try_cast(PRICE_TYPE),
+        "quantity": F.col("quantity").try_cast("int"),
+    }
+
+
+def out_of_range(raw: DataFrame, strict: bool = True) -> DataFrame:
+    """Rows with usable ids and positive numbers that no store can hold, with ``reject_reasons``.
+
+    Price and quantity are left as they were read, in full.
+    """
+    numbers = coerce_numbers(drop_blank_ids(raw, strict)).filter(
+        (F.col("price") > 0) & (F.col("quantity") > 0)
+    )
+    reasons = [
+        F.when(stored.isNull(), F.lit(f"{name} is beyond the store's range"))
+        for name, stored in _stored_numbers().items()
+    ]
+    return numbers.withColumn("reject_reasons", F.array_compact(F.array(*reasons))).filter(
+        F.size("reject_reasons") > 0
     )
 
 
@@ -111,6 +133,7 @@ def rejects_by_rule(raw: DataFrame, strict: bool = True) -> DataFrame:
         F.when(~present, "identifier")
         .when(price.isNull() | quantity.isNull(), "number")
         .when((price <= 0) | (quantity <= 0), "positivity")
+        .when(price.try_cast(PRICE_TYPE).isNull() | quantity.try_cast("int").isNull(), "range")
         .otherwise("usable")
     )
     return raw.select(rule.alias("rule")).groupBy("rule").agg(F.count("*").alias("rows"))
@@ -120,16 +143,21 @@ def write_cleansed_csv(cleansed: DataFrame, path: str) -> None:
     cleansed.write.mode("overwrite").option("header", True).csv(path)
 
 
+def cleanse_csv(spark: SparkSession, input_path: str, output_path: str, strict: bool = True) -> dict[str, float]:
+    """Cleanse a raw CSV, a file or a folder of them, into a CSV. The first copy of an id is the
+    first by file name and line."""
+    return cleanse_feed(read_arriving_csv(spark, input_path), ARRIVAL, output_path, strict)
+
+
 def cleanse_feed(
     raw: DataFrame, order_by: list[str], output_path: str, strict: bool = True
 ) -> dict[str, float]:
-    """Cleanse a feed, write it as CSV and return its metrics, all in one pass over the input."""
-    seen, kept = Observation("rows_in"), Observation("rows_kept")
-    cleansed = cleanse_trades(
-        raw.observe(seen, F.count(F.lit(1)).alias("rows")), order_by, strict
-    ).observe(kept, F.count(F.lit(1)).alias("rows"))
+    """Cleanse a feed, write it as CSV and return its metrics."""
+    kept = Observation("rows_kept")
+    cleansed = cleanse_trades(raw, order_by, strict).observe(kept, F.count(F.lit(1)).alias("rows"))
     write_cleansed_csv(cleansed.drop(*order_by), output_path)
-    initial, retained = seen.get["rows"], kept.get["rows"]
+    # Rows in are counted on their own: below a shuffle a stage that runs again counts twice.
+    initial, retained = raw.count(), kept.get["rows"]
     return {
         "initial_records": initial,
         "retained_records": retained,

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from twinledger.operators.ordering import scan_forward, with_position
 
-# Up to this many intervals every row is compared with each of them.
-FEW_INTERVALS = 256
+# Up to this many intervals are written into the plan as a list that each row is held against.
+FEW_INTERVALS = 32
 
 
 def flag_intervals(
@@ -24,37 +24,43 @@ def flag_intervals(
 ) -> DataFrame:
     """Add a boolean column ``flag``: the row's ``axis`` value lies in an interval of ``kind``.
 
-    ``intervals`` has ``kind``, ``start`` and ``end`` (end excluded); those of one kind must not
-    overlap. A few intervals are broadcast as a range join. More are merged into the feed's
-    order and carried forward to the rows behind them, whatever their number and however the
-    rows bunch up. On an axis of unique whole numbers (as feed positions are) the merged order
-    needs no sort.
+    ``intervals`` has ``kind``, ``start`` and ``end`` (end excluded). They may overlap; an empty one
+    holds nothing. A row without an ``axis`` value is in none. Every row is returned once, whichever
+    of two plans is taken: a few intervals are a list in the expression, without any join; more are
+    merged into the feed's order, where one opens and closes, and a row is inside while any is open.
+    On an axis of unique whole numbers (as feed positions are) the merged order needs no sort.
     """
-    wanted = intervals.filter(F.col("kind") == kind).select("start", "end")
-    if wanted.limit(few + 1).count() <= few:
-        inside = (F.col(axis) >= F.col("start")) & (F.col(axis) < F.col("end"))
-        joined = feed.join(F.broadcast(wanted), inside, "left")
-        return joined.withColumn(flag, F.col("start").isNotNull()).drop("start", "end")
+    wanted = intervals.filter((F.col("kind") == kind) & (F.col("start") < F.col("end")))
+    some = wanted.select("start", "end").limit(few + 1).collect()
+    if len(some) <= few:
+        inside = F.lit(False)
+        for span in some:
+            inside = inside | ((F.col(axis) >= F.lit(span["start"])) & (F.col(axis) < F.lit(span["end"])))
+        return feed.withColumn(flag, F.coalesce(inside, F.lit(False)))
 
     columns = feed.columns
-    marks = wanted.select(
-        *[F.lit(None).cast(feed.schema[c].dataType).alias(c) for c in columns if c != axis],
-        F.col("start").cast(feed.schema[axis].dataType).alias(axis),
-        F.col("end").alias("_end"),
-        F.lit(0).alias("_is_row"),
-    )
-    rows = feed.select(
-        "*",
-        F.lit(None).cast(marks.schema["_end"].dataType).alias("_end"),
-        F.lit(1).alias("_is_row"),
+    # Intervals that open or close at one place are one mark, so marks are unique there.
+    marks = (
+        wanted.select(F.inline(F.array(
+            F.struct(F.col("start").alias("_at"), F.lit(1).alias("_opens")),
+            F.struct(F.col("end").alias("_at"), F.lit(-1).alias("_opens")),
+        )))
+        .groupBy("_at").agg(F.sum("_opens").alias("_opens"))
+        .select(
+            *[F.lit(None).cast(feed.schema[c].dataType).alias(c) for c in columns if c != axis],
+            F.col("_at").cast(feed.schema[axis].dataType).alias(axis),
+            "_opens",
+            F.lit(0).alias("_is_row"),
+        )
     )
+    placed = feed.filter(F.col(axis).isNotNull())
+    rows = placed.select("*", F.lit(0).cast("long").alias("_opens"), F.lit(1).alias("_is_row"))
     merged = rows.unionByName(marks)
     if unique_axis if unique_axis is not None else axis == "ingest_seq":
         timeline = merged.withColumn("_position", F.col(axis) * 2 + F.col("_is_row"))
     else:
         timeline = with_position(merged, [axis, "_is_row", *(tie_break or [])], "_position")
-    open_until = scan_forward(
-        timeline, "_position", lasts={"_open_until": F.col("_end")}, width=width
-    )
-    inside = F.coalesce(F.col(axis) < F.col("_open_until"), F.lit(False))
-    return open_until.filter("_is_row = 1").select(*columns, inside.alias(flag))
+    opened = scan_forward(timeline, "_position", sums={"_open": F.col("_opens")}, width=width)
+    flagged = opened.filter("_is_row = 1").select(*columns, (F.col("_open") > 0).alias(flag))
+    nowhere = feed.filter(F.col(axis).isNull()).withColumn(flag, F.lit(False))
+    return flagged.unionByName(nowhere)

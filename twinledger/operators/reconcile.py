@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from twinledger.operators.ordering import keep_first
 from twinledger.operators.parity import missing_ids, parity_audit
-from twinledger.operators.store import append_idempotent, read_store
+from twinledger.operators.store import append_idempotent, next_batch_id, read_store
 from twinledger.schema import DEAD_LETTERS, TRADE_COLUMNS
 from twinledger.session import materialize
 
@@ -29,19 +29,19 @@ def reconcile(
     legacy_path: str,
     cloud_path: str,
     backlog: DataFrame,
-    replay_id: int = 0,
     order_by: list[str] | None = None,
 ) -> DataFrame:
     """Replay missing trades from ``backlog`` into the cloud store; one summary row.
 
-    The replay writes to the store whatever an outage switch says. Each replay has its own
-    ``replay_id``; repeating one replaces its rows.
+    The replay writes to the store whatever an outage switch says. It always writes a new batch and
+    only what the store lacks, so it may be repeated or tried again at any time.
     """
     legacy, cloud = read_store(spark, legacy_path), read_store(spark, cloud_path)
     missing = materialize(missing_ids(legacy, cloud), "missing_ids")
     initially_missing = missing.count()
     candidates = replay_candidates(backlog, missing, order_by).select(*TRADE_COLUMNS)
-    replayed = append_idempotent(candidates, cloud_path, "replay", replay_id)
+    batch_id = next_batch_id(spark, cloud_path, "replay")
+    replayed = append_idempotent(candidates, cloud_path, "replay", batch_id)
     audit = parity_audit(read_store(spark, legacy_path), read_store(spark, cloud_path))
     return audit.select(
         F.lit(replayed).cast("long").alias("replayed_count"),
@@ -65,7 +65,7 @@ def clear_dead_letters(spark: SparkSession, path: str) -> None:
 
 
 def replay_dead_letters(
-    spark: SparkSession, legacy_path: str, cloud_path: str, dead_letters: str, replay_id: int = 0
+    spark: SparkSession, legacy_path: str, cloud_path: str, dead_letters: str
 ) -> DataFrame:
     """Reconcile from the dead letters, then clear them.
 
@@ -73,7 +73,7 @@ def replay_dead_letters(
     which adds nothing twice. Trades that came while the consumer was halted are not among them.
     """
     letters = read_dead_letters(spark, dead_letters)
-    done = reconcile(spark, legacy_path, cloud_path, letters, replay_id, ["ingest_seq"])
+    done = reconcile(spark, legacy_path, cloud_path, letters, ["ingest_seq"])
     clear_dead_letters(spark, dead_letters)
     return done
 

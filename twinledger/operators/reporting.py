@@ -10,7 +10,6 @@ from twinledger.functions.text import contains_ignore_case, time_of_day
 from twinledger.operators.parity import audit_columns, store_totals
 from twinledger.plans.joins import join_dimension
 from twinledger.schema import (
-    AUDIT_LOG_KEPT,
     AUDIT_LOG_SHOWN,
     CUTOVER_DAYS,
     EXPORT_ID_PREFIX,
@@ -62,8 +61,8 @@ def eod_export(store: DataFrame, generated_at_ms: int) -> DataFrame:
 
 
 def recent_trades(feed: DataFrame, shown: int = RECENT_SHOWN, seq: str = "ingest_seq") -> DataFrame:
-    """Newest first. The report keeps 40 and shows at most that many."""
-    return feed.orderBy(F.desc(seq)).limit(min(shown, RECENT_KEPT))
+    """The newest ``shown`` trades, newest first. The live view shows 15 of the 40 it keeps."""
+    return feed.orderBy(F.desc(seq)).limit(shown)
 
 
 def recent_per_group(
@@ -92,8 +91,8 @@ def phase_cuts(feed: DataFrame, first: int = 150, second: int = 250) -> DataFram
 
 
 def audit_log_tail(log: DataFrame, seq: str = "seq", shown: int = AUDIT_LOG_SHOWN) -> DataFrame:
-    """The last messages of a log. The feature keeps 50 and shows 8."""
-    return log.orderBy(F.desc(seq)).limit(min(shown, AUDIT_LOG_KEPT))
+    """The last ``shown`` messages of a log. The live view shows 8 of the 50 it keeps."""
+    return log.orderBy(F.desc(seq)).limit(shown)
 
 
 def filter_feed(feed: DataFrame, term: str) -> DataFrame:
@@ -165,9 +164,10 @@ def trailing_throughput(
 def transaction_report(store: DataFrame, instruments: DataFrame) -> DataFrame:
     """One line per trade: venue, ISIN where the instrument has one, both parties, notional.
 
-    ``instruments`` has one row per ``symbol`` with its ``isin``.
+    ``instruments`` has ``symbol`` and ``isin``. Of a symbol with several, the smallest ISIN counts,
+    so that no trade is reported twice.
     """
-    isin = instruments.select(F.col("symbol").alias("instrument"), "isin")
+    isin = instruments.groupBy(F.col("symbol").alias("instrument")).agg(F.min("isin").alias("isin"))
     return join_dimension(store, isin, "instrument", "left").select(
         "trade_id",
         F.lit(VENUE_MIC).alias("venue_mic"),
@@ -217,14 +217,16 @@ def daily_parity(legacy: DataFrame, cloud: DataFrame) -> DataFrame:
 
 
 def cutover_gate(days: DataFrame, needed: int = CUTOVER_DAYS) -> DataFrame:
-    """Whether enough consecutive calendar days were in parity.
+    """Whether enough consecutive days of trade were in parity. Days on which the market was closed
+    have no row and break no run.
 
-    ``days`` has one row per calendar day, so the global window orders days, not trades.
+    ``days`` has one row per day, so the global windows order days, not trades.
     """
-    good = days.filter(F.col("status") == STATUS_IN_PARITY).select("day")
+    placed = days.select("status", F.row_number().over(Window.orderBy("day")).alias("_place"))
+    good = placed.filter(F.col("status") == STATUS_IN_PARITY)
     runs = (
         good.withColumn(
-            "_island", F.date_sub("day", F.row_number().over(Window.orderBy("day")))
+            "_island", F.col("_place") - F.row_number().over(Window.orderBy("_place"))
         )
         .groupBy("_island")
         .agg(F.count("*").alias("_days"))

@@ -1,8 +1,9 @@
 """Keyed trade stores on Parquet.
 
 A store is a folder ``writer=<name>/batch_id=<n>/``. Each batch owns its folder, so a batch that
-is tried again replaces its own rows and never sees them as duplicates. A store has one active
-writer at a time.
+is tried again replaces its own rows and never sees them as duplicates. Every stream writes under
+a name of its own, and a replay always takes a new number, so neither ever replaces another's rows.
+A store has one active writer at a time.
 """
 
 from __future__ import annotations
@@ -60,6 +61,17 @@ def read_totals(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STORE_TOTALS).parquet(totals_path(path))
 
 
+def next_batch_id(spark: SparkSession, path: str, writer: str) -> int:
+    """A batch number that ``writer`` has never used in this store. Looked up in the rows and the
+    totals, so that a batch that was cut off between the two counts as used."""
+    create_store(spark, path)
+    ids = read_store(spark, path).select("writer", "batch_id").union(
+        read_totals(spark, path).select("writer", "batch_id")
+    )
+    last = ids.filter(F.col("writer") == writer).agg(F.max("batch_id")).first()[0]
+    return 0 if last is None else last + 1
+
+
 def find_by_id(store: DataFrame, trade_id: str) -> DataFrame:
     """A lookup whose predicate reaches the Parquet scan."""
     return store.filter(F.col("trade_id") == trade_id)

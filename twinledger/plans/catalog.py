@@ -180,6 +180,31 @@ def cleanse_trades_basic(spark, sf):
     return _trades(cleanse.cleanse_trades(samples.dirty_trades(spark, sf), ARRIVAL, strict=False))
 
 
+@query
+def cleanse_from_csv(spark, sf):
+    """Several raw CSV files cleansed into CSV: the first copy of an id is the first by file and line."""
+    raw, out = scratch_dir(spark, "raw_csv"), scratch_dir(spark, "cleansed_csv")
+    ordered = samples.raw_trades(spark, sf).repartitionByRange(4, *ARRIVAL).sortWithinPartitions(*ARRIVAL)
+    feeds.write_trades(_trades(ordered), raw, "csv")
+    cleanse.cleanse_csv(spark, raw, out)
+    return _trades(feeds.read_trades_csv(spark, out))
+
+
+@query
+def cleanse_wide_numbers(spark, sf):
+    """Numbers that are good but too large for a store are set aside with a reason, in full."""
+    wide = samples.wide_trades(spark, sf)
+    aside = cleanse.out_of_range(wide).select(
+        "trade_id", F.col("price").cast("double").alias("price"), F.col("quantity").cast("double").alias("quantity"),
+        F.array_join("reject_reasons", "; ").alias("reasons"),
+    )
+    kept = cleanse.usable_trades(wide).select(
+        "trade_id", F.col("price").cast("double").alias("price"), F.col("quantity").cast("double").alias("quantity"),
+        F.lit("").alias("reasons"),
+    )
+    return kept.unionByName(aside)
+
+
 @query
 def cleanse_metrics(spark, sf):
     raw = samples.raw_trades(spark, sf)
@@ -416,6 +441,22 @@ def shadow_outcomes_by_control(spark, sf):
     )
 
 
+@query
+def overlapping_outages(spark, sf):
+    """Trades inside at least one of many outages that overlap each other, one trade in twenty
+    without a position."""
+    feed = samples.event_trades(spark, sf).select(
+        "trade_id", F.when(F.col("ingest_seq") % 20 != 7, F.col("ingest_seq")).alias("ingest_seq")
+    )
+    spans = samples.event_trades(spark, sf).filter(F.col("ingest_seq") % 10 == 3).select(
+        F.lit(outcomes.PARTITION).alias("kind"),
+        F.col("ingest_seq").alias("start"),
+        (F.col("ingest_seq") + F.col("ingest_seq") % 14).alias("end"),
+    )
+    flagged = outcomes.flag_outages(feed, spans)
+    return flagged.select("trade_id", "ingest_seq", "cut_off")
+
+
 @query
 def outcome_summary(spark, sf):
     return outcomes.outcome_summary(_day_ledger(spark, sf))
@@ -500,6 +541,36 @@ def reconcile_from_dead_letters(spark, sf):
     return _flat_summary(reconcile.reconcile(spark, legacy, _cloud_copy(spark, sf), dropped))
 
 
+@query
+def reconcile_repeated(spark, sf):
+    """Three replays one after another: the second and third find nothing and lose nothing."""
+    legacy, _ = samples.store_paths(spark, sf)
+    cloud, backlog = _cloud_copy(spark, sf), stores.read_store(spark, legacy)
+    return _flat_each([_done(reconcile.reconcile(spark, legacy, cloud, backlog)) for _ in range(3)])
+
+
+@query
+def reconcile_two_outages(spark, sf):
+    """What the outages dropped comes back in one replay, what the halt lost in another."""
+    legacy, _ = samples.store_paths(spark, sf)
+    cloud, backlog = _cloud_copy(spark, sf), stores.read_store(spark, legacy)
+    parts = [backlog.filter(samples.during(kind)) for kind in ("PARTITION", "HALT")]
+    return _flat_each([_done(reconcile.reconcile(spark, legacy, cloud, part)) for part in parts])
+
+
+def _done(summary: DataFrame) -> DataFrame:
+    """A summary taken down at once, before the next replay changes the store that it audits."""
+    return materialize(summary, "replay")
+
+
+def _flat_each(summaries: list[DataFrame]) -> DataFrame:
+    every = [_flat_summary(s).withColumn("replay", F.lit(i)) for i, s in enumerate(summaries)]
+    out = every[0]
+    for one in every[1:]:
+        out = out.unionByName(one)
+    return out
+
+
 @query
 def report_after_replay(spark, sf):
     """Drift, replay, then the report from the shadow store."""
@@ -686,10 +757,79 @@ def stream_dead_letters_replayed(spark, sf):
     return _flat_summary(done).withColumn("letters_left", F.lit(left).cast("long"))
 
 
+@query
+def dead_letters_retried(spark, sf):
+    """A replay that broke off before the letters were cleared is tried again: all is there once."""
+    at = _drill(spark, sf)
+    cloud, letters = samples.fresh_store(spark, "cloud"), scratch_dir(spark, "letters")
+    stores.append_idempotent(_trades(stores.read_store(spark, at.cloud)), cloud, "load", 0, bulk=True)
+    kept = reconcile.read_dead_letters(spark, at.dead_letters)
+    kept.write.partitionBy("batch_id").parquet(letters)
+    reconcile.reconcile(spark, at.legacy, cloud, kept, ["ingest_seq"])
+    reconcile.replay_dead_letters(spark, at.legacy, cloud, letters)
+    return _trades(stores.read_store(spark, cloud))
+
+
+@query
+def stream_two_topics_one_store(spark, sf):
+    """Two topics with a checkpoint each into one store, the second with trades of the first again."""
+    feed = samples.event_trades(spark, sf)
+    n = feed.count()
+    root = scratch_dir(spark, "two_topics")
+    path = f"{root}/store"
+    stores.create_store(spark, path)
+    for name, part in (("a", slices_of(feed, [0, n // 2])[0]), ("b", slices_of(feed, [n // 4, n])[0])):
+        topics.publish(part, f"{root}/{name}")
+        stream = topics.subscribe(spark, f"{root}/{name}")
+        loads.drain(loads.load_legacy(stream, path, f"{root}/checkpoint_{name}"))
+    return _trades(stores.read_store(spark, path))
+
+
+@query
+def stream_fresh_checkpoint(spark, sf):
+    """A topic loaded, more published, and all of it read again from a fresh checkpoint in other batches."""
+    feed = samples.event_trades(spark, sf)
+    n = feed.count()
+    root = scratch_dir(spark, "fresh_checkpoint")
+    topic, path = topics.topic_path(root), f"{root}/store"
+    stores.create_store(spark, path)
+    first, second = slices_of(feed, [0, n // 2, n])
+    topics.publish(first.repartitionByRange(3, "ingest_seq"), topic)
+    loads.drain(loads.load_legacy(topics.subscribe(spark, topic), path, f"{root}/checkpoint"))
+    topics.publish(second, topic)
+    stream = topics.subscribe(spark, topic, max_files=2)
+    loads.drain(loads.load_legacy(stream, path, f"{root}/checkpoint_again"))
+    return stores.read_store(spark, path).select("trade_id")
+
+
+@query
+def stream_outcomes(spark, sf):
+    """What became of each trade that the shadow load met, and the trades it set aside."""
+    return samples.once(spark, sf, "stream_outcomes", lambda: _stream_outcomes(spark, sf))
+
+
+def _stream_outcomes(spark, sf) -> DataFrame:
+    feed = samples.event_trades(spark, sf)
+    n = feed.count()
+    root = scratch_dir(spark, "outcomes")
+    topic, path = topics.topic_path(root), f"{root}/store"
+    stores.create_store(spark, path)
+    for part in slices_of(feed, samples.drill_cuts(n)):
+        topics.publish(part, topic)
+        load = loads.load_cloud(
+            topics.subscribe(spark, topic), path, f"{root}/letters", lambda: samples.drill_outages(spark, n),
+            f"{root}/checkpoint", quarantine=f"{root}/quarantine", outcomes=f"{root}/outcomes",
+        )
+        loads.drain(load)
+    met = spark.read.parquet(f"{root}/outcomes").select("ingest_seq", "trade_id", "cloud_status")
+    refused = spark.read.parquet(f"{root}/quarantine").select("ingest_seq", "trade_id", F.lit("REFUSED").alias("cloud_status"))
+    return met.unionByName(refused)
+
+
 @query
 def stream_parity_log(spark, sf):
     """The audit after each delivery."""
-    return spark.read.parquet(_drill(spark, sf).parity_log).withColumn(
+    return spark.read.parquet(_drill(spark, sf).parity_log).drop("writer").withColumn(
         "batch_id", F.col("batch_id").cast("long")
     )
 

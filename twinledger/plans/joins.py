@@ -32,6 +32,8 @@ def join_dimension(
     A dimension that fits is broadcast. A larger one is shuffled on the key and a salt: each
     dimension row is repeated once per salt, so a frequent key spreads over that many tasks.
     """
+    if how not in ("left", "inner"):
+        raise ValueError(f"a dimension is joined 'left' or 'inner', not {how!r}")
     if fits_broadcast(dimension):
         return facts.join(F.broadcast(dimension), key, how)
     left = facts.withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int"))

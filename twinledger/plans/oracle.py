@@ -464,7 +464,7 @@ SELECT l_orderkey AS arr_order, l_linenumber AS arr_line, price_number AS price,
 FROM marked WHERE price_number > 0 AND quantity_number > 0"""
     sql["normalize_timestamps"] = f"""
 SELECT event_id,
-       CASE event_id % 16
+       CASE event_id % 24
          WHEN 4 THEN strftime(ts - INTERVAL 2 HOUR, {_ISO})
          WHEN 5 THEN strftime(date_trunc('minute', ts), {_ISO})
          WHEN 6 THEN strftime(date_trunc('day', ts), {_ISO})
@@ -473,9 +473,23 @@ SELECT event_id,
          WHEN 11 THEN NULL
          WHEN 13 THEN strftime(date_trunc('minute', ts), {_ISO})
          WHEN 14 THEN NULL WHEN 15 THEN NULL
+         WHEN 16 THEN strftime(date_trunc('day', ts), {_ISO})
+         WHEN 17 THEN strftime(date_trunc('minute', ts), {_ISO})
+         WHEN 21 THEN strftime(date_trunc('day', ts), {_ISO})
+         WHEN 22 THEN strftime(date_trunc('day', ts), {_ISO})
          ELSE strftime(date_trunc('second', ts), {_ISO}) END AS "timestamp"
 FROM events"""
     sql["dedup_keep_first"] = f"WITH {_USABLE} SELECT {_TRADE} FROM firsts"
+    sql["cleanse_from_csv"] = f"WITH {_USABLE} SELECT {_TRADE} FROM clean"
+    sql["cleanse_wide_numbers"] = """
+SELECT 'TRD-' || o_orderkey AS trade_id, p AS price, q AS quantity,
+  CASE WHEN big_p AND big_q THEN 'price is beyond the store''s range; quantity is beyond the store''s range'
+       WHEN big_p THEN 'price is beyond the store''s range' WHEN big_q THEN 'quantity is beyond the store''s range'
+       ELSE '' END AS reasons
+FROM (SELECT o_orderkey, o_orderkey % 5 = 0 AS big_p, o_orderkey % 7 = 0 AS big_q,
+  CASE WHEN o_orderkey % 5 = 0 THEN ('20000000000000' || o_totalprice::DECIMAL(15,2)::VARCHAR)::DOUBLE
+       ELSE o_totalprice::DECIMAL(15,2)::DOUBLE END AS p,
+  CASE WHEN o_orderkey % 7 = 0 THEN 3000000000 ELSE o_orderkey % 100 + 1 END::DOUBLE AS q FROM orders)"""
     sql["cleanse_trades"] = f"WITH {_USABLE} SELECT {_TRADE} FROM clean"
     sql["cleanse_trades_strict"] = _dirty_cleanse("has_strict_ids")
     sql["cleanse_trades_basic"] = _dirty_cleanse("has_ids")
@@ -586,6 +600,11 @@ SELECT ingest_seq, {_TRADE}, 'STORED' AS legacy_status,
   FROM ledger WINDOW w AS (ORDER BY ingest_seq ROWS UNBOUNDED PRECEDING))
 SELECT processed, {_audit('ln', 'cn', 'lv', 'cv')}
 FROM r WHERE processed % {CHECKPOINT_EVERY} = 0 OR processed = total"""
+    sql["overlapping_outages"] = f"""WITH {_EVENT_TRADES}, spans AS (
+  SELECT ingest_seq AS a, ingest_seq + ingest_seq % 14 AS b FROM et WHERE ingest_seq % 10 = 3)
+SELECT trade_id, CASE WHEN ingest_seq % 20 <> 7 THEN ingest_seq END AS ingest_seq,
+  ingest_seq % 20 <> 7 AND EXISTS (SELECT 1 FROM spans WHERE ingest_seq >= a AND ingest_seq < b) AS cut_off
+FROM et"""
     sql["control_state"] = f"WITH {_CONTROL} SELECT * FROM state"
     sql["outage_intervals"] = f"WITH {_CONTROL_OUTAGES} SELECT * FROM outages"
     sql["audit_tail"] = f"WITH {_LOG} SELECT * FROM log ORDER BY seq DESC LIMIT 8"
@@ -597,6 +616,16 @@ SELECT {_TRADE} FROM held WHERE nth = 1 AND trade_id IN (SELECT trade_id FROM go
     sql["reconcile_from_backlog"] = _reconciled("TRUE")
     sql["reconcile_from_dead_letters"] = _reconciled(_CUT)
     sql["report_after_replay"] = _report(_STORES, "legacy")
+    columns = "replayed_count, initial_missing_count, final_status, final_drift, legacy_count, cloud_count, legacy_volume, cloud_volume, volume_difference"
+    sql["reconcile_repeated"] = f"""WITH one AS ({_reconciled("TRUE")})
+SELECT {columns}, 0::INTEGER AS replay FROM one
+UNION ALL SELECT 0, 0, final_status, final_drift, legacy_count, cloud_count, legacy_volume, cloud_volume, volume_difference, 1 FROM one
+UNION ALL SELECT 0, 0, final_status, final_drift, legacy_count, cloud_count, legacy_volume, cloud_volume, volume_difference, 2 FROM one"""
+    sql["reconcile_two_outages"] = f"""WITH one AS ({_reconciled(_CUT)}), whole AS ({_reconciled("TRUE")})
+SELECT {columns}, 0::INTEGER AS replay FROM one
+UNION ALL SELECT whole.replayed_count - one.replayed_count, whole.replayed_count - one.replayed_count, whole.final_status,
+  whole.final_drift, whole.legacy_count, whole.cloud_count, whole.legacy_volume, whole.cloud_volume, whole.volume_difference, 1
+FROM one, whole"""
     halted = "ingest_seq >= (SELECT count(*) FROM feed) // 3"
     sql["failback_proof"] = f"""WITH {_USABLE}, {_ledger('feed', halted, 'FALSE')},
 c AS (SELECT count(DISTINCT trade_id) AS d, count(*) FILTER (WHERE legacy_inserted) AS p,
@@ -650,9 +679,9 @@ FROM legacy"""
     sql["daily_parity"] = f"""WITH {_PER_DAY}
 SELECT day, {_audit('ln', 'cn', 'lv', 'cv')} FROM per_day"""
     sql["cutover_gate"] = f"""WITH {_PER_DAY},
-good AS (SELECT day::DATE AS d FROM per_day WHERE ln = cn AND lv = cv),
+placed AS (SELECT ln = cn AND lv = cv AS good, row_number() OVER (ORDER BY day) AS place FROM per_day),
 runs AS (SELECT count(*) AS days FROM (
-  SELECT d - row_number() OVER (ORDER BY d)::INTEGER AS island FROM good) GROUP BY island)
+  SELECT place - row_number() OVER (ORDER BY place) AS island FROM placed WHERE good) GROUP BY island)
 SELECT coalesce(max(days), 0) AS longest_run_days, coalesce(max(days), 0) >= 7 AS cutover_ready
 FROM runs"""
 
@@ -682,6 +711,24 @@ SELECT (SELECT count(*) FROM back) AS replayed_count,
        lt.v::DOUBLE AS legacy_volume, ct.v::DOUBLE AS cloud_volume,
        abs(lt.v - ct.v)::DOUBLE AS volume_difference, 0::BIGINT AS letters_left
 FROM lt, ct"""
+    sql["dead_letters_retried"] = f"""WITH {_DRILL}, first_in AS (
+  SELECT *, row_number() OVER (PARTITION BY trade_id ORDER BY CASE WHEN cloud_inserted THEN 0 ELSE 1 END, ingest_seq) AS nth
+  FROM ledger WHERE cloud_inserted OR (cut_off AND NOT halted AND trade_id IN (SELECT trade_id FROM ledger WHERE legacy_inserted)))
+SELECT {_TRADE} FROM first_in WHERE nth = 1"""
+    sql["stream_two_topics_one_store"] = f"""WITH {_EVENT_TRADES}, given AS (
+  SELECT *, 0 AS topic FROM et WHERE ingest_seq < n // 2 UNION ALL SELECT *, 1 FROM et WHERE ingest_seq >= n // 4),
+first_in AS (SELECT *, row_number() OVER (PARTITION BY trade_id ORDER BY topic, ingest_seq) AS nth FROM given
+  WHERE instrument IS NOT NULL AND price > 0)
+SELECT {_TRADE} FROM first_in WHERE nth = 1"""
+    sql["stream_fresh_checkpoint"] = f"""WITH {_EVENT_TRADES}
+SELECT DISTINCT trade_id FROM et WHERE instrument IS NOT NULL AND price > 0"""
+    sql["stream_outcomes"] = f"""WITH {_DRILL}
+SELECT ingest_seq, trade_id, cloud_status FROM ledger WHERE NOT halted AND NOT cut_off
+UNION ALL SELECT ingest_seq, trade_id, CASE WHEN ingest_seq >= 7 * n // 8 AND ingest_seq < 15 * n // 16 THEN 'HALTED' ELSE 'DROPPED_BY_CHAOS' END
+FROM et WHERE (ingest_seq >= 7 * n // 8 AND ingest_seq < 15 * n // 16) OR (ingest_seq >= n // 2 AND ingest_seq < 3 * n // 4)
+UNION ALL SELECT ingest_seq, trade_id, 'REFUSED' FROM et
+WHERE NOT (coalesce(instrument IS NOT NULL AND price > 0, FALSE))
+  AND NOT (ingest_seq >= 7 * n // 8 AND ingest_seq < 15 * n // 16) AND NOT (ingest_seq >= n // 2 AND ingest_seq < 3 * n // 4)"""
     sql["stream_parity_log"] = f"""WITH {_DRILL}, parts AS (
   SELECT i AS batch_id, (i + 1) * n // 4 AS upto
   FROM range(4) r(i), (SELECT count(*) AS n FROM events)),

@@ -14,6 +14,22 @@ def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAW_FEED).option("header", True).csv(path)
 
 
+# The order of arrival of a CSV feed: by file name, then by line.
+ARRIVAL = ["arr_file", "arr_block", "arr_row"]
+_ROW_IN_PARTITION = (1 << 33) - 1
+
+
+def read_arriving_csv(spark: SparkSession, path: str) -> DataFrame:
+    """A raw feed with ``ARRIVAL``, its order of arrival. Lines of one block of a file are read in
+    order by one task, so their running number orders them, whatever else the task reads."""
+    return read_raw_csv(spark, path).select(
+        "*",
+        F.col("_metadata.file_path").alias("arr_file"),
+        F.col("_metadata.file_block_start").alias("arr_block"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_IN_PARTITION)).alias("arr_row"),
+    )
+
+
 def read_trades_csv(spark: SparkSession, path: str) -> DataFrame:
     """A cleansed CSV feed as typed trades. What does not fit a type becomes NULL, for
     validation to reject."""

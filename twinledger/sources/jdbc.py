@@ -32,6 +32,12 @@ def jdbc_options(
     return options
 
 
+def write_options(url: str, table: str = "trades", **how) -> dict[str, str]:
+    """The same connection (user, password, driver, …) without what only concerns reading."""
+    reading = ("partition_column", "lower", "upper", "partitions", "fetch_size")
+    return {"url": url, "dbtable": table, **{k: v for k, v in how.items() if k not in reading}}
+
+
 def read_jdbc_store(spark: SparkSession, url: str, table: str = "trades", **how) -> DataFrame:
     rows = spark.read.format("jdbc").options(**jdbc_options(url, table, **how)).load()
     return rows.select(*TRADE_COLUMNS).withColumns(
@@ -45,4 +51,4 @@ def append_jdbc(
     """Add the trades whose ids the table does not hold; its primary key guards against races."""
     held = read_jdbc_store(trades.sparkSession, url, table, **how)
     rows = not_held(first_copies(storable(trades), order_by), held).select(*TRADE_COLUMNS)
-    rows.write.format("jdbc").options(**jdbc_options(url, table)).mode("append").save()
+    rows.write.format("jdbc").options(**write_options(url, table, **how)).mode("append").save()

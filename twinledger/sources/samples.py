@@ -31,19 +31,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows of a table that comes in fewer files than there are cores, over all cores. A table in
-    many files is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
-
-
 def _iso(ts: Column) -> Column:
     return format_iso_utc(ts.cast("timestamp"))
 
 
 def _raw_view(spark: SparkSession, sf_dir: str, more_dirt: bool = False) -> DataFrame:
-    lines = spread(table(spark, sf_dir, "lineitem")).join(
+    lines = table(spark, sf_dir, "lineitem").join(
         table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")
     )
     b = (
@@ -113,6 +106,7 @@ def _more_dirt(clean: Column, dirt: dict[int, str], b: Column) -> Column:
 
 
 # Tables built once per session and data folder: (application, folder, name) to what was built.
+# A session that runs on after its input folder has changed still sees what was built first.
 _built: dict[tuple[str, str, str], object] = {}
 
 
@@ -140,6 +134,21 @@ def dirty_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def wide_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A raw feed of orders in which some prices and quantities are larger than a store holds."""
+    k = F.col("o_orderkey")
+    text = F.col("o_totalprice").cast(PRICE_TYPE).cast("string")
+    return table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("TRD-"), k.cast("string")).alias("trade_id"),
+        F.lit("WIDE").alias("instrument"),
+        F.when(k % 5 == 0, F.concat(F.lit("20000000000000"), text)).otherwise(text).alias("price"),
+        F.when(k % 7 == 0, F.lit("3000000000")).otherwise((k % 100 + 1).cast("string")).alias("quantity"),
+        F.lit("B").alias("buy_order_id"),
+        F.lit("S").alias("sell_order_id"),
+        F.lit("2026-10-01T10:00:00Z").alias("timestamp"),
+    )
+
+
 def clean_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleanse_trades(raw_trades(spark, sf_dir), ARRIVAL)
 
@@ -281,7 +290,7 @@ def control_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def text_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The time of each event, written in one of many layouts; some are not dates at all."""
     ts = F.col("ts").cast("timestamp")
-    layout = F.col("event_id") % 16
+    layout = F.col("event_id") % 24
 
     def as_text(pattern: str) -> Column:
         return F.date_format(ts, pattern)
@@ -302,6 +311,14 @@ def text_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(layout == 12, as_text("yyyy/MM/dd HH:mm:ss"))
         .when(layout == 13, as_text("d MMM yyyy HH:mm"))
         .when(layout == 14, as_text("HH:mm:ss"))
+        .when(layout == 16, as_text("MMMM d, yyyy"))
+        .when(layout == 17, as_text("MM/dd/yyyy hh:mm a"))
+        .when(layout == 18, as_text("MMM d yyyy h:mm:ss a"))
+        .when(layout == 19, F.concat(as_text("E, dd MMM yyyy HH:mm:ss"), F.lit(" GMT")))
+        .when(layout == 20, as_text("yyyyMMdd'T'HHmmss'Z'"))
+        .when(layout == 21, as_text("dd-MMM-yyyy"))
+        .when(layout == 22, as_text("MM/dd/yy"))
+        .when(layout == 23, as_text("MM/dd/yyyy HH:mm:ss.SSS"))
         .otherwise(F.concat(F.lit("99"), F.unix_millis(ts).cast("string")))
     )
     return table(spark, sf_dir, "events").select("event_id", text.alias("timestamp"))

@@ -1,7 +1,8 @@
 """Continuous loads of the two stores from one feed, each at its own pace.
 
 Every consumer is its own streaming query with its own checkpoint. A batch writes only folders
-named after its batch id, so a batch that is tried again replaces what it wrote before.
+named after its query and its batch id, so a batch that is tried again replaces what it wrote before,
+and nothing else: another topic, or a fresh checkpoint, is another query.
 """
 
 from __future__ import annotations
@@ -12,13 +13,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from twinledger.operators.outcomes import flag_outages, reached_cloud
-from twinledger.operators.store import append_idempotent
+from twinledger.operators.outcomes import flag_outages, outcome_ledger, reached_cloud
+from twinledger.operators.store import append_idempotent, read_store
 from twinledger.operators.validate import split_checked, with_trade_reasons
 from twinledger.schema import TRADE_COLUMNS
 from twinledger.sources.payloads import parse_payloads
 
-WRITER = "stream"
+
+def writer_of(batch: DataFrame) -> str:
+    """The name under which a query writes. Its id lives in its checkpoint and survives restarts."""
+    query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not query_id:
+        raise RuntimeError("a stream's batch must be written from within its query")
+    return f"stream-{query_id}"
 
 
 def start(
@@ -33,25 +40,41 @@ def start(
     return writer.trigger(**trigger).start()
 
 
-def drain(query: StreamingQuery, timeout: int = 3600) -> None:
-    """Wait until a query has taken in everything published; its failure fails the caller."""
-    if not query.awaitTermination(timeout):
+def drain(query: StreamingQuery, timeout: int | None = None) -> None:
+    """Wait until a query has taken in everything published; its failure fails the caller. With a
+    ``timeout`` in seconds, a query that takes longer is stopped."""
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError(f"query {query.id} did not drain in {timeout} s")
 
 
-def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
-    """Keep a batch's rows under its id; trying the batch again replaces them."""
-    rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+def write_batch(rows: DataFrame, path: str, writer: str, batch_id: int) -> None:
+    """Keep a batch's rows under its query and its id; trying the batch again replaces them."""
+    rows.write.mode("overwrite").parquet(f"{path}/writer={writer}/batch_id={batch_id}")
+
+
+def set_aside(rows: DataFrame, quarantine: str | None, writer: str, batch_id: int) -> DataFrame:
+    """The rows that a store accepts; the others go to ``quarantine``, if there is one, with reasons."""
+    good, bad = split_checked(with_trade_reasons(rows))
+    if quarantine:
+        write_batch(bad, quarantine, writer, batch_id)
+    return good
 
 
 def load_legacy(
-    stream: DataFrame, store: str, checkpoint: str, every: str | None = None
+    stream: DataFrame,
+    store: str,
+    checkpoint: str,
+    every: str | None = None,
+    quarantine: str | None = None,
 ) -> StreamingQuery:
-    """The primary store takes every new trade."""
+    """The primary store takes every new trade; what breaks a rule goes to ``quarantine``."""
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        append_idempotent(batch, store, WRITER, batch_id, ["ingest_seq"])
+        good = set_aside(batch, quarantine, writer_of(batch), batch_id)
+        append_idempotent(good, store, writer_of(batch), batch_id, ["ingest_seq"])
 
     return start(stream, each_batch, checkpoint, every)
 
@@ -60,24 +83,36 @@ def load_cloud(
     stream: DataFrame,
     store: str,
     dead_letters: str,
-    outages: DataFrame,
+    outages: DataFrame | Callable[[], DataFrame],
     checkpoint: str,
     every: str | None = None,
     axis: str = "ingest_seq",
+    quarantine: str | None = None,
+    outcomes: str | None = None,
 ) -> StreamingQuery:
     """The shadow store takes what reaches it.
 
     Trades of an outage go to the dead letters, copies included; trades that arrive while the
-    consumer is halted are ignored.
+    consumer is halted are ignored. ``outages`` may be a function: it is asked again for every batch, so
+    an outage that begins while the load runs counts from its next batch on. Trades that break a rule go to
+    ``quarantine``, and ``outcomes`` keeps what became of every other trade: each trade of a batch is in one of the two.
     """
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        flagged = flag_outages(batch, outages, axis).persist()
+        writer = writer_of(batch)
+        known = outages() if callable(outages) else outages
+        flagged = flag_outages(batch, known, axis).persist()
         try:
-            reached = flagged.filter(reached_cloud())
-            append_idempotent(reached, store, WRITER, batch_id, ["ingest_seq"])
+            good = set_aside(flagged.filter(reached_cloud()), quarantine, writer, batch_id)
+            if outcomes:
+                held = read_store(batch.sparkSession, store)
+                held = held.filter((F.col("writer") != writer) | (F.col("batch_id") != batch_id))
+                counted = good.unionByName(flagged.filter(~reached_cloud()))
+                ledger = outcome_ledger(counted, axis, cloud=held.select("trade_id"))
+                write_batch(ledger.select(axis, "trade_id", "cloud_status"), outcomes, writer, batch_id)
+            append_idempotent(good, store, writer, batch_id, ["ingest_seq"])
             dropped = flagged.filter(F.col("cut_off") & ~F.col("halted"))
-            write_batch(dropped.drop("cut_off", "halted"), dead_letters, batch_id)
+            write_batch(dropped.drop("cut_off", "halted"), dead_letters, writer, batch_id)
         finally:
             flagged.unpersist()
 
@@ -95,8 +130,9 @@ def load_payloads(
         parsed = parse_payloads(batch).persist()
         try:
             good, bad = split_checked(parsed)
-            append_idempotent(good.select(*TRADE_COLUMNS), store, WRITER, batch_id)
-            write_batch(bad.select("payload", "reject_reasons"), quarantine, batch_id)
+            # Among copies of an id the smallest payload counts, so that a retry picks the same one.
+            append_idempotent(good, store, writer_of(batch), batch_id, ["payload"])
+            write_batch(bad.select("payload", "reject_reasons"), quarantine, writer_of(batch), batch_id)
         finally:
             parsed.unpersist()
 
@@ -110,7 +146,7 @@ def load_checked(
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         good, bad = split_checked(with_trade_reasons(batch))
-        append_idempotent(good, store, WRITER, batch_id, ["ingest_seq"])
-        write_batch(bad, quarantine, batch_id)
+        append_idempotent(good, store, writer_of(batch), batch_id, ["ingest_seq"])
+        write_batch(bad, quarantine, writer_of(batch), batch_id)
 
     return start(stream, each_batch, checkpoint, every)

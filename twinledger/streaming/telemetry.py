@@ -10,7 +10,7 @@ from twinledger.operators.controls import latest_state
 from twinledger.operators.parity import parity_from_totals
 from twinledger.operators.reporting import audit_log_tail, eod_report, recent_trades, throughput
 from twinledger.operators.store import read_totals
-from twinledger.streaming.loads import start, write_batch
+from twinledger.streaming.loads import start, write_batch, writer_of
 
 
 def log_parity(
@@ -25,7 +25,7 @@ def log_parity(
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         audit = parity_from_totals(read_totals(spark, legacy), read_totals(spark, cloud))
-        write_batch(audit, log, batch_id)
+        write_batch(audit, log, writer_of(batch), batch_id)
 
     return start(ticks, each_batch, checkpoint, every)
 
