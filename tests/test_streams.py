@@ -201,3 +201,34 @@ def test_each_delivered_trade_is_accounted_for(spark, tmp_path):
 def test_rate_cap():
     assert [topics.rate_cap(r) for r in (-3, 0, 20, 1000)] == [1, 1, 20, 100]
     assert topics.rate_cap(20, 5) == 100
+
+
+def test_records_are_decoded_or_set_aside(spark, tmp_path):
+    good = {"trade_id": "K1", "instrument": "A", "price": 1.5, "quantity": 2, "buy_order_id": "B",
+            "sell_order_id": "S", "timestamp": "2026-10-01T10:00:00Z"}
+    values = [json.dumps(good), "{broken", json.dumps({**good, "trade_id": "K2", "price": 0}), json.dumps({**good, "trade_id": "K3"}), None]
+    records = spark.createDataFrame([(v, i % 2, i) for i, v in enumerate(values)], "v string, partition int, offset long").select(
+        F.col("v").cast("binary").alias("value"), "partition", "offset", F.lit("2026-01-01 00:00:00").cast("timestamp").alias("timestamp")
+    )
+    rows = topics.decode_records(records).collect()
+    assert len(rows) == len(values) and len({r.ingest_seq for r in rows}) == len(values)
+    assert {r.trade_id for r in rows if not r.reject_reasons} == {"K1", "K3"}
+    assert all(r.event_ts is not None for r in rows)
+    assert topics.rate_cap(20) == int(topics.kafka_options("h", max_offsets=topics.rate_cap(20))["maxOffsetsPerTrigger"])
+
+
+def test_jdbc_options_of_both_sides():
+    from twinledger.sources.jdbc import jdbc_options, write_options
+
+    login = {"user": "u", "password": "p", "driver": "d"}
+    how = {**login, "partition_column": "batch", "lower": 0, "upper": 9, "partitions": 4, "fetch_size": 5}
+    reading, writing = jdbc_options("jdbc:x", "t", **how), write_options("jdbc:x", "t", **how)
+    assert login.items() <= reading.items() and reading["numPartitions"] == "4"
+    assert writing == {"url": "jdbc:x", "dbtable": "t", **login}
+
+
+def test_a_dimension_is_joined_left_or_inner(spark):
+    from twinledger.plans.joins import join_dimension
+
+    with pytest.raises(ValueError):
+        join_dimension(spark.range(3), spark.range(3), "id", "full")

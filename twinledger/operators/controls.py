@@ -12,6 +12,7 @@ from twinledger.schema import (
     LOG_CHAOS_OFF,
     LOG_CHAOS_ON,
     LOG_CUTOVER,
+    LOG_RECONCILED,
     LOG_RESET,
     LOG_ROLLBACK,
     LOG_STREAM_PAUSED,
@@ -101,6 +102,15 @@ def outage_intervals(state: DataFrame, end_of_feed: int, width: int | None = Non
     return materialize(pairs.select(F.lit(PARTITION).alias("kind"), "start", "end"), "outages")
 
 
+def reconciliation_message(summary: DataFrame, seq: int) -> DataFrame:
+    """The operator log's message for a replay, from its one-row summary."""
+    tag, kind, text = LOG_RECONCILED
+    message = F.format_string(text, F.col("replayed_count"), F.col("final_status"))
+    return summary.select(
+        F.lit(seq).cast("long").alias("seq"), F.lit(tag).alias("tag"), F.lit(kind).alias("type"), message.alias("msg")
+    )
+
+
 def log_messages(state: DataFrame) -> DataFrame:
     """The operator log: one message per event that has one (a change of rate has none)."""
     action = F.col("action")

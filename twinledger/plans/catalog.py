@@ -110,6 +110,17 @@ def json_payload_ingest(spark, sf):
     return _reasons_text(parsed.select("source_id", *TRADE_COLUMNS, "reject_reasons"))
 
 
+@query
+def kafka_records_decoded(spark, sf):
+    """Records as a broker gives them, some cut short: positions by partition and offset, none lost."""
+    decoded = topics.decode_records(samples.records(spark, sf))
+    good = F.size("reject_reasons") == 0
+    return decoded.select(
+        "ingest_seq", F.when(good, F.col("trade_id")).alias("trade_id"), good.alias("is_accepted"),
+        F.when(good, F.unix_seconds("event_ts")).alias("event_seconds"),
+    )
+
+
 @query
 def store_scan(spark, sf):
     legacy, _ = samples.stores(spark, sf)
@@ -571,6 +582,14 @@ def _flat_each(summaries: list[DataFrame]) -> DataFrame:
     return out
 
 
+@query
+def reconcile_message(spark, sf):
+    """The operator log's message after a replay from the backlog."""
+    legacy, _ = samples.store_paths(spark, sf)
+    done = reconcile.reconcile(spark, legacy, _cloud_copy(spark, sf), stores.read_store(spark, legacy))
+    return controls.reconciliation_message(done, 1)
+
+
 @query
 def report_after_replay(spark, sf):
     """Drift, replay, then the report from the shadow store."""

@@ -616,6 +616,14 @@ SELECT {_TRADE} FROM held WHERE nth = 1 AND trade_id IN (SELECT trade_id FROM go
     sql["reconcile_from_backlog"] = _reconciled("TRUE")
     sql["reconcile_from_dead_letters"] = _reconciled(_CUT)
     sql["report_after_replay"] = _report(_STORES, "legacy")
+    sql["reconcile_message"] = f"""WITH one AS ({_reconciled("TRUE")})
+SELECT 1::BIGINT AS seq, 'RECON' AS tag, 'success' AS "type",
+  'Idempotent replay restored ' || replayed_count || ' missing trades. Parity: ' || final_status || '.' AS msg FROM one"""
+    sql["kafka_records_decoded"] = f"""WITH {_EVENT_TRADES}, r AS (
+  SELECT *, ingest_seq % 50 <> 1 AND coalesce(instrument IS NOT NULL AND price > 0, FALSE) AS ok FROM et)
+SELECT (ingest_seq % 4) * 281474976710656 + ingest_seq // 4 AS ingest_seq, CASE WHEN ok THEN trade_id END AS trade_id,
+  ok AS is_accepted, CASE WHEN ok THEN floor(epoch(ts0))::BIGINT END AS event_seconds
+FROM (SELECT *, event_ts AS ts0 FROM r)"""
     columns = "replayed_count, initial_missing_count, final_status, final_drift, legacy_count, cloud_count, legacy_volume, cloud_volume, volume_difference"
     sql["reconcile_repeated"] = f"""WITH one AS ({_reconciled("TRUE")})
 SELECT {columns}, 0::INTEGER AS replay FROM one

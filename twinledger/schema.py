@@ -203,4 +203,5 @@ LOG_ROLLBACK = (
     "alert",
     "Failback executed! Legacy Hot-Standby resumed primary matching (0.00% data loss).",
 )
+LOG_RECONCILED = ("RECON", "success", "Idempotent replay restored %d missing trades. Parity: %s.")
 LOG_RESET = ("SYSTEM", "info", "Databases reset to initial state.")

@@ -269,6 +269,20 @@ def event_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event trades as records of a topic with four partitions; one in fifty is cut short."""
+    e = F.col("ingest_seq")
+    whole = F.to_json(F.struct(*TRADE_COLUMNS))
+    text = F.when(e % 50 == 1, F.substring(whole, F.lit(1), F.length(whole) - 15)).otherwise(whole)
+    return event_trades(spark, sf_dir).select(
+        F.col("trade_id").cast("binary").alias("key"),
+        text.cast("binary").alias("value"),
+        (e % 4).cast("int").alias("partition"),
+        F.floor(e / 4).alias("offset"),
+        F.col("event_ts").alias("timestamp"),
+    )
+
+
 def control_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator actions from ``events``: the kind of event names the action."""
     kind = F.col("event_type")

@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twinledger.schema import DEFAULT_TOPIC, FEED, RATE_MAX, RATE_MIN
+from twinledger.sources.payloads import parse_payloads
+
+# Positions leave this many bits to the offset, the rest to the partition.
+_OFFSET_BITS = 48
 
 
 def topic_path(root: str, topic: str = DEFAULT_TOPIC) -> str:
@@ -57,11 +61,37 @@ def decode_kafka(records: DataFrame) -> DataFrame:
     return records.select(trade.alias("_t")).select("_t.*")
 
 
+def decode_records(records: DataFrame) -> DataFrame:
+    """Kafka records with trades of seven fields to feed rows with ``payload`` and ``reject_reasons``.
+
+    No record is lost: what is not JSON, lacks a field or breaks a rule keeps its text and its
+    reasons. The position is that in the topic, by partition and offset, and the time is the trade's
+    own or else the broker's.
+    """
+    texts = records.select(
+        F.col("value").cast("string").alias("payload"),
+        (F.shiftleft(F.col("partition").cast("long"), _OFFSET_BITS) + F.col("offset")).alias("ingest_seq"),
+        F.col("timestamp").alias("_broker_time"),
+    )
+    parsed = parse_payloads(texts)
+    at = F.coalesce(F.try_to_timestamp("timestamp"), F.col("_broker_time"))
+    return parsed.withColumn("event_ts", at).drop("_broker_time")
+
+
 def subscribe_kafka(
-    spark: SparkSession, servers: str, topic: str = DEFAULT_TOPIC, max_offsets: int | None = None
+    spark: SparkSession,
+    servers: str,
+    topic: str = DEFAULT_TOPIC,
+    max_offsets: int | None = None,
+    trades_per_second: int | None = None,
+    trigger_seconds: int = 1,
 ) -> DataFrame:
+    """A stream of records, decoded by ``decode_records``. ``trades_per_second`` caps each trigger, within
+    the limits of the target rate."""
+    if trades_per_second is not None:
+        max_offsets = rate_cap(trades_per_second, trigger_seconds)
     options = kafka_options(servers, topic, max_offsets)
-    return decode_kafka(spark.readStream.format("kafka").options(**options).load())
+    return decode_records(spark.readStream.format("kafka").options(**options).load())
 
 
 def publish_kafka(trades: DataFrame, servers: str, topic: str = DEFAULT_TOPIC) -> None:

@@ -139,6 +139,20 @@ def load_payloads(
     return start(stream, each_batch, checkpoint, every)
 
 
+def load_records(
+    stream: DataFrame, store: str, quarantine: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
+    """Decoded records, as ``topics.decode_records`` gives them, to the store in topic order; the rest go to
+    quarantine with their text and reasons."""
+
+    def each_batch(batch: DataFrame, batch_id: int) -> None:
+        good, bad = split_checked(batch)
+        append_idempotent(good, store, writer_of(batch), batch_id, ["ingest_seq"])
+        write_batch(bad.select("ingest_seq", "payload", "reject_reasons"), quarantine, writer_of(batch), batch_id)
+
+    return start(stream, each_batch, checkpoint, every)
+
+
 def load_checked(
     stream: DataFrame, store: str, quarantine: str, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
