@@ -35,7 +35,21 @@ def _average_value() -> Column:
 
 def eod_report(store: DataFrame) -> DataFrame:
     """Executions, total notional and average value of an execution, with the fixed labels."""
-    return store_totals(store).select(
+    return _report(store_totals(store))
+
+
+def eod_report_from_totals(totals: DataFrame) -> DataFrame:
+    """The same report from what each batch added, without a scan of the store."""
+    return _report(
+        totals.agg(
+            F.coalesce(F.sum("trade_count"), F.lit(0)).alias("trade_count"),
+            F.coalesce(F.sum("volume"), F.lit(0)).cast("decimal(36,2)").alias("volume"),
+        )
+    )
+
+
+def _report(totals: DataFrame) -> DataFrame:
+    return totals.select(
         F.col("trade_count").alias("total_reported_executions"),
         F.round("volume", 2).cast("double").alias("total_notional_volume"),
         F.round(_average_value(), 2).alias("average_execution_value"),
@@ -43,8 +57,10 @@ def eod_report(store: DataFrame) -> DataFrame:
     )
 
 
-def eod_export(store: DataFrame, generated_at_ms: int) -> DataFrame:
-    """The downloadable form of the report; the time it is made is passed in."""
+def eod_export(
+    store: DataFrame, generated_at_ms: int, labels: dict[str, str] = EXPORT_LABELS
+) -> DataFrame:
+    """The downloadable form of the report; the time it is made and its labels are passed in."""
     made = F.timestamp_millis(F.lit(generated_at_ms))
     return store_totals(store).select(
         F.lit(f"{EXPORT_ID_PREFIX}{generated_at_ms}").alias("report_id"),
@@ -53,7 +69,7 @@ def eod_export(store: DataFrame, generated_at_ms: int) -> DataFrame:
         F.col("volume").cast("double").alias("aggregate_notional_volume"),
         _average_value().alias("average_trade_value"),
         F.lit(0.0).alias("data_loss_percentage"),
-        *_labels(EXPORT_LABELS),
+        *_labels(labels),
     )
 
 

@@ -920,14 +920,14 @@ def stream_throughput(spark, sf):
 def telemetry_snapshot(spark, sf):
     """The dashboard's record, with its nested parts written out."""
     at = _drill(spark, sf)
-    legacy, cloud = stores.read_store(spark, at.legacy), stores.read_store(spark, at.cloud)
+    legacy, cloud = stores.read_totals(spark, at.legacy), stores.read_totals(spark, at.cloud)
     feed = samples.event_trades(spark, sf)
     flagged = outcomes.flag_outages(feed, samples.drill_outages(spark, feed.count()))
     record = outcomes.feed_record(flagged).drop("halted", "cut_off", "event_ts")
     state = _control_state(spark, sf)
     snapshot = telemetry.telemetry_snapshot(
-        parity.parity_audit(legacy, cloud),
-        cloud,
+        parity.parity_from_totals(legacy, cloud),
+        reporting.eod_report_from_totals(cloud),
         record.withColumn("event_ts", F.to_timestamp("timestamp")),
         state,
         controls.log_messages(state),

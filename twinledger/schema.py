@@ -168,7 +168,7 @@ REPORT_LABELS = {
 EXPORT_ID_PREFIX = "FINRA_CAT_EOD_"
 EXPORT_LABELS = {
     "compliance_standard": "FINRA CAT Section 6800 / MiFID II RTS 22",
-    "migration_architecture": "Hexagonal Clean Architecture (Challenge 1.2)",
+    "migration_architecture": "Hexagonal Clean Architecture",
     "source_database": "AWS Aurora Multi-AZ Cloud PostgreSQL",
     "on_prem_engine_impact": "0% CPU (100% Query I/O Offloaded to Cloud)",
     "verified_by": "Out-of-Band Parity Checker Engine",

@@ -158,13 +158,11 @@ def delivery_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def build() -> DataFrame:
         usable = usable_trades(raw_trades(spark, sf_dir)).dropna(subset=["timestamp"])
-        return materialize(
-            with_position(usable, ARRIVAL).select(
-                *TRADE_COLUMNS,
-                "ingest_seq",
-                F.to_timestamp("timestamp").alias("event_ts"),
-            ),
-            "delivery_feed",
+        # Numbering writes the sorted rows once; they are not written again.
+        return with_position(usable, ARRIVAL).select(
+            *TRADE_COLUMNS,
+            "ingest_seq",
+            F.to_timestamp("timestamp").alias("event_ts"),
         )
 
     return once(spark, sf_dir, "delivery_feed", build)

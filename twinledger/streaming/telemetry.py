@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from twinledger.operators.controls import latest_state
 from twinledger.operators.parity import parity_from_totals
-from twinledger.operators.reporting import audit_log_tail, eod_report, recent_trades, throughput
+from twinledger.operators.reporting import audit_log_tail, recent_trades, throughput
 from twinledger.operators.store import read_totals
 from twinledger.streaming.loads import start, write_batch, writer_of
 
@@ -59,7 +59,7 @@ def log_throughput(
 
 def telemetry_snapshot(
     audit: DataFrame,
-    store: DataFrame,
+    report: DataFrame,
     feed: DataFrame,
     state: DataFrame,
     messages: DataFrame,
@@ -67,10 +67,15 @@ def telemetry_snapshot(
 ) -> DataFrame:
     """One row: audit, control flags, rate, report, latest trades and latest log messages.
 
-    Each part is one row or a short top-k list before the parts are put side by side. The rate is
-    that of the last bucket; an idle stream shows its target rate instead.
+    ``audit`` and ``report`` are one row each, best taken from batch totals, so that no store is scanned. Each
+    part is one row or a short top-k list before the parts are put side by side. The rate is that of
+    the last bucket, the only one that is counted; an idle stream shows its target rate instead.
     """
-    newest = throughput(feed, bucket).orderBy(F.desc("bucket_start")).limit(1)
+    last = feed.agg(F.max("event_ts").alias("_last"))  # one row
+    recent = feed.crossJoin(F.broadcast(last)).filter(
+        F.col("event_ts") > F.col("_last") - F.expr(f"INTERVAL {bucket}")
+    )
+    newest = throughput(recent.drop("_last"), bucket).orderBy(F.desc("bucket_start")).limit(1)
     shown = recent_trades(feed)
     trade = F.struct("ingest_seq", *[c for c in feed.columns if c != "ingest_seq"])
     tail = audit_log_tail(messages)
@@ -78,7 +83,7 @@ def telemetry_snapshot(
         "audit": audit.agg(F.first(F.struct(*audit.columns)).alias("v")),
         "state": latest_state(state).agg(F.first(F.struct(*state.columns)).alias("v")),
         "rate": newest.agg(F.coalesce(F.first("trades"), F.lit(0)).alias("v")),
-        "reporting": eod_report(store).agg(F.first(F.struct("*")).alias("v")),
+        "reporting": report.agg(F.first(F.struct("*")).alias("v")),
         "latest_trades": shown.agg(F.sort_array(F.collect_list(trade), asc=False).alias("v")),
         "recent_logs": tail.agg(F.sort_array(F.collect_list(F.struct("*"))).alias("v")),
     }
