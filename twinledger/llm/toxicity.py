@@ -32,7 +32,7 @@ from twinledger.llm.common import packed, unpacked
 from twinledger.session import materialize
 
 SAMPLE_ROWS = 10_000
-MOST_VOTERS = 2_000
+MOST_VOTERS = 1_000
 FOLDS = 5
 BEGINNINGS = (4, 5, 6, 7)
 MOST_REPEATS = 3
@@ -105,7 +105,7 @@ class LabelModel:
         on, off = np.log(self.fires), np.log1p(-self.fires)
         ratio = (on[:, 1] - on[:, 0] - off[:, 1] + off[:, 0]) * self.weights
         base = np.log(self.prior / (1 - self.prior)) + ((off[:, 1] - off[:, 0]) * self.weights).sum()
-        return 1 / (1 + np.exp(-np.clip(votes @ ratio + base, -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(votes @ ratio.astype(votes.dtype) + base, -30, 30)))
 
 
 def fit_label_model(votes: np.ndarray, start: np.ndarray, rounds: int = 15) -> LabelModel:
@@ -113,7 +113,7 @@ def fit_label_model(votes: np.ndarray, start: np.ndarray, rounds: int = 15) -> L
     p = start
     weights = np.ones(votes.shape[1])
     for turn in range(rounds):
-        mass = np.stack([1 - p, p])
+        mass = np.stack([1 - p, p]).astype(votes.dtype)
         fires = ((mass @ votes + 0.1) / (mass.sum(1, keepdims=True) + 1.0)).T
         fires = np.clip(fires, 1e-4, 1 - 1e-4)
         if turn in (1, rounds // 2):
@@ -123,13 +123,19 @@ def fit_label_model(votes: np.ndarray, start: np.ndarray, rounds: int = 15) -> L
     return model
 
 
-def _shares(votes: np.ndarray, fires: np.ndarray, p: np.ndarray) -> np.ndarray:
+def _shares(votes: np.ndarray, fires: np.ndarray, p: np.ndarray, rows: int = 1000) -> np.ndarray:
     """One over the number of voters that each voter's vote amounts to, from residual correlations."""
-    expected = np.outer(1 - p, fires[:, 0]) + np.outer(p, fires[:, 1])
-    rest = votes - expected
-    scale = np.sqrt((rest**2).sum(0)) + 1e-9
-    correlation = (rest.T @ rest) / np.outer(scale, scale)
-    return 1 / np.where(correlation > 0.2, correlation, 0).sum(0).clip(1.0)
+    products = np.zeros((votes.shape[1], votes.shape[1]), np.float32)
+    rates, p = fires.T.astype(np.float32), p.astype(np.float32)
+    for at in range(0, len(votes), rows):
+        part = p[at : at + rows, None]
+        rest = votes[at : at + rows] - (1 - part) * rates[0] - part * rates[1]
+        products += rest.T @ rest
+    scale = np.sqrt(products.diagonal()) + np.float32(1e-6)
+    products /= scale
+    products /= scale[:, None]
+    products[products <= 0.2] = 0
+    return 1 / products.sum(0, dtype=np.float64).clip(1.0)
 
 
 @dataclass
@@ -203,15 +209,16 @@ def _learn(rows: list[tuple[list[int], float]], voters: Voters) -> Model:
         weights[lexicon] = 4.0
         return Model(voters, weights, -3.0)
     size = len(voters.number)
-    fired = np.zeros((len(rows), size + 1), np.float32)
+    fired = np.zeros((len(rows), size + 1), np.uint8)
     for i, (v, label) in enumerate(rows):
         fired[i, v] = 1
         fired[i, size] = label
     label = fired[:, size].astype(float)
-    support = fired.sum(0)
+    support = fired.sum(0, dtype=np.int64)
     used = np.flatnonzero(support >= 3)  # what hardly ever fires tells the model nothing
-    model = fit_label_model(fired[:, used].astype(np.float32), 0.05 + 0.9 * label)
-    targets = model.posterior(fired[:, used])
+    votes = fired[:, used].astype(np.float32)
+    del fired
+    targets = fit_label_model(votes, 0.05 + 0.9 * label).posterior(votes).astype(float)
     # A lexicon word that the rows do not show is taken at its word: a few made-up rows.
     unseen = [j for j in lexicon if support[j] < 3]
     lists = [v for v, _ in rows] + [[j] for j in unseen]
