@@ -202,3 +202,16 @@ def test_a_replay_number_is_never_used_twice(spark, tmp_path):
 
     shutil.rmtree(f"{stores.totals_path(path)}/writer=replay/batch_id=7")
     assert stores.next_batch_id(spark, path, "replay") == 8
+
+
+def test_totals_are_healed_after_a_crash(spark, tmp_path):
+    import shutil
+
+    path = str(tmp_path / "store")
+    stores.append_idempotent(trades(spark, T1), path, "load", 0)
+    stores.append_idempotent(trades(spark, T2), path, "load", 1)
+    want = sorted(map(tuple, stores.read_totals(spark, path).collect()))
+    shutil.rmtree(f"{stores.totals_path(path)}/writer=load/batch_id=1")
+    for _ in range(2):
+        stores.heal_totals(spark, path)
+        assert sorted(map(tuple, stores.read_totals(spark, path).collect())) == want

@@ -61,6 +61,18 @@ def read_totals(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STORE_TOTALS).parquet(totals_path(path))
 
 
+def heal_totals(spark: SparkSession, path: str) -> None:
+    """Write the totals of batches that have rows but no totals, as a crash between the two leaves
+    them. For a writer to call when it starts; it reads price and quantity of the store."""
+    known = read_totals(spark, path).select(*_LAYOUT).distinct()
+    lacking = read_store(spark, path).join(known, _LAYOUT, "left_anti")
+    totals = lacking.groupBy(*_LAYOUT).agg(
+        F.count("*").alias("trade_count"),
+        F.sum(notional()).cast("decimal(36,2)").alias("volume"),
+    )
+    totals.write.mode("append").partitionBy(*_LAYOUT).parquet(totals_path(path))
+
+
 def next_batch_id(spark: SparkSession, path: str, writer: str) -> int:
     """A batch number that ``writer`` has never used in this store. Looked up in the rows and the
     totals, so that a batch that was cut off between the two counts as used."""
