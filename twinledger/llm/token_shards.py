@@ -18,7 +18,9 @@ from __future__ import annotations
 
 import base64
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -40,10 +42,17 @@ SEQUENCE = 512
 PER_SHARD = 2048
 KEY = 0x5EED
 ROUNDS = 4
-_CACHE = 100_000
+_CACHE = 200_000
 _UNSAFE = re.compile(r" (?:\s|$)")
 
 
+def _bytes(ids: list[int]) -> bytes:
+    own = array("H", ids)
+    if sys.byteorder == "big":
+        own.byteswap()
+    return own.tobytes()
+
+
 class Tokenizer:
     """Byte-level BPE; ids as little-endian 16-bit numbers."""
 
@@ -57,7 +66,7 @@ class Tokenizer:
         self._known: dict[str, bytes] = {}
 
     def _piece(self, piece: str) -> bytes:
-        ids = np.array(self._coder.encode_ordinary(piece), "<u2").tobytes()
+        ids = _bytes(self._coder.encode_ordinary(piece))
         if len(self._known) < _CACHE:
             self._known[piece] = ids
         return ids
@@ -66,7 +75,7 @@ class Tokenizer:
         """The pattern never cuts inside `` word``, so such pieces are looked up on their own; a text
         where a space precedes other white space or ends it is encoded whole."""
         if _UNSAFE.search(text):
-            return np.array(self._coder.encode_ordinary(text), "<u2").tobytes()
+            return _bytes(self._coder.encode_ordinary(text))
         pieces = text.replace(" ", "\0 ").split("\0") if "\0" not in text else [text]
         get = self._known.get
         return b"".join([get(p) or self._piece(p) for p in pieces])
