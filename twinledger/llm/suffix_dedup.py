@@ -11,16 +11,17 @@ One array over all texts would be one task, so the strings are dealt out first.
 Equal strings have equal anchors at equal places, so they are compared only within their anchor's group.
 
 1. Each document sends its anchors' hashes. Anchors of one document only cannot matter and are dropped.
-2. The text around each remaining anchor, with the strings that it is the anchor of, is a segment.
-   Equal segments are one, with the smallest id that has it.
-3. Groups of anchors are searched by backward extension. What comes out is, for each segment, which of
-   its strings also start in a document before the first one that has the segment. In all later
-   documents every string of the segment repeats.
-4. That is joined back to where the segments stand, and the covered bytes are cut.
-
-Hot anchors: a task reports what it sees in two documents itself and sends one row per hash. Equal segments are
-combined before the shuffle. An anchor that stands in very many different segments leaves the search:
-its strings are grouped one by one (``MOST_SEGMENTS``), with the same result.
+2. The text around each remaining anchor, with the strings that it is the anchor of, is a segment. Where the
+   same segment stands in a document with a smaller id, all its strings repeat. That is settled by hashes,
+   so the inside of long repeats is never sent as text.
+3. The first document with a segment may still share some of its strings with other segments of the
+   anchor. Their texts are searched by backward extension, which gives the strings that a smaller id has too.
+4. The bytes so covered are cut.
+
+Hot anchors and segments: a task reports what it sees in two documents itself and sends one row per hash
+or segment. An anchor that stands in very many different segments (``MOST_SEGMENTS``) leaves the
+search: its strings are grouped one by one, pre-aggregated, with the same result. Texts are shuffled once; the
+three joins to them share that exchange.
 
 A NULL id is larger than all others and no smaller than itself. NULL texts are empty. Documents that share
 an id do not remove each other's bytes.
@@ -35,12 +36,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from twinledger.llm.common import utf8
-from twinledger.plans.joins import join_dimension
-from twinledger.session import materialize
 
 LENGTH = 50
 PIECE = 20
@@ -206,44 +205,30 @@ def _segments(text: bytes, wanted: list[int], buckets: int) -> Iterator[tuple[in
         yield key, at - a, a, text[a : b + LENGTH]
 
 
-def _names(segment: bytes, offset: int) -> tuple[int, int]:
-    """128 bits that name a segment and its anchor's place, as two signed numbers."""
-    name = xxhash.xxh3_128_intdigest(segment, offset)
-    high, low = name >> 64, name & (2**64 - 1)
-    return high - (high >> 63 << 64), low - (low >> 63 << 64)
-
-
-def _each_segment(buckets: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            least: dict[tuple, int] = {}
-            for place, text, wanted in zip(*(batch.column(n) for n in ("place", "text", "wanted"))):
-                own = place.as_py()
-                for key, offset, _, segment in _segments(text.as_py(), wanted.values.to_numpy(zero_copy_only=False), buckets):
-                    name = (key, offset, segment)
-                    least[name] = min(own, least.get(name, own))
-            if least:
-                keys, offsets, segments = zip(*least)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.int64()), pa.array(offsets, pa.int32()), pa.array(segments, pa.binary()), pa.array(least.values(), pa.int64())],
-                    names=["key", "offset", "segment", "least"],
-                )
-
-    return run
+_PLACE_ROWS = "key long, sure boolean, name long, uid long, place long, at int, strings int"
 
 
 def _each_place(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
+            rows, least = [], {}
             for uid, place, text, wanted in zip(*(batch.column(n) for n in ("uid", "place", "text", "wanted"))):
-                home = (uid.as_py(), place.as_py())
-                for _, offset, at, segment in _segments(text.as_py(), wanted.values.to_numpy(zero_copy_only=False), buckets):
-                    rows.append((*_names(segment, offset), *home, at, len(segment) - LENGTH + 1))
-            if rows:
-                types = [pa.int64()] * 4 + [pa.int32()] * 2
-                names = ["high", "low", "uid", "place", "at", "strings"]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+                home, own = uid.as_py(), place.as_py()
+                for key, offset, at, segment in _segments(text.as_py(), wanted.values.to_numpy(zero_copy_only=False), buckets):
+                    name = xxhash.xxh3_64_intdigest(segment, offset) - (1 << 63)
+                    rows.append((key, name, home, own, at, len(segment) - LENGTH + 1))
+                    least[key, name] = min(own, least.get((key, name), own))
+            if not rows:
+                continue
+            # What stands in an earlier document of this very task needs no more comparing, and goes
+            # to any task at all, not to its anchor's.
+            sure = [own > least[key, name] for key, name, _, own, _, _ in rows]
+            keys, names, homes, owns, ats, strings = zip(*rows)
+            keys = [home if known else key for key, home, known in zip(keys, homes, sure)]
+            columns = [keys, sure, names, homes, owns, ats, strings]
+            types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+            labels = ["key", "sure", "name", "uid", "place", "at", "strings"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=labels)
 
     return run
 
@@ -308,48 +293,41 @@ def repeated_strings(segments: list[bytes], least: np.ndarray) -> list[np.ndarra
     return [earlier[a : a + n - LENGTH + 1] if some else None for a, n, some in zip(starts.tolist(), sizes.tolist(), any_.tolist())]
 
 
-def _runs(flags: np.ndarray) -> list[dict]:
+def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
     edges = np.flatnonzero(np.diff(np.concatenate(([0], flags.astype(np.int8), [0]))))
-    return [{"a": int(a), "b": int(b)} for a, b in zip(edges[0::2], edges[1::2])]
+    return list(zip(edges[0::2].tolist(), edges[1::2].tolist()))
 
 
-_JUDGED = pa.schema(
-    [
-        ("high", pa.int64()), ("low", pa.int64()), ("least", pa.int64()),
-        ("runs", pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))),
-    ]
-)
-_JUDGED_DDL = "high long, low long, least long, runs array<struct<a:int,b:int>>"
+_RANGES = "uid long, place long, a int, b int"
 
 
 def _search(rows: pa.Table) -> pa.Table:
-    """Search a bucket of segments, some anchors at a time."""
+    """Search a bucket of segments, some anchors at a time; the byte ranges of what repeats."""
     rows = rows.sort_by("key")
-    key = rows.column("key").to_numpy()
-    segments, offsets = rows.column("segment").to_pylist(), rows.column("offset").to_pylist()
-    least = rows.column("least").to_numpy()
-    runs: list[list[dict]] = [[] for _ in segments]
+    key, least = rows.column("key").to_numpy(), rows.column("place").to_numpy()
+    segments = rows.column("segment").to_pylist()
+    uid, at = rows.column("uid").to_numpy(), rows.column("at").to_numpy()
+    found: list[tuple[int, int, int, int]] = []
     cuts = np.append(np.flatnonzero(np.append(True, key[1:] != key[:-1])), len(key)) if len(key) else [0]
     batch: list[int] = []
     size = 0
 
     def flush() -> None:
-        found = repeated_strings([segments[i] for i in batch], least[batch])
-        for i, flags in zip(batch, found):
+        for i, flags in zip(batch, repeated_strings([segments[i] for i in batch], least[batch])):
             if flags is not None:
-                runs[i] = _runs(flags)
+                start = int(at[i])
+                found.extend((int(uid[i]), int(least[i]), start + a, start + b + LENGTH - 1) for a, b in _runs(flags))
 
     for a, b in zip(cuts, cuts[1:]):
-        if b - a > 1:  # a segment alone in its group has nothing to share
-            batch += range(a, b)
-            size += sum(len(segments[i]) for i in range(a, b))
+        batch += range(a, b)
+        size += sum(len(segments[i]) for i in range(a, b))
         if size >= SEARCH_BYTES:
             flush()
             batch, size = [], 0
     if batch:
         flush()
-    names = [_names(s, o) for s, o in zip(segments, offsets)]
-    return pa.table([[n[0] for n in names], [n[1] for n in names], least, runs], schema=_JUDGED)
+    kinds = [("uid", pa.int64()), ("place", pa.int64()), ("a", pa.int32()), ("b", pa.int32())]
+    return pa.table([pa.array(c, t) for c, (_, t) in zip(zip(*found) if found else [[]] * 4, kinds)], names=[n for n, _ in kinds])
 
 
 # 4. Cutting
@@ -377,63 +355,66 @@ def remove_repeats(docs: DataFrame, most_segments: int = MOST_SEGMENTS) -> DataF
     buckets = max(partitions, size // BUCKET_BYTES)
     texts = docs.select(
         F.coalesce(F.xxhash64("doc_id", "text"), F.lit(0)).alias("uid"),
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("place"),
-        "doc_id",
+        F.col("doc_id").cast("long").alias("doc_id"),
         utf8("text").alias("text"),
     )
+    tasks = max(partitions, size // BUCKET_BYTES)
     sent = texts.filter(F.octet_length("text") >= LENGTH).select("uid", "text").mapInArrow(_send_anchors(buckets), _ANCHOR_ROWS)
-    shared = materialize(sent.groupBy("bucket").applyInArrow(_find_repeated, "uid long, key long"), "shared_anchors")
-
-    # Used twice below, as one and the same exchange.
-    dealt = texts.repartition(max(partitions, size // BUCKET_BYTES), "uid")
+    shared = sent.groupBy("bucket").applyInArrow(_find_repeated, "uid long, key long")
     wanted = shared.groupBy("uid").agg(F.collect_set("key").alias("wanted"))
+
+    # Used four times, as one and the same exchange: every use reads all three of its columns.
+    dealt = texts.repartition(tasks, "uid").withColumn("place", F.coalesce("doc_id", F.lit(NO_ID)))
     around = dealt.join(wanted, "uid").select("uid", "place", "text", "wanted")
-    found = around.mapInArrow(_each_segment(buckets), "key long, offset int, segment binary, least long")
-    groups = found.repartition(max(partitions, size // BUCKET_BYTES * 4), "key")
-    segments = groups.groupBy("key", "offset", "segment").agg(F.min("least").alias("least"))
-    busy = segments.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > most_segments)
-    judged = _judged(segments, materialize(busy, "busy_anchors"), max(partitions, size // BUCKET_BYTES * 4))
-
-    places = around.mapInArrow(_each_place(buckets), "high long, low long, uid long, place long, at int, strings int")
-    begin, end = F.col("at"), F.col("at") + F.col("strings") + (LENGTH - 1)
-    later = F.array(F.struct(begin.alias("a"), end.alias("b")))
-    first = F.transform("runs", lambda r: F.struct((begin + r["a"]).alias("a"), (begin + r["b"] + (LENGTH - 1)).alias("b")))
+    places = around.mapInArrow(_each_place(buckets), _PLACE_ROWS).repartition(4 * tasks, "key")
+    segment, anchor = Window.partitionBy("key", "name"), Window.partitionBy("key")
+    marked = places.withColumn("least", F.min("place").over(segment)).withColumn(
+        "several", F.min("name").over(anchor) != F.max("name").over(anchor)
+    )
+    end = F.col("at") + F.col("strings") + (LENGTH - 1)
+    later = marked.filter(F.col("sure") | (F.col("place") > F.col("least"))).select("uid", "place", F.col("at").alias("a"), end.alias("b"))
+    firsts = (
+        marked.filter(~F.col("sure") & (F.col("place") == F.col("least")) & F.col("several"))
+        .withColumn("n", F.count("*").over(anchor))
+        .select("key", "uid", F.col("place").alias("first"), "at", "strings", (F.col("n") > most_segments).alias("busy"))
+    )
+    bucket = F.pmod(F.xxhash64("key"), F.lit(4 * tasks)).alias("bucket")
+    light = _with_text(firsts.filter(~F.col("busy")), dealt).select(bucket, "key", "uid", "place", "at", "segment")
+    searched = light.groupBy("bucket").applyInArrow(_search, _RANGES)
+    heavy = _one_by_one(_with_text(firsts.filter("busy"), dealt))
     ranges = (
-        places.join(judged, ["high", "low"])
-        .select("uid", F.explode(F.when(F.col("place") > F.col("least"), later).otherwise(first)).alias("r"))
-        .groupBy("uid").agg(F.collect_list("r").alias("ranges"))
+        later.unionByName(searched).unionByName(heavy)
+        .groupBy("uid").agg(F.collect_list(F.struct("place", "a", "b")).alias("ranges"))
     )
 
     @F.pandas_udf("n_removed long, n_spans long, kept_sha256 string")
-    def cutting(texts: pd.Series, ranges: pd.Series) -> pd.DataFrame:
-        rows = [cut(t, [] if r is None else [(x["a"], x["b"]) for x in r]) for t, r in zip(texts, ranges)]
+    def cutting(texts: pd.Series, places: pd.Series, ranges: pd.Series) -> pd.DataFrame:
+        # Ranges name their document's place, should two documents ever share a hash.
+        rows = [
+            cut(t, [] if r is None else [(x["a"], x["b"]) for x in r if x["place"] == p])
+            for t, p, r in zip(texts, places, ranges)
+        ]
         return pd.DataFrame(rows, columns=["n_removed", "n_spans", "kept_sha256"])
 
     return (
         dealt.join(ranges, "uid", "left")
-        .select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), cutting("text", "ranges").alias("c"), "ranges")
+        .select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), cutting("text", "place", "ranges").alias("c"), "ranges")
         .select("doc_id", "n_bytes", "c.*", "ranges")
     )
 
 
-def _judged(segments: DataFrame, busy: DataFrame, buckets: int) -> DataFrame:
-    """``high``, ``low``, ``least`` and ``runs`` of every segment; anchors in ``busy`` by their single strings."""
-    group = F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket")
-    if not busy.limit(1).count():
-        return segments.select(group, "*").groupBy("bucket").applyInArrow(_search, _JUDGED_DDL)
-    marked = join_dimension(segments, busy.select("key", F.lit(True).alias("busy")), "key")
-    light = marked.filter("busy IS NULL").select(group, *segments.columns)
-    heavy = marked.filter("busy").drop("busy").withColumn("i", F.explode(F.sequence(F.lit(0), F.octet_length("segment") - LENGTH)))
-    heavy = heavy.withColumn("string", F.substring(F.col("segment"), F.col("i") + 1, F.lit(LENGTH)))
-    smallest = heavy.groupBy("string").agg(F.min("least").alias("smallest"))
-    flags = heavy.join(smallest, "string").withColumn(
-        "run", F.when(F.col("smallest") < F.col("least"), F.struct(F.col("i").alias("a"), (F.col("i") + 1).alias("b")))
-    )
+def _with_text(firsts: DataFrame, dealt: DataFrame) -> DataFrame:
+    """Add ``segment``. The places are compared by order, as an equality would deal the texts anew."""
+    joined = dealt.join(firsts, "uid").filter((F.col("place") <= F.col("first")) & (F.col("place") >= F.col("first")))
+    text = F.substring(F.col("text"), F.col("at") + 1, F.col("strings") + (LENGTH - 1))
+    return joined.select("key", "uid", "place", "at", "strings", text.alias("segment"))
 
-    @F.pandas_udf("high long, low long")
-    def names(segments: pd.Series, offsets: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([_names(s, o) for s, o in zip(segments, offsets)], columns=["high", "low"])
 
-    single = flags.groupBy("segment", "offset", "least").agg(F.collect_list("run").alias("runs"))
-    single = single.select(names("segment", "offset").alias("n"), "least", "runs").select("n.*", "least", "runs")
-    return light.groupBy("bucket").applyInArrow(_search, _JUDGED_DDL).unionByName(single)
+def _one_by_one(heavy: DataFrame) -> DataFrame:
+    """The strings of anchors with very many segments, each grouped by itself."""
+    strings = heavy.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("strings") - 1))).select(
+        "uid", "place", F.substring(F.col("segment"), F.col("i") + 1, F.lit(LENGTH)).alias("string"), (F.col("at") + F.col("i")).alias("a")
+    )
+    smallest = strings.groupBy("string").agg(F.min("place").alias("smallest"))
+    again = strings.join(smallest, "string").filter(F.col("smallest") < F.col("place"))
+    return again.select("uid", "place", "a", (F.col("a") + LENGTH).alias("b"))
