@@ -109,7 +109,7 @@ def _keys(hashes: np.ndarray, buckets: int) -> np.ndarray:
 # 1. Anchors that more than one document has
 
 
-_ANCHOR_ROWS = "bucket int, sure boolean, keys array<int>, docs array<int>, uids array<long>"
+_ANCHOR_ROWS = "bucket int, sure boolean, keys array<int>, docs array<smallint>, uids array<long>"
 
 
 def _list(values: np.ndarray, cuts: np.ndarray, kind: pa.DataType) -> pa.ListArray:
@@ -118,7 +118,8 @@ def _list(values: np.ndarray, cuts: np.ndarray, kind: pa.DataType) -> pa.ListArr
 
 def _send_anchors(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        # Documents of a batch are numbered in 16 bits.
+        for batch in (b.slice(i, 1 << 15) for b in batches for i in range(0, b.num_rows, 1 << 15)):
             uids, keys, owner = batch.column(0).to_numpy(zero_copy_only=False), [], []
             for i, text in enumerate(batch.column(1)):
                 own = np.unique(_keys(anchors(text.as_py())[3], buckets))
@@ -144,7 +145,7 @@ def _send_anchors(buckets: int):
                 homes = np.append(0, np.cumsum([len(p[0]) for p in parts]))
                 low = (k & 0xFFFFFFFF).astype(np.uint32).view(np.int32)
                 # A sure row is told its bucket besides, as it does not lie there.
-                docs = np.concatenate([p[1] for p in parts]).astype(np.int32)
+                docs = np.concatenate([p[1] for p in parts]).astype(np.int16)
                 if sure:
                     pairs = np.empty(2 * len(k), np.int32)
                     pairs[0::2], pairs[1::2] = low, (k >> 32).astype(np.int32)
@@ -154,7 +155,7 @@ def _send_anchors(buckets: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(to[cuts[:-1]], pa.int32()), pa.array([sure] * len(parts)), listed,
-                        _list(docs, cuts, pa.int32()), _list(uids[np.concatenate([p[0] for p in parts])], homes, pa.int64()),
+                        _list(docs, cuts, pa.int16()), _list(uids[np.concatenate([p[0] for p in parts])], homes, pa.int64()),
                     ],
                     names=["bucket", "sure", "keys", "docs", "uids"],
                 )
@@ -384,21 +385,24 @@ def remove_repeats(docs: DataFrame, most_segments: int = MOST_SEGMENTS) -> DataF
     heavy = _one_by_one(_with_text(firsts.filter("busy"), dealt))
     ranges = (
         later.unionByName(searched).unionByName(heavy)
-        .groupBy("uid").agg(F.collect_list(F.struct("place", "a", "b")).alias("ranges"))
+        .groupBy("uid", F.col("place").alias("owner"))
+        .agg(F.collect_list(F.shiftleft(F.col("a").cast("long"), 32) + F.col("b")).alias("packed"))
     )
 
     @F.pandas_udf("n_removed long, n_spans long, kept_sha256 string")
-    def cutting(texts: pd.Series, places: pd.Series, ranges: pd.Series) -> pd.DataFrame:
-        # Ranges name their document's place, should two documents ever share a hash.
+    def cutting(texts: pd.Series, packed: pd.Series) -> pd.DataFrame:
         rows = [
-            cut(t, [] if r is None else [(x["a"], x["b"]) for x in r if x["place"] == p])
-            for t, p, r in zip(texts, places, ranges)
+            cut(t, [] if r is None else [(x >> 32, x & 0xFFFFFFFF) for x in r.tolist()])
+            for t, r in zip(texts, packed)
         ]
         return pd.DataFrame(rows, columns=["n_removed", "n_spans", "kept_sha256"])
 
+    # Ranges name their document's place, should two documents ever share a hash.
+    own = (F.col("d.uid") == F.col("r.uid")) & (F.col("place") <= F.col("owner")) & (F.col("place") >= F.col("owner"))
+    spans = F.transform("packed", lambda x: F.struct(F.shiftright(x, 32).alias("a"), x.bitwiseAND(F.lit(0xFFFFFFFF)).alias("b")))
     return (
-        dealt.join(ranges, "uid", "left")
-        .select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), cutting("text", "place", "ranges").alias("c"), "ranges")
+        dealt.alias("d").join(ranges.alias("r"), own, "left")
+        .select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), cutting("text", "packed").alias("c"), spans.alias("ranges"))
         .select("doc_id", "n_bytes", "c.*", "ranges")
     )
 
