@@ -71,3 +71,34 @@ def test_no_labels_nulls_and_clashing_names(spark, docs, clashing, no_docs):
     assert toxicity.fit(docs, odd).weights is not None
     bad = spark.createDataFrame([(1, "you idiot moron scum", "en", "s", 0)], DOC_SCHEMA)
     assert toxicity.keep_clean(bad, model).count() == 0
+
+
+def test_every_voter_that_passes_is_kept(spark):
+    """More than a thousand stronger voters do not push out a weaker one."""
+    rng = random.Random(8)
+    strong = ["".join(rng.choice("bdgkptvz") for _ in range(9)) for _ in range(400)]
+    docs, labels = [], []
+    for i in range(3000):
+        words = sentence(rng, 12).split()
+        toxic = int(i % 3 == 0)
+        if toxic:
+            words += rng.sample(strong, 8) + ["qux"] * (i % 210 == 0)
+        docs.append((i, " ".join(words), "en", "s", 0))
+        labels.append((i, 1, toxic))
+    model = toxicity.fit(spark.createDataFrame(docs, DOC_SCHEMA), spark.createDataFrame(labels, LABELS))
+    assert len(model.voters.number) > 1000 and "qux" in model.voters.number
+    assert model.weights[model.voters.number["qux"]] > 0
+
+
+def test_correlations_in_blocks_are_those_of_the_whole_matrix():
+    rng = np.random.default_rng(2)
+    votes = (rng.random((300, 40)) < rng.random(40) * 0.4).astype(float)
+    votes[:, 7] = votes[:, 3]
+    p, fires = rng.random(300), rng.random((40, 2)) * 0.5 + 0.01
+    rest = votes - (1 - p)[:, None] * fires[:, 0] - p[:, None] * fires[:, 1]
+    both = rest.T @ rest
+    scale = np.sqrt(both.diagonal()) + 1e-6
+    both /= scale[:, None] * scale
+    want = 1 / np.where(both > 0.2, both, 0).sum(1).clip(1.0)
+    got = toxicity._shares(toxicity.Votes.of(votes), fires, p, cells=100)
+    assert np.allclose(got, want, atol=1e-6)
