@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinledger.llm import decontaminate, mixing, near_copies, sharding, toxicity
+from twinledger.llm import decontaminate, mixing, sharding, simhash, toxicity
 from twinledger.llm.common import packed, table
 from twinledger.session import materialize
 
@@ -21,8 +21,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: five-word shingles, similarity 0.8 or more."""
-    return near_copies.keep_one(docs)
+    """One document of each group stays: SimHash over three-word shingles, two bits apart at most."""
+    return simhash.keep_one(docs, simhash.WORDS, simhash.RADIUS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
