@@ -58,7 +58,7 @@ def test_run_is_registered_and_chains_the_stages(spark, tmp_path):
     assert {"doc_id", "text", "shard", "slot"} <= set(got.columns) and got.count() > 0
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert names == ["toxicity", "simhash_near_dedup", "decontamination", "mixing", "sharding"]
-    assert sum(n.startswith("op") and n[2].isdigit() for n in entry.queries()) == 10
+    assert sum(n.startswith("op") and n[2].isdigit() for n in entry.queries()) == 13
 
 
 def test_empty_and_clashing(spark, tmp_path, clashing):

@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinledger.llm import decontaminate, fingerprints, mixing, secret_scan, sharding, simhash, suffix_dedup, token_shards, toxicity, url_rules
+from twinledger.llm import (
+    bpe, decontaminate, divergence, fingerprints, mixing, phrases, secret_scan, sharding, simhash, suffix_dedup, token_shards,
+    toxicity, url_rules,
+)
 from twinledger.llm.common import table
 from twinledger.session import materialize, scratch_dir
 
@@ -88,15 +91,38 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_decontaminate, op2_simhash, op3_url_rules, op4_toxicity, op5_suffix_dedup, op6_mixing, op7_token_shards, op8_secrets,
-        op9_fingerprints, op10_sharding,
+        op9_fingerprints, op10_sharding, op11_phrases, op12_bpe, op13_divergence,
     )}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op1_decontaminate": DECONTAMINATE_SQL, "op5_suffix_dedup": SUFFIX_DEDUP_SQL}
+    return {
+        "op1_decontaminate": DECONTAMINATE_SQL,
+        "op5_suffix_dedup": SUFFIX_DEDUP_SQL,
+        "op11_phrases": PHRASES_SQL,
+        "op13_divergence": DIVERGENCE_SQL,
+    }
 
 
 DECONTAMINATE_SQL = r"""
@@ -150,3 +176,67 @@ SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed,
     lambda k: h[CASE WHEN k = 0 THEN 1 ELSE 2 * ends[k] + 1 END:CASE WHEN k = len(starts) THEN len(h) ELSE 2 * starts[k + 1] END]), '') END)) AS kept_sha256
 FROM doc LEFT JOIN part ON doc.r = part.r
 """
+
+# The list of words of a piece gives its phrases; every cut of a candidate looks its two parts up.
+PHRASES_SQL = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, 'und') AS lang, regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS pieces FROM documents
+), piece AS (
+  SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(pieces) AS p FROM doc)
+), place AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM piece
+), f AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS a
+  FROM place, (SELECT unnest([1, 2, 3]) AS k) WHERE i + k - 1 <= len(w) GROUP BY ALL
+), n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang
+), cand AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND a >= 10
+), cut AS (
+  SELECT cand.lang, cand.phrase, cand.a, cand.k, c, x.a AS l, y.a AS r,
+    CAST(cand.a AS HUGEINT) * cand.a * 1000000 // (CAST(x.a AS HUGEINT) * y.a) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS c FROM cand) AS cand
+  JOIN f AS x ON x.lang = cand.lang AND x.k = c AND x.phrase = array_to_string(w[1:c], ' ')
+  JOIN f AS y ON y.lang = cand.lang AND y.k = cand.k - c AND y.phrase = array_to_string(w[c + 1:cand.k], ' ')
+), low AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1
+), longest AS (
+  SELECT lang, part, max(a) AS a FROM (
+    SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS part FROM cand WHERE k = 3) GROUP BY lang, part
+), kept AS (
+  SELECT low.* FROM low LEFT JOIN longest ON longest.lang = low.lang AND longest.part = low.phrase
+  WHERE longest.a IS NULL OR 100 * longest.a < 50 * low.a
+)
+SELECT kept.lang, CAST(row_number() OVER (PARTITION BY kept.lang ORDER BY score DESC, a DESC, phrase) AS BIGINT) AS rank,
+  phrase, a, l, r, n.n AS n, CAST(score AS BIGINT) AS score
+FROM kept JOIN n ON n.lang = kept.lang QUALIFY rank <= 2000
+"""
+
+# Every kept term stands beside every group of its language, so nothing needs correcting here.
+DIVERGENCE_SQL = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+), found AS (
+  SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM doc
+), kept AS (SELECT lang, term FROM found GROUP BY lang, term HAVING count(DISTINCT r) >= 30
+), terms AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang
+), tf AS (SELECT lang, source, term, count(*) AS c FROM found SEMI JOIN kept USING (lang, term) GROUP BY ALL
+), groups AS (SELECT DISTINCT lang, source FROM doc
+), cell AS (
+  SELECT g.lang, g.source, kept.term, coalesce(c, 0) AS c FROM groups AS g JOIN kept ON kept.lang = g.lang
+  LEFT JOIN tf ON tf.lang = g.lang AND tf.source = g.source AND tf.term = kept.term
+), p AS (
+  SELECT cell.*, 1 + 1000000000 * (CAST(c AS HUGEINT) + 5) // (sum(c) OVER (PARTITION BY cell.lang, source) + 5 * v) AS p,
+    1 + 1000000000 * (CAST(sum(c) OVER (PARTITION BY cell.lang, term) AS HUGEINT) + 5) // (sum(c) OVER (PARTITION BY cell.lang) + 5 * v) AS q
+  FROM cell JOIN terms ON terms.lang = cell.lang
+), pair AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM p AS a JOIN p AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), rows AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM groups AS a JOIN groups AS b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, CAST(p - q AS BIGINT) FROM p WHERE c > 0 AND p > q
+)
+SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM rows QUALIFY part = 'pair' OR rank <= 50
+"""
