@@ -83,13 +83,13 @@ def test_mining_prunes(spark):
 def test_long_texts_carry_their_last_words():
     text = ("One two three, four. " * 400 + "five" * 300 + " six").encode()
     whole = next(phrases.stretches(text, 1 << 30))[1]
-    filters = phrases._Filters({}, 8)
+    filters = phrases._Filters({}, 8, 1)
     for size in (1, 5, 64, 1000):
         for k in (2, 3):
             got: Counter = Counter()
             for carried, tokens in phrases.stretches(text, size):
                 if len(tokens) >= k:
-                    at, _ = filters.places(phrases._hashed(tokens), 5, carried, k)
+                    at, _ = filters.places(phrases._Words().numbers(tokens)[1], 5, carried, k)
                     got.update(tuple(tokens[i : i + k]) for i in at.tolist())
             want = Counter(tuple(whole[i : i + k]) for i in range(len(whole) - k + 1) if b"\xff" not in whole[i : i + k])
             assert got == want
@@ -99,10 +99,21 @@ def test_filter_has_every_key(spark):
     keys = np.random.default_rng(1).integers(-(2**63), 2**63 - 1, 5000)
     shared = phrases._shared_filter(spark.createDataFrame([(int(k),) for k in keys], "key long"), 20)
     bits = np.frombuffer(shared.value, np.uint8)
-    assert phrases._has(bits, keys.view(np.uint64), 20).all()
+    assert phrases._has(bits, keys.view(np.uint64) >> np.uint64(44)).all()
     assert np.unpackbits(bits).sum() == len(np.unique(keys.view(np.uint64) >> np.uint64(44)))
 
 
+def test_filter_knows_the_shard(spark):
+    rng = np.random.default_rng(2)
+    keys = rng.integers(0, 2**64, 5000, np.uint64) & phrases._HASH | rng.integers(0, 3, 5000, np.uint64)
+    table = spark.createDataFrame([(int(k),) for k in keys.view(np.int64)], "key long")
+    filters = phrases._Filters({phrases._LOCAL: phrases._shared_filter(table, 22, 3)}, 22, 3)
+    for shard in range(3):
+        held = filters._pass(phrases._LOCAL, np.ones(5000, bool), keys, shard)
+        own = (keys & np.uint64(3)) == shard
+        assert held[own].all() and held[~own].mean() < 0.05
+
+
 def test_large_counts_stay_exact(spark):
     """Scores of counts whose products pass 64 bits."""
     a, l, r = 3_000_000_017, 3_100_000_019, 3_000_000_021

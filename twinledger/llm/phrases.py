@@ -4,10 +4,10 @@ The corpus is dealt into ``SHARDS`` by a hash of id and text. A phrase with ``SU
 least, its proportional part: ``ceil(SUPPORT * words of the language there / words of the language)``. So:
 
 1. *Mining.* Each shard is mined completely at its own lowered support, first for pairs of words that are themselves frequent,
-   then for triples both of whose pairs came out of some shard. A shard is a fixed part of the corpus worked on by many
-   tasks. (With a shard per task the lowered support of ten would be one and prune nothing.)
-2. *Union.* What was frequent in some shard becomes a bit in a filter of ``2 ** FILTER_BITS`` bits, whatever the corpus.
-   Two phrases that share a bit only let more candidates through; none is lost.
+   then for triples both of whose pairs are frequent in the same shard. A shard is a fixed part of the corpus worked on by
+   many tasks. (With a shard per task the lowered support of ten would be one and prune nothing.)
+2. *Union.* What was frequent in some shard becomes a bit in a filter of ``2 ** FILTER_BITS`` bits, whatever the corpus; pairs
+   have a second filter that knows the shard. Two phrases that share a bit only let more candidates through; none is lost.
 3. *Counting.* All candidates, by their words, are counted over the whole corpus in one more pass, exactly.
 
 Mining shuffles hashes that tasks have summed, counting shuffles phrases that tasks have summed. Sharing a hash adds counts, so it
@@ -24,10 +24,13 @@ the phrase's UTF-8 bytes; equal cuts count for the shorter first part. Empty tab
 from __future__ import annotations
 
 import re
+from array import array
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,7 +40,7 @@ from twinledger.plans.joins import join_dimension
 from twinledger.session import materialize
 
 SUPPORT = 10
-SHARDS = 4
+SHARDS = 3
 #: Candidates inside a longer one that has at least this share of their occurrences (percent) are dropped.
 ABSORBED = 50
 TOP = 2000
@@ -51,21 +54,28 @@ _END = b"\xff"  # stands for the end of a piece; no byte of UTF-8
 _ENDS = b".,;:!?\n\x0b\x0c\r"
 _TABLE = bytes.maketrans(UPPER.encode() + b"\t" + _ENDS, LOWER.encode() + b" " + _END * len(_ENDS))
 _CUT = re.compile(b"[ \xff]")
-_WORD, _PAIR, _TRIPLE = 1, 2, 3
+_WORD, _PAIR, _TRIPLE, _LOCAL = 1, 2, 3, 4
+_MOST_WORDS = 1 << 21  # of a block, so that three word numbers fit 63 bits
+_HASH = np.uint64((1 << 64) - 256)
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
-class _WordHashes(dict):
-    """Hashes of words, remembered for the frequent ones; 0 is the end of a piece."""
+class _Words(dict):
+    """Words numbered as they come, with their hashes; 0 is the end of a piece."""
 
-    def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh64_intdigest(word) | 1
-        if len(self) < _CACHE:
-            self[word] = value
-        return value
+    def __init__(self):
+        super().__init__({_END: 0})
+        self.hashes = array("Q", [0])
 
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        self.hashes.append(xxhash.xxh64_intdigest(word) | 1)
+        return number
 
-_hashes = _WordHashes({_END: 0})
+    def numbers(self, tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers and the hashes of some tokens."""
+        found = np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))
+        return found, np.frombuffer(self.hashes, np.uint64)[found]
 
 
 def stretches(text: bytes, size: int = STRETCH) -> Iterator[tuple[int, list[bytes]]]:
@@ -99,12 +109,12 @@ def pair_keys(h: np.ndarray, lang: int) -> np.ndarray:
     return _mixed(_mixed(h[:-1] * _M2 + np.uint64(lang)) + h[1:] * _M1)
 
 
-def triple_keys(h: np.ndarray, lang: int) -> np.ndarray:
-    return _mixed(pair_keys(h, lang)[:-1] * _M2 + h[2:] * _M1)
+def triple_keys(two: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Of the keys of the pairs and the hashes of the words."""
+    return _mixed(two[:-1] * _M2 + h[2:] * _M1)
 
 
-def _has(bits: np.ndarray, keys: np.ndarray, filter_bits: int) -> np.ndarray:
-    at = keys >> np.uint64(64 - filter_bits)
+def _has(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1) == 1
 
 
@@ -112,41 +122,49 @@ def _lang_hash(lang: bytes) -> int:
     return xxhash.xxh64_intdigest(lang, 1)
 
 
-def _hashed(tokens: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_hashes.__getitem__, tokens), np.uint64, len(tokens))
-
-
-def _is_word(h: np.ndarray) -> np.ndarray:
-    return h != 0
+def _shard_bits(shards: int) -> int:
+    return (shards - 1).bit_length()
 
 
 class _Filters:
     """Which words, pairs and triples are to be looked at; no filter lets all through."""
 
-    def __init__(self, shared: dict, filter_bits: int):
+    def __init__(self, shared: dict, filter_bits: int, shards: int):
         self._bits = {k: np.frombuffer(b.value, np.uint8) for k, b in shared.items()}
-        self._filter_bits = filter_bits
+        self._shift = np.uint64(64 - filter_bits)
+        self._shard_bits = np.uint64(_shard_bits(shards))
 
-    def _pass(self, k: int, ok: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    def _pass(self, k: int, ok: np.ndarray, keys: np.ndarray, shard: int = 0) -> np.ndarray:
         if k in self._bits:
             at = np.flatnonzero(ok)
+            place = keys[at] >> self._shift
+            if k == _LOCAL:
+                place = place >> self._shard_bits << self._shard_bits | np.uint64(shard)
             ok = np.zeros_like(ok)
-            ok[at] = _has(self._bits[k], keys[at], self._filter_bits)
+            ok[at] = _has(self._bits[k], place)
         return ok
 
-    def places(self, h: np.ndarray, lang: int, carried: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    def places(self, h: np.ndarray, lang: int, carried: int, k: int, shard: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """Where the phrases of ``k`` words begin that are new in this stretch, and the keys of all places."""
-        word = self._pass(_WORD, _is_word(h), word_keys(h, lang))
+        word = self._pass(_WORD, h != 0, word_keys(h, lang))
         two = pair_keys(h, lang)
         ok = word[:-1] & word[1:]
         if k == _PAIR:
             ok[: max(carried - 1, 0)] = False
             return np.flatnonzero(self._pass(_PAIR, ok, two)), two
-        ok = self._pass(_PAIR, ok, two)
-        three = _mixed(two[:-1] * _M2 + h[2:] * _M1)
+        ok = self._pass(_PAIR, self._pass(_LOCAL, ok, two, shard), two)
+        three = triple_keys(two, h)
         return np.flatnonzero(self._pass(_TRIPLE, ok[:-1] & ok[1:], three)), three
 
 
+def _sums(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Each key once, and how often it is there."""
+    key = np.concatenate(keys)
+    key.sort()
+    first = np.flatnonzero(np.diff(key, prepend=~key[:1]))
+    return key[first], np.diff(first, append=len(key))
+
+
 def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words and how often they occur, per language; and per language and shard the sum, as a row without a word."""
     counts: dict[bytes, dict[bytes, int]] = {}
@@ -155,19 +173,16 @@ def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def flush() -> Iterator[pa.RecordBatch]:
         for lang, words in counts.items():
-            names = list(words)
-            keys = word_keys(_hashed(names), _lang_hash(lang)).view(np.int64)
-            rows = len(names)
+            rows = len(words)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * rows, pa.binary()), pa.nulls(rows, pa.int32()), pa.array(names, pa.binary()), pa.array(keys),
-                 pa.array(words.values(), pa.int64())],
-                names=["lang", "shard", "word", "key", "n"],
-            )
+                [pa.array([lang] * rows, pa.binary()), pa.nulls(rows, pa.int32()), pa.array(list(words), pa.binary()), pa.array(words.values(), pa.int64())],
+                names=["lang", "shard", "word", "n"],
+            )
         rows = len(sums)
         yield pa.RecordBatch.from_arrays(
             [pa.array([lang for lang, _ in sums], pa.binary()), pa.array([s for _, s in sums], pa.int32()), pa.nulls(rows, pa.binary()),
-             pa.nulls(rows, pa.int64()), pa.array(sums.values(), pa.int64())],
-            names=["lang", "shard", "word", "key", "n"],
+             pa.array(sums.values(), pa.int64())],
+            names=["lang", "shard", "word", "n"],
         )
 
     for batch in batches:
@@ -175,12 +190,11 @@ def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = counts.setdefault(lang, {})
             held -= len(words)
             for carried, tokens in stretches(text.as_py()):
-                n = 0
-                for token in tokens[carried:]:
-                    if token != _END:
-                        words[token] = words.get(token, 0) + 1
-                        n += 1
-                sums[lang, shard] = sums.get((lang, shard), 0) + n
+                found = Counter(tokens[carried:])
+                found.pop(_END, None)
+                for token, n in found.items():
+                    words[token] = words.get(token, 0) + n
+                sums[lang, shard] = sums.get((lang, shard), 0) + found.total()
             held += len(words)
             if held > _CACHE:
                 yield from flush()
@@ -189,39 +203,47 @@ def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from flush()
 
 
-def _mine(shared: dict, k: int, filter_bits: int, block_words: int):  # noqa: ANN202
+def _word_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys = [
+            word_keys(np.array([xxhash.xxh64_intdigest(word.as_py()) | 1], np.uint64), _lang_hash(lang.as_py()))[0]
+            for lang, word in zip(batch.column(0), batch.column(1))
+        ]
+        yield pa.RecordBatch.from_arrays([pa.array(np.array(keys, np.uint64).view(np.int64))], names=["key"])
+
+
+def _mine(shared: dict, k: int, filter_bits: int, shards: int, block_words: int):  # noqa: ANN202
     """Hashes of the phrases of ``k`` words of each shard, summed per block, with the support asked of them there."""
 
-    def flush(keys: list, shards: list, supports: list) -> pa.RecordBatch:
-        key, shard, support = map(np.concatenate, (keys, shards, supports))
-        # One number for both: the shard takes the lowest bits of the hash.
-        one, first, n = np.unique(key & np.uint64(~0xFF & (1 << 64) - 1) | shard.astype(np.uint64), return_index=True, return_counts=True)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(one.view(np.int64)), pa.array(n.astype(np.int32)), pa.array(support[first].astype(np.int32))], names=["key", "n", "support"]
-        )
+    def flush(keys: dict[int, list]) -> Iterator[pa.RecordBatch]:
+        for support, parts in keys.items():
+            key, n = _sums(parts)
+            columns = [pa.array(key.view(np.int64)), pa.array(n.astype(np.int32)), pa.array(np.full(len(key), support, np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "n", "support"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filters = _Filters(shared, filter_bits)
-        keys: list[np.ndarray] = []
-        shards: list[np.ndarray] = []
-        supports: list[np.ndarray] = []
+        filters = _Filters(shared, filter_bits, shards)
+        words = _Words()
+        keys: dict[int, list] = {}
         held = 0
         for batch in batches:
             for lang, shard, text, support in zip(*(batch.column(i) for i in range(4))):
-                code = _lang_hash(lang.as_py())
+                code, shard = _lang_hash(lang.as_py()), shard.as_py()
                 for carried, tokens in stretches(text.as_py()):
                     if len(tokens) < k:
                         continue
-                    at, key = filters.places(_hashed(tokens), code, carried, k)
-                    keys.append(key[at])
-                    shards.append(np.full(len(at), shard.as_py(), np.uint8))
-                    supports.append(np.full(len(at), support.as_py(), np.int32))
+                    if len(words) > _CACHE:
+                        words = _Words()
+                    at, key = filters.places(words.numbers(tokens)[1], code, carried, k, shard)
+                    if not len(at):
+                        continue
+                    # The shard takes the lowest bits of the hash.
+                    keys.setdefault(support.as_py(), []).append(key[at] & _HASH | np.uint64(shard))
                     held += len(at)
                     if held > block_words:
-                        yield flush(keys, shards, supports)
-                        keys, shards, supports, held = [], [], [], 0
-        if held:
-            yield flush(keys, shards, supports)
+                        yield from flush(keys)
+                        keys, held = {}, 0
+        yield from flush(keys)
 
     return run
 
@@ -229,47 +251,56 @@ def _mine(shared: dict, k: int, filter_bits: int, block_words: int):  # noqa: AN
 def _count(shared: dict, filter_bits: int, block_words: int):  # noqa: ANN202
     """Candidates of two and three words and how often they occur, by their words, summed per block."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filters = _Filters(shared, filter_bits)
-        counts: dict[tuple[bytes, int], dict[bytes, int]] = {}
-        held = 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for (lang, k), found in counts.items():
-                rows = len(found)
+    def flush(places: dict[tuple[bytes, int], list], words: _Words) -> Iterator[pa.RecordBatch]:
+        names = pa.array(list(words), pa.binary())
+        for (lang, k), parts in places.items():
+            code, n = _sums(parts)
+            for at in range(0, len(code), 100_000):
+                some = code[at : at + 100_000]
+                numbers = [pa.array((some >> 21 * i) & (_MOST_WORDS - 1)) for i in reversed(range(k))]
+                phrase = pc.binary_join_element_wise(*[names.take(x) for x in numbers], b" ")
+                rows = len(some)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * rows, pa.binary()), pa.array(np.full(rows, k, np.int32)), pa.array(list(found), pa.binary()),
-                     pa.array(found.values(), pa.int64())],
+                    [pa.array([lang] * rows, pa.binary()), pa.array(np.full(rows, k, np.int32)), phrase, pa.array(n[at : at + rows])],
                     names=["lang", "k", "phrase", "n"],
-                )
+                )
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filters = _Filters(shared, filter_bits, 1)
+        words = _Words()
+        places: dict[tuple[bytes, int], list] = {}
+        held = 0
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(2)):
                 code = _lang_hash(lang)
                 for carried, tokens in stretches(text.as_py()):
-                    h = _hashed(tokens)
+                    if held > block_words or len(words) + len(tokens) >= _MOST_WORDS:
+                        yield from flush(places, words)
+                        words, places, held = _Words(), {}, 0
+                    number, h = words.numbers(tokens)
                     for k in (_PAIR, _TRIPLE):
                         if len(tokens) < k:
                             continue
                         at, _ = filters.places(h, code, carried, k)
-                        found = counts.setdefault((lang, k), {})
-                        held -= len(found)
-                        for i in at.tolist():
-                            phrase = b" ".join(tokens[i : i + k])
-                            found[phrase] = found.get(phrase, 0) + 1
-                        held += len(found)
-                if held > block_words // 10:
-                    yield from flush()
-                    counts, held = {}, 0
-        yield from flush()
+                        if len(at):
+                            phrase = number[at]
+                            for i in range(1, k):
+                                phrase = phrase << 21 | number[at + i]
+                            places.setdefault((lang, k), []).append(phrase)
+                            held += len(at)
+        yield from flush(places, words)
 
     return run
 
 
-def _shared_filter(keys: DataFrame, filter_bits: int):  # noqa: ANN202
-    """A broadcast bit per key; the table has ``2 ** filter_bits / 8`` bytes however many keys there are."""
-    place = F.shiftrightunsigned("key", 64 - filter_bits) + 1
-    parts = keys.select(place.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("part")).agg(
+def _shared_filter(keys: DataFrame, filter_bits: int, shards: int = 1):  # noqa: ANN202
+    """A broadcast bit per key; the table has ``2 ** filter_bits / 8`` bytes however many keys there are. With several
+    ``shards``, which the lowest bits of a key name, a bit belongs to one of them."""
+    low = _shard_bits(shards)
+    place = F.shiftrightunsigned("key", 64 - filter_bits + low) * (1 << low)
+    if low:
+        place = place + F.col("key").bitwiseAND(F.lit((1 << low) - 1))
+    parts = keys.select((place + 1).alias("at")).groupBy(F.bitmap_bucket_number("at").alias("part")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits")
     )
     bits = bytearray(max(1, 1 << filter_bits - 3))
@@ -290,8 +321,8 @@ def phrase_counts(
     lang = F.coalesce(F.col("lang"), F.lit("und"))
     shard = F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int")
     texts = docs.select(utf8(lang).alias("lang"), shard.alias("shard"), utf8("text").alias("text"))
-    tallies = texts.mapInArrow(_tally, "lang binary, shard int, word binary, key long, n long")
-    tallies = materialize(tallies.groupBy("lang", "shard", "word").agg(F.first("key").alias("key"), F.sum("n").alias("n")), "tallies")
+    tallies = texts.mapInArrow(_tally, "lang binary, shard int, word binary, n long")
+    tallies = materialize(tallies.groupBy("lang", "shard", "word").agg(F.sum("n").alias("n")), "tallies")
     words = tallies.filter("word is not null").filter(F.col("n") >= support)
     cells = tallies.filter("word is null").select("lang", "shard", F.col("n").alias("here"))
     sizes = cells.groupBy("lang").agg(F.sum("here").alias("n")).filter("n > 0")
@@ -302,11 +333,16 @@ def phrase_counts(
     supports = materialize(cells.join(sizes, "lang").select(cell.alias("cell"), lowered.alias("support")), "supports")
     dealt = join_dimension(texts.withColumn("cell", cell), supports, "cell", "inner").select("lang", "shard", "text", "support")
 
-    shared = {_WORD: _shared_filter(words, filter_bits)}
-    for k in (_PAIR, _TRIPLE):
-        hashes = dealt.mapInArrow(_mine(shared, k, filter_bits, block_words), "key long, n int, support int")
+    shared = {_WORD: _shared_filter(words.select("lang", "word").mapInArrow(_word_keys, "key long"), filter_bits)}
+
+    def mined(k: int, known: dict) -> DataFrame:
+        hashes = dealt.mapInArrow(_mine(known, k, filter_bits, shards, block_words), "key long, n int, support int")
         local = hashes.groupBy("key").agg(F.sum("n").alias("n"), F.min("support").alias("support")).filter("n >= support")
-        shared = {**shared, k: _shared_filter(local, filter_bits)}
+        return materialize(local.select("key"), "mined")
+
+    pairs = mined(_PAIR, shared)
+    triples = mined(_TRIPLE, {**shared, _LOCAL: _shared_filter(pairs, filter_bits, shards)})
+    shared = {**shared, _PAIR: _shared_filter(pairs, filter_bits), _TRIPLE: _shared_filter(triples, filter_bits)}
     counted = dealt.mapInArrow(_count(shared, filter_bits, block_words), "lang binary, k int, phrase binary, n long")
     counted = counted.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("a")).filter(F.col("a") >= support)
     single = words.select("lang", F.lit(_WORD).alias("k"), F.col("word").alias("phrase"), F.col("n").alias("a"))
@@ -319,22 +355,19 @@ def collocations(
 ) -> DataFrame:
     """``lang``, ``rank``, ``phrase``, ``a``, ``l``, ``r``, ``n``, ``score``: the best phrases of two and three words of each language."""
     words, found = phrase_counts(docs, support, **sizes)
-    counts = found.select(F.struct("lang", "phrase").alias("part"), F.col("a").alias("f"))
-    split = F.split("phrase", " ")
-    candidates = found.filter("k > 1").withColumn("w", split)
+    candidates = found.filter("k > 1").withColumn("w", F.split("phrase", " "))
 
     def joined(start: Column, length: Column) -> Column:
         return F.array_join(F.slice("w", start, length), " ")
 
     cut = F.explode(F.sequence(F.lit(1), F.col("k") - 1))
     cuts = candidates.select("*", cut.alias("c")).select(
-        "lang", "phrase", "a", "c",
-        F.struct("lang", joined(F.lit(1), F.col("c")).alias("phrase")).alias("first"),
-        F.struct("lang", joined(F.col("c") + 1, F.col("k") - F.col("c")).alias("phrase")).alias("rest"),
-    )
-    left = counts.select(F.col("part").alias("first"), F.col("f").alias("l"))
-    right = counts.select(F.col("part").alias("rest"), F.col("f").alias("r"))
-    known = join_dimension(join_dimension(cuts, left, "first", "inner"), right, "rest", "inner")
+        "lang", "phrase", "a", "c", joined(F.lit(1), F.col("c")).alias("first"), joined(F.col("c") + 1, F.col("k") - F.col("c")).alias("rest")
+    )
+    # Parts are unique among the counts, so a part of many candidates is split where Spark finds it skewed.
+    known = cuts
+    for part, count in (("first", "l"), ("rest", "r")):
+        known = known.join(found.select("lang", F.col("phrase").alias(part), F.col("a").alias(count)), ["lang", part]).drop(part)
     # Products in 38 digits; the score itself is at most SCALE.
     a, l, r = (F.col(c).cast("decimal(15,0)") for c in ("a", "l", "r"))
     score = F.call_function("div", a * a * F.lit(SCALE).cast("decimal(7,0)"), l * r)
