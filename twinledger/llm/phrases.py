@@ -46,10 +46,10 @@ ABSORBED = 50
 TOP = 2000
 SCALE = 1_000_000
 FILTER_BITS = 27
-BLOCK_WORDS = 4_000_000
+BLOCK_WORDS = 2_000_000
 STRETCH = 1 << 20
 
-_CACHE = 400_000
+_CACHE = 200_000
 _END = b"\xff"  # stands for the end of a piece; no byte of UTF-8
 _ENDS = b".,;:!?\n\x0b\x0c\r"
 _TABLE = bytes.maketrans(UPPER.encode() + b"\t" + _ENDS, LOWER.encode() + b" " + _END * len(_ENDS))
