@@ -1,9 +1,9 @@
 """How far the sources of a language differ, from one pass over the texts.
 
-* **Blocks.** Each task reads its texts once and keeps postings (language, term, source: occurrences, documents) in memory.
-  At ``BLOCK_POSTINGS`` of them the block is spilled as a run: its postings in term order, one row per hash shard.
-* **Merge.** Each shard is one task: a heap merges its runs in term order, adds up equal postings as they come by, and lets
-  terms go that too few documents hold. Shards follow the size of the texts, so that none grows with the corpus.
+* **Blocks.** Each task reads its texts once and keeps postings (language, source, term of a document: occurrences) in memory.
+  At ``BLOCK_POSTINGS`` of them the block is spilled as a run: its postings summed, in term order, one row per hash shard.
+* **Merge.** A heap merges the runs of each shard in term order; postings of one term are added up, and terms that too few
+  documents hold go. Shards follow the size of the texts, so that none grows with the corpus.
 * **Corrections.** With ``p = 1 + floor(SCALE * (n + SMOOTH) / (N + SMOOTH * V))`` a term that a source lacks has the source's
   base value. Two sources a and b differ, over all V terms, by the difference of their bases V times, plus for either source
   the terms it holds measured against the other's base, which needs only counts of equal ``p``, plus a correction for each
@@ -21,13 +21,13 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
-from itertools import groupby
-from operator import itemgetter
+from itertools import groupby, repeat
+from operator import itemgetter, ne
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,7 +39,7 @@ MIN_DOCUMENTS = 30
 SCALE = 1_000_000_000
 SMOOTH = 5
 TOP_TERMS = 50
-BLOCK_POSTINGS = 400_000
+BLOCK_POSTINGS = 2_000_000
 SHARD_BYTES = 16 << 20
 STRETCH = 1 << 20
 TILE = 256
@@ -48,101 +48,159 @@ MOST_TILES = 64
 # Letters A-Z and every character beyond ASCII; bytes of a character beyond ASCII are 80 to FF.
 _TERM = re.compile(rb"[A-Za-z\x80-\xff]+")
 _GAP = re.compile(rb"[^A-Za-z\x80-\xff]")
-# Occurrences and documents of a block share one number: a block holds far fewer than 2^40 of either.
-_DOCUMENT = 1 << 40
+_GROUP_SHIFT = 40  # a block holds far fewer terms than 2^40
 
-_POSTING = pa.struct([("lang", pa.binary()), ("term", pa.binary()), ("source", pa.binary()), ("n", pa.int64()), ("documents", pa.int64())])
-_RUN = "shard long, postings array<struct<lang: binary, term: binary, source: binary, n: bigint, documents: bigint>>"
+# A run of one shard: its keys in order (language and term), and of each the documents and the number of its postings.
+_RUN = "shard long, keys array<binary>, documents array<bigint>, lengths array<bigint>, sources array<binary>, counts array<bigint>"
 _FREQUENCIES = "lang string, term string, sources array<string>, counts array<bigint>, total long"
 
 
-def term_counts(text: bytes, stretch: int = STRETCH) -> Counter:
-    """How often each term occurs in a text."""
-    counts: Counter = Counter()
+def terms_of(text: bytes, stretch: int = STRETCH) -> Iterator[list[bytes]]:
+    """The terms of a text, stretch by stretch."""
     at = 0
     while at < len(text):
         end = at + stretch
         gap = _GAP.search(text, end) if end < len(text) else None
         end = gap.start() if gap else len(text)
-        counts.update(_TERM.findall(text[at:end].lower()))
+        yield _TERM.findall(text[at:end].lower())
         at = end
-    return counts
-
-
-def _spill(block: dict, shards: int) -> pa.RecordBatch:
-    """A block as a run: postings by shard, language, term and source, one row per shard."""
-    rows = sorted(
-        (zlib.crc32(term, zlib.crc32(lang)) % shards, lang, term, source, packed)
-        for (lang, source), terms in block.items()
-        for term, packed in terms.items()
-    )
-    shard, lang, term, source, packed = zip(*rows)
-    counts = np.array(packed, np.int64)
-    values = pa.StructArray.from_arrays(
-        [pa.array(lang, pa.binary()), pa.array(term, pa.binary()), pa.array(source, pa.binary()),
-         pa.array(counts & (_DOCUMENT - 1)), pa.array(counts >> 40)],
-        fields=list(_POSTING),
-    )
-    shard = np.array(shard, np.int64)
-    starts = np.flatnonzero(np.diff(shard, prepend=-1))
-    lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(shard)), pa.int32()), values)
-    return pa.RecordBatch.from_arrays([pa.array(shard[starts]), lists], names=["shard", "postings"])
+
+
+class _Numbers(dict):
+    """Values numbered as they come."""
+
+    def __missing__(self, value) -> int:  # noqa: ANN001
+        number = self[value] = len(self)
+        return number
+
+
+def _sums(order_by: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each new value of a sorted array begins, and how often it is there."""
+    first = np.flatnonzero(np.diff(order_by, prepend=order_by[:1] - 1))
+    return first, np.diff(first, append=len(order_by))
+
+
+def _lists(values: pa.Array, starts: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.append(starts, len(values)), pa.int32()), values)
+
+
+class _Block:
+    """Postings in memory: of each document its terms, as (group, term) numbers with their occurrences."""
+
+    def __init__(self):
+        self.terms, self.groups = _Numbers(), _Numbers()
+        self.codes: list[np.ndarray] = []
+        self.counts: list[np.ndarray] = []
+        self.held = 0
+
+    def add(self, lang: bytes, source: bytes, text: bytes) -> None:
+        parts = [np.fromiter(map(self.terms.__getitem__, found), np.int64, len(found)) for found in terms_of(text)]
+        if not parts:
+            return
+        numbers = parts[0] if len(parts) == 1 else np.concatenate(parts)
+        numbers.sort()
+        first, n = _sums(numbers)
+        self.codes.append(self.groups[lang, source] << _GROUP_SHIFT | numbers[first])
+        self.counts.append(n)
+        self.held += len(first)
+
+    def spill(self, shards: int) -> pa.RecordBatch:
+        """The block as a run, one row per shard."""
+        code = np.concatenate(self.codes)
+        order = np.argsort(code, kind="stable")
+        first, documents = _sums(code[order])
+        counts = np.add.reduceat(np.concatenate(self.counts)[order], first)
+        group, term = code[order][first] >> _GROUP_SHIFT, code[order][first] & ((1 << _GROUP_SHIFT) - 1)
+
+        # Hexadecimal languages are never prefixes of a key that sorts between theirs.
+        langs = sorted({lang.hex().encode() for lang, _ in self.groups})
+        lang = np.array([langs.index(g[0].hex().encode()) for g in self.groups])[group]
+        terms = pa.array(list(self.terms), pa.binary())
+        rank = np.empty(len(terms), np.int64)
+        rank[pc.sort_indices(terms).to_numpy()] = np.arange(len(terms))
+        shard = np.fromiter((zlib.crc32(t) % shards for t in self.terms), np.int64, len(terms))[term]
+        order = np.lexsort((group, rank[term], lang, shard))
+        group, term, lang, shard, documents, counts = (x[order] for x in (group, term, lang, shard, documents, counts))
+
+        entry = np.flatnonzero(np.diff(shard, prepend=-1) | np.diff(lang, prepend=-1) | np.diff(term, prepend=-1))
+        keys = pc.binary_join_element_wise(pa.array(langs, pa.binary()).take(pa.array(lang[entry])), terms.take(pa.array(term[entry])), b" ")
+        sources = pa.array([source for _, source in self.groups], pa.binary()).take(pa.array(group))
+        run = np.flatnonzero(np.diff(shard[entry], prepend=-1))
+        columns = [
+            pa.array(shard[entry][run]),
+            _lists(keys, run),
+            _lists(pa.array(np.add.reduceat(documents, entry)), run),
+            _lists(pa.array(np.diff(entry, append=len(term))), run),
+            _lists(sources, entry[run]),
+            _lists(pa.array(counts), entry[run]),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=["shard", "keys", "documents", "lengths", "sources", "counts"])
 
 
 def _index(shards: int, block_postings: int):  # noqa: ANN202
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block: dict[tuple[bytes, bytes], dict[bytes, int]] = {}
-        held = 0
+        block = _Block()
         for batch in batches:
             for lang, source, text in zip(*batch.columns):
-                terms = block.setdefault((lang.as_py(), source.as_py()), {})
-                held -= len(terms)
-                for term, n in term_counts(text.as_py()).items():
-                    terms[term] = terms.get(term, 0) + n + _DOCUMENT
-                held += len(terms)
-                if held >= block_postings:
-                    yield _spill(block, shards)
-                    block, held = {}, 0
-        if held:
-            yield _spill(block, shards)
+                block.add(lang.as_py(), source.as_py(), text.as_py())
+                if block.held >= block_postings:
+                    yield block.spill(shards)
+                    block = _Block()
+        if block.held:
+            yield block.spill(shards)
 
     return run
 
 
-def _merge(min_documents: int):  # noqa: ANN202
-    def frequencies(runs: list[pa.StructArray]) -> Iterator[tuple]:
-        streams = [zip(*(r.field(i).to_pylist() for i in range(5))) for r in runs]
-        merged = heapq.merge(*streams, key=itemgetter(0, 1, 2))
-        for (lang, term), postings in groupby(merged, key=itemgetter(0, 1)):
-            counts: dict[bytes, int] = {}
-            documents = 0
-            for _, _, source, n, d in postings:
-                counts[source] = counts.get(source, 0) + n
-                documents += d
-            if documents >= min_documents:
-                sources = [s.decode("utf-8", "replace") for s in counts]
-                yield lang.decode("utf-8", "replace"), term.decode("utf-8", "replace"), sources, list(counts.values()), sum(counts.values())
-
-    types = [pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.int64()]
-    names = ["lang", "term", "sources", "counts", "total"]
-
-    def batches_of(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        postings = 0
-        for row in rows:
-            held.append(row)
-            postings += len(row[2])
-            if postings > 100_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), types)], names=names)
-                held, postings = [], 0
-        if held:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), types)], names=names)
+def _frequencies(runs: list[tuple], min_documents: int) -> pa.RecordBatch | None:
+    """The runs of a shard merged: the terms of enough documents, with their sources."""
+    streams = [zip(keys.to_pylist(), repeat(i)) for i, (keys, *_) in enumerate(runs)]
+    merged = list(heapq.merge(*streams))
+    keys = [key for key, _ in merged]
+    run = np.fromiter((i for _, i in merged), np.int64, len(merged))
+    # A run's keys come in its own order, so that a stable sort by run gives each merged key its entry.
+    entry = np.empty_like(run)
+    entry[np.argsort(run, kind="stable")] = np.arange(len(run))
+    documents, lengths, counts = (np.concatenate([r[i].to_numpy(zero_copy_only=False) for r in runs]) for i in (1, 2, 4))
+    coded = pa.chunked_array([r[3] for r in runs]).dictionary_encode().unify_dictionaries()
+    names = coded.chunk(0).dictionary
+    codes = np.concatenate([c.indices.to_numpy() for c in coded.chunks]).astype(np.int64)
+
+    new = np.flatnonzero(np.fromiter(map(ne, keys, [None, *keys[:-1]]), bool, len(keys)))
+    kept = np.add.reduceat(documents[entry], new) >= min_documents
+    if not kept.any():
+        return None
+    size = np.diff(new, append=len(keys))
+    at = entry[np.repeat(kept, size)]  # entries of kept terms, term by term
+    term = np.repeat(np.arange(kept.sum()), size[kept])
+    length = lengths[at]
+    place = np.repeat(np.cumsum(lengths)[at] - np.cumsum(length), length) + np.arange(length.sum())
+    posting = np.repeat(term, length) * len(names) + codes[place]
+    order = np.argsort(posting, kind="stable")
+    first, _ = _sums(posting[order])
+    n = np.add.reduceat(counts[place][order], first)
+    posting = posting[order][first]
+    starts = np.flatnonzero(np.diff(posting // len(names), prepend=-1))
+    lang, text = zip(*(keys[i].split(b" ", 1) for i in new[kept].tolist()))
+    source = pa.array([s.decode("utf-8", "replace") for s in names.to_pylist()])
+    columns = [
+        pa.array([bytes.fromhex(x.decode()).decode("utf-8", "replace") for x in lang]),
+        pa.array([t.decode("utf-8", "replace") for t in text]),
+        _lists(source.take(pa.array(posting % len(names))), starts),
+        _lists(pa.array(n), starts),
+        pa.array(np.add.reduceat(n, starts)),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=["lang", "term", "sources", "counts", "total"])
+
 
+def _merge(min_documents: int):  # noqa: ANN202
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Rows come sorted by shard; one shard's runs are held at a time.
-        rows = ((s.as_py(), p.values) for b in batches for s, p in zip(b.column(0), b.column(1)))
+        rows = ((shard.as_py(), *(v.values for v in lists)) for b in batches for shard, *lists in zip(*b.columns))
         for _, runs in groupby(rows, key=itemgetter(0)):
-            yield from batches_of(frequencies([postings for _, postings in runs]))
+            found = _frequencies([r[1:] for r in runs], min_documents)
+            for at in range(0, found.num_rows if found else 0, 10_000):
+                yield found.slice(at, 10_000)
 
     return run
 
@@ -153,7 +211,7 @@ def term_frequencies(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, block_
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = 1 + size // shard_bytes
     runs = materialize(texts.mapInArrow(_index(shards, block_postings), _RUN), "runs")
-    dealt = runs.repartition(shards, "shard").sortWithinPartitions("shard")
+    dealt = runs.repartition(2 * shards, "shard").sortWithinPartitions("shard")
     return materialize(dealt.mapInArrow(_merge(min_documents), _FREQUENCIES), "frequencies")
 
 
