@@ -27,6 +27,7 @@ import re
 from array import array
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +51,7 @@ BLOCK_WORDS = 2_000_000
 STRETCH = 1 << 20
 
 _CACHE = 200_000
+_TOGETHER = 30_000
 _END = b"\xff"  # stands for the end of a piece; no byte of UTF-8
 _ENDS = b".,;:!?\n\x0b\x0c\r"
 _TABLE = bytes.maketrans(UPPER.encode() + b"\t" + _ENDS, LOWER.encode() + b" " + _END * len(_ENDS))
@@ -203,6 +205,31 @@ def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from flush()
 
 
+class _Joined:
+    """Short texts of one kind put together, with an end of a piece between them, so that arrays are worth their while."""
+
+    def __init__(self):
+        self._held: dict[tuple, list[bytes]] = {}
+
+    def add(self, kind: tuple, text: bytes) -> Iterator[tuple[tuple, int, list[bytes]]]:
+        """What is ready to be looked at: stretches of a long text as they are, many short texts at once."""
+        if len(text) > STRETCH:
+            for carried, tokens in stretches(text):
+                yield kind, carried, tokens
+            return
+        held = self._held.setdefault(kind, [])
+        for _, tokens in stretches(text):
+            held += tokens
+            held.append(_END)
+        if len(held) > _TOGETHER:
+            yield kind, 0, self._held.pop(kind)
+
+    def rest(self) -> Iterator[tuple[tuple, int, list[bytes]]]:
+        for kind, tokens in self._held.items():
+            yield kind, 0, tokens
+        self._held = {}
+
+
 def _word_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keys = [
@@ -224,31 +251,37 @@ def _mine(shared: dict, k: int, filter_bits: int, shards: int, block_words: int)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters = _Filters(shared, filter_bits, shards)
         words = _Words()
+        joined = _Joined()
         keys: dict[int, list] = {}
         held = 0
+
+        def look(lang: bytes, shard: int, support: int, carried: int, tokens: list[bytes]) -> None:
+            nonlocal words, held
+            if len(tokens) < k:
+                return
+            if len(words) > _CACHE:
+                words = _Words()
+            at, key = filters.places(words.numbers(tokens)[1], _lang_hash(lang), carried, k, shard)
+            # The shard takes the lowest bits of the hash.
+            keys.setdefault(support, []).append(key[at] & _HASH | np.uint64(shard))
+            held += len(at)
+
         for batch in batches:
             for lang, shard, text, support in zip(*(batch.column(i) for i in range(4))):
-                code, shard = _lang_hash(lang.as_py()), shard.as_py()
-                for carried, tokens in stretches(text.as_py()):
-                    if len(tokens) < k:
-                        continue
-                    if len(words) > _CACHE:
-                        words = _Words()
-                    at, key = filters.places(words.numbers(tokens)[1], code, carried, k, shard)
-                    if not len(at):
-                        continue
-                    # The shard takes the lowest bits of the hash.
-                    keys.setdefault(support.as_py(), []).append(key[at] & _HASH | np.uint64(shard))
-                    held += len(at)
-                    if held > block_words:
-                        yield from flush(keys)
-                        keys, held = {}, 0
+                rows = joined.add((lang.as_py(), shard.as_py(), support.as_py()), text.as_py())
+                for (lang, shard, support), carried, tokens in rows:
+                    look(lang, shard, support, carried, tokens)
+                if held > block_words:
+                    yield from flush(keys)
+                    keys, held = {}, 0
+        for (lang, shard, support), carried, tokens in joined.rest():
+            look(lang, shard, support, carried, tokens)
         yield from flush(keys)
 
     return run
 
 
-def _count(shared: dict, filter_bits: int, block_words: int):  # noqa: ANN202
+def _count(shared: dict, filter_bits: int, block_places: int):  # noqa: ANN202
     """Candidates of two and three words and how often they occur, by their words, summed per block."""
 
     def flush(places: dict[tuple[bytes, int], list], words: _Words) -> Iterator[pa.RecordBatch]:
@@ -270,24 +303,24 @@ def _count(shared: dict, filter_bits: int, block_words: int):  # noqa: ANN202
         words = _Words()
         places: dict[tuple[bytes, int], list] = {}
         held = 0
-        for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(2)):
-                code = _lang_hash(lang)
-                for carried, tokens in stretches(text.as_py()):
-                    if held > block_words or len(words) + len(tokens) >= _MOST_WORDS:
-                        yield from flush(places, words)
-                        words, places, held = _Words(), {}, 0
-                    number, h = words.numbers(tokens)
-                    for k in (_PAIR, _TRIPLE):
-                        if len(tokens) < k:
-                            continue
-                        at, _ = filters.places(h, code, carried, k)
-                        if len(at):
-                            phrase = number[at]
-                            for i in range(1, k):
-                                phrase = phrase << 21 | number[at + i]
-                            places.setdefault((lang, k), []).append(phrase)
-                            held += len(at)
+        joined = _Joined()
+        texts = ((lang, text.as_py()) for b in batches for lang, text in zip(b.column(0).to_pylist(), b.column(2)))
+        stretched = chain((row for lang, text in texts for row in joined.add((lang,), text)), joined.rest())
+        for (lang,), carried, tokens in stretched:
+            if held > block_places or len(words) + len(tokens) >= _MOST_WORDS:
+                yield from flush(places, words)
+                words, places, held = _Words(), {}, 0
+            number, h = words.numbers(tokens)
+            for k in (_PAIR, _TRIPLE):
+                if len(tokens) < k:
+                    continue
+                at, _ = filters.places(h, _lang_hash(lang), carried, k)
+                if len(at):
+                    phrase = number[at]
+                    for i in range(1, k):
+                        phrase = phrase << 21 | number[at + i]
+                    places.setdefault((lang, k), []).append(phrase)
+                    held += len(at)
         yield from flush(places, words)
 
     return run
@@ -343,7 +376,7 @@ def phrase_counts(
     pairs = mined(_PAIR, shared)
     triples = mined(_TRIPLE, {**shared, _LOCAL: _shared_filter(pairs, filter_bits, shards)})
     shared = {**shared, _PAIR: _shared_filter(pairs, filter_bits), _TRIPLE: _shared_filter(triples, filter_bits)}
-    counted = dealt.mapInArrow(_count(shared, filter_bits, block_words), "lang binary, k int, phrase binary, n long")
+    counted = dealt.mapInArrow(_count(shared, filter_bits, 2 * block_words), "lang binary, k int, phrase binary, n long")
     counted = counted.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("a")).filter(F.col("a") >= support)
     single = words.select("lang", F.lit(_WORD).alias("k"), F.col("word").alias("phrase"), F.col("n").alias("a"))
     found = materialize(single.unionByName(counted), "phrases")
