@@ -21,6 +21,7 @@ from twinledger.operators.cleanse import (
 from twinledger.schema import NULL_TOKENS, TRADE_COLUMNS, WHITESPACE
 from twinledger.sources.feeds import (
     ARRIVAL,
+    broken_lines,
     dataset_summary,
     read_arriving_csv,
     read_raw_csv,
@@ -242,3 +243,63 @@ def test_more_timestamp_layouts(spark):
         ("10/01/2026 09:30:15.250", "2026-10-01T09:30:15Z"), ("13/13/26", None), ("99991001T100000Z", None),
     ]
     assert evaluated(spark, cases, normalize_iso8601) == [want for _, want in cases]
+
+
+def write_csv(folder, **files):
+    folder.mkdir(exist_ok=True)
+    for name, text in files.items():
+        (folder / f"{name}.csv").write_text(text, encoding="utf-8")
+    return str(folder)
+
+
+HEAD = ",".join(TRADE_COLUMNS)
+STAMP = "2026-10-01T10:00:00Z"
+
+
+def test_columns_are_read_by_the_header_of_their_file(spark, tmp_path):
+    path = write_csv(
+        tmp_path / "in",
+        a=f"instrument,trade_id,quantity,price,sell_order_id,timestamp,buy_order_id,venue\nAAPL,T1,7,100.5,S1,{STAMP},B1,X\n",
+        b=f"{HEAD}\nT2,MSFT,3.25,4,B2,S2,{STAMP}\n",
+        c=f"\ufefftrade_id,price,quantity,timestamp,sell_order_id,instrument\nT3,9,1,{STAMP},S3,IBM\n",
+        d="",
+        e=HEAD,
+    )
+    got = {r.trade_id: r for r in read_trades_csv(spark, path).collect()}
+    assert set(got) == {"T1", "T2", "T3"}
+    assert [got["T1"][c] for c in ("instrument", "quantity", "buy_order_id", "sell_order_id")] == ["AAPL", 7, "B1", "S1"]
+    assert float(got["T1"].price) == 100.5 and float(got["T2"].price) == 3.25
+    assert got["T3"].buy_order_id is None and got["T3"].instrument == "IBM"
+
+
+def test_identifiers_are_checked_where_the_file_has_them(spark, tmp_path):
+    path = write_csv(
+        tmp_path / "in",
+        a=f"trade_id,instrument,price,quantity,sell_order_id,timestamp\nT1,AAPL,1,1,S1,{STAMP}\nT2,AAPL,1,1,,{STAMP}\n",
+        b=f"{HEAD}\nT3,AAPL,1,1,,S,{STAMP}\nT4,AAPL,1,1,B,S,{STAMP}\n",
+        c=f"instrument,price,quantity,timestamp\nAAPL,1,1,{STAMP}\n",
+    )
+    cleanse_csv(spark, path, str(tmp_path / "out"))
+    assert ids(read_trades_csv(spark, str(tmp_path / "out"))) == ["T1", "T4"]
+
+
+def test_broken_lines_keep_text_and_reason(spark, tmp_path):
+    path = write_csv(
+        tmp_path / "in",
+        a=f"{HEAD}\nT1,AAPL,1,1,B,S,{STAMP}\nT2,AAPL\nT3,AAPL,1,1,B,S,{STAMP},\n\nT4,AAPL,1,1,B,S,{STAMP},x,y\n\"T5,5\",AAPL,1,1,B,S,{STAMP}\n",
+    )
+    assert ids(read_raw_csv(spark, path)) == ["T1", "T5,5"]
+    broken = {r.line_text: r.line_reason for r in broken_lines(spark, path).collect()}
+    assert broken == {
+        "T2,AAPL": "fewer fields than the header",
+        f"T3,AAPL,1,1,B,S,{STAMP},": "more fields than the header",
+        f"T4,AAPL,1,1,B,S,{STAMP},x,y": "more fields than the header",
+    }
+    # Asking for one column parses whole lines all the same.
+    assert read_raw_csv(spark, path).select("trade_id").count() == 2
+    assert read_raw_csv(spark, path).count() == 2
+
+
+def test_a_name_that_comes_twice_counts_once(spark, tmp_path):
+    path = write_csv(tmp_path / "in", a=f"{HEAD},price\nT1,AAPL,1.5,1,B,S,{STAMP},99\n")
+    assert float(read_trades_csv(spark, path).first().price) == 1.5

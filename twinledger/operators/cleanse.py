@@ -16,7 +16,7 @@ from twinledger.functions.text import strip_ws
 from twinledger.functions.timestamps import normalize_iso8601
 from twinledger.operators.ordering import keep_first
 from twinledger.schema import NULL_TOKENS, PRICE_TYPE
-from twinledger.sources.feeds import ARRIVAL, read_arriving_csv
+from twinledger.sources.feeds import ABSENT, ARRIVAL, read_arriving_csv
 
 STRICT_IDS = ["trade_id", "instrument", "buy_order_id", "sell_order_id"]
 BASIC_IDS = ["trade_id", "instrument"]
@@ -29,6 +29,14 @@ def _id_present(name: str, strict: bool) -> Column:
     return ~F.col(name).isin(NULL_TOKENS) & ~word.isin("", "nan")
 
 
+def _id_checked(raw: DataFrame, name: str, strict: bool) -> Column:
+    """Present, or not asked for as the row's own file has no such column. A trade id is always asked for."""
+    present = _id_present(name, strict)
+    if name == "trade_id" or ABSENT not in raw.columns:
+        return present
+    return F.array_contains(ABSENT, name) | present
+
+
 def drop_blank_ids(raw: DataFrame, strict: bool = True) -> DataFrame:
     """Keep rows whose identifiers are present, and strip them.
 
@@ -37,7 +45,7 @@ def drop_blank_ids(raw: DataFrame, strict: bool = True) -> DataFrame:
     """
     ids = [c for c in (STRICT_IDS if strict else BASIC_IDS) if c in raw.columns]
     unchecked = [c for c in STRICT_IDS if c in raw.columns and c not in ids]
-    present = reduce(lambda a, b: a & b, [_id_present(c, strict) for c in ids])
+    present = reduce(lambda a, b: a & b, [_id_checked(raw, c, strict) for c in ids])
     return raw.filter(present).withColumns(
         {
             **{c: strip_ws(F.col(c)) for c in ids},
@@ -125,7 +133,7 @@ def rejects_by_rule(raw: DataFrame, strict: bool = True) -> DataFrame:
     """How many rows each rule stops, in the order the rules run, before deduplication."""
     ids = [c for c in (STRICT_IDS if strict else BASIC_IDS) if c in raw.columns]
     present = F.coalesce(
-        reduce(lambda a, b: a & b, [_id_present(c, strict) for c in ids]), F.lit(False)
+        reduce(lambda a, b: a & b, [_id_checked(raw, c, strict) for c in ids]), F.lit(False)
     )
     price = to_number(F.col("price"))
     quantity = to_number(F.col("quantity"))
@@ -145,7 +153,7 @@ def write_cleansed_csv(cleansed: DataFrame, path: str) -> None:
 
 def cleanse_csv(spark: SparkSession, input_path: str, output_path: str, strict: bool = True) -> dict[str, float]:
     """Cleanse a raw CSV, a file or a folder of them, into a CSV. The first copy of an id is the
-    first by file name and line."""
+    first by file name and line. Lines that do not fit their header are in ``feeds.broken_lines``."""
     return cleanse_feed(read_arriving_csv(spark, input_path), ARRIVAL, output_path, strict)
 
 
@@ -155,7 +163,7 @@ def cleanse_feed(
     """Cleanse a feed, write it as CSV and return its metrics."""
     kept = Observation("rows_kept")
     cleansed = cleanse_trades(raw, order_by, strict).observe(kept, F.count(F.lit(1)).alias("rows"))
-    write_cleansed_csv(cleansed.drop(*order_by), output_path)
+    write_cleansed_csv(cleansed.drop(*order_by, ABSENT), output_path)
     # Rows in are counted on their own: below a shuffle a stage that runs again counts twice.
     initial, retained = raw.count(), kept.get["rows"]
     return {

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from twinledger.functions.numbers import clamp, divide_or_zero, money_text, notional
 from twinledger.functions.text import contains_ignore_case, strip_ws, time_of_day
 from twinledger.functions.timestamps import normalize_iso8601
-from twinledger.operators import cleanse, controls, outcomes, parity, reconcile, reporting
+from twinledger.operators import cleanse, controls, ledger, outcomes, parity, reconcile, reporting
 from twinledger.operators import store as stores
 from twinledger.operators import validate
 from twinledger.operators.ordering import block_width, keep_first
@@ -201,6 +201,33 @@ def cleanse_from_csv(spark, sf):
     return _trades(feeds.read_trades_csv(spark, out))
 
 
+@query
+def cleanse_from_mixed_headers(spark, sf):
+    """Four files of one feed, each with its own header: the usual one, another order and an unknown column, one identifier
+    absent, and lines too long or too short. Cleansed trades, and the broken lines with their reasons."""
+    raw, out = scratch_dir(spark, "mixed_csv"), scratch_dir(spark, "cleansed_csv")
+    ordered = samples.raw_trades(spark, sf).withColumn("part", F.regexp_extract("sell_order_id", "[0-9]+", 0).cast("long") % 4)
+    other = ["timestamp", "instrument", "quantity", "trade_id", "venue", "price", "sell_order_id", "buy_order_id"]
+    header = {0: TRADE_COLUMNS, 1: other, 2: [c for c in TRADE_COLUMNS if c != "buy_order_id"], 3: TRADE_COLUMNS}
+    for part, names in header.items():
+        some = ordered.filter(F.col("part") == part).withColumn("venue", F.lit("X"))
+        if part < 3:
+            feeds.write_trades(some.sort(*ARRIVAL).select(*names), f"{raw}/{part}", "csv")
+        else:
+            line = F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in names])
+            cut = F.when(F.col("trade_id").endswith("1"), F.concat(line, F.lit(",more"))).when(
+                F.col("trade_id").endswith("2"), F.concat_ws(",", "trade_id", "instrument")
+            )
+            lines = some.select(F.coalesce(cut, line).alias("value"), *ARRIVAL)
+            first = spark.range(1).select(F.lit(",".join(names)).alias("value"))
+            whole = first.unionByName(lines, allowMissingColumns=True).repartition(1)
+            whole.sortWithinPartitions(*[F.asc_nulls_first(c) for c in ARRIVAL]).select("value").write.text(f"{raw}/{part}")
+    cleanse.cleanse_csv(spark, f"{raw}/*", out)
+    clean = feeds.read_trades_csv(spark, out).select(*TRADE_COLUMNS, F.lit(None).cast("string").alias("reason"))
+    broken = feeds.broken_lines(spark, f"{raw}/*").groupBy(F.col("line_reason").alias("reason")).agg(F.count("*").cast("int").alias("quantity"))
+    return clean.unionByName(broken, allowMissingColumns=True)
+
+
 @query
 def cleanse_wide_numbers(spark, sf):
     """Numbers that are good but too large for a store are set aside with a reason, in full."""
@@ -310,6 +337,72 @@ def idempotent_append(spark, sf):
     return _trades(stores.read_store(spark, path))
 
 
+def _ledger(spark, name):
+    path = scratch_dir(spark, name)
+    ledger.create(spark, path)
+    return path
+
+
+@query
+def append_bucketed(spark, sf):
+    """The same in a store dealt into buckets: a half, a half, the first one again under a new number, the second one tried again."""
+    path = _ledger(spark, "ledger")
+    first, second = _halves(spark, sf)
+    for batch, number in ((first, 0), (second, 1), (first, 2), (second, 1)):
+        ledger.append(batch, path, "load", number, ["ingest_seq"])
+    return _trades(ledger.read(spark, path))
+
+
+@query
+def store_as_of(spark, sf):
+    """A store of two batches as it was after the first: its rows, and from the log its totals."""
+    path = _ledger(spark, "ledger")
+    for number, batch in enumerate(_halves(spark, sf)):
+        ledger.append(batch, path, "load", number, ["ingest_seq"])
+    then = ledger.read(spark, path, 1).crossJoin(F.broadcast(ledger.totals(spark, path, 1)))  # totals are one row
+    return then.select(*TRADE_COLUMNS, "trade_count", "volume")
+
+
+@query
+def store_compacted(spark, sf):
+    """A feed in ten batches, small folders written as one on the way and at the end, and what no version needs deleted."""
+    path = _ledger(spark, "ledger")
+    feed = samples.delivery_feed(spark, sf)
+    n = feed.count()
+    for number, batch in enumerate(slices_of(feed, [n * i // 10 for i in range(11)])):
+        ledger.append(batch, path, "load", number, ["ingest_seq"])
+    ledger.compact(spark, path)
+    ledger.expire(spark, path, 1)
+    return _trades(ledger.read(spark, path))
+
+
+def _ledgers(spark, sf):
+    """Both stores dealt into buckets."""
+    paths = _ledger(spark, "legacy"), _ledger(spark, "cloud")
+    for path, rows in zip(paths, samples.stores(spark, sf)):
+        ledger.append(rows, path, "load", 0)
+    return paths
+
+
+@query
+def missing_ids_by_digest(spark, sf):
+    """Ids the cloud store lacks, looked for only in buckets whose digests differ."""
+    return ledger.missing_ids(spark, *_ledgers(spark, sf))
+
+
+@query
+def parity_by_digest(spark, sf):
+    """Both stores by their logs, and the legacy store against one of equal totals in which one id is another."""
+    legacy, cloud = _ledgers(spark, sf)
+    swapped = _ledger(spark, "swapped")
+    rows = ledger.read(spark, legacy)
+    least = rows.agg(F.min("trade_id").alias("least"))
+    other = F.when(F.col("trade_id") == F.col("least"), F.lit("TRD-OTHER")).otherwise(F.col("trade_id"))
+    ledger.append(rows.crossJoin(F.broadcast(least)).withColumn("trade_id", other), swapped, "load", 0)
+    audits = [ledger.parity(spark, legacy, at).withColumn("against", F.lit(name)) for name, at in (("cloud", cloud), ("swapped", swapped))]
+    return audits[0].unionByName(audits[1])
+
+
 @query
 def append_counts(spark, sf):
     """How many rows each append added; delivering a batch again adds none."""

@@ -481,6 +481,14 @@ SELECT event_id,
 FROM events"""
     sql["dedup_keep_first"] = f"WITH {_USABLE} SELECT {_TRADE} FROM firsts"
     sql["cleanse_from_csv"] = f"WITH {_USABLE} SELECT {_TRADE} FROM clean"
+    sql["cleanse_from_mixed_headers"] = f"""WITH {_USABLE}, fits AS (
+  SELECT * REPLACE (CASE WHEN l_suppkey % 4 = 2 THEN NULL ELSE buy_order_id END AS buy_order_id) FROM usable
+  WHERE NOT (l_suppkey % 4 = 3 AND (id LIKE '%1' OR id LIKE '%2'))
+), nth AS (SELECT *, row_number() OVER (PARTITION BY trade_id ORDER BY l_suppkey % 4, {_ARRIVAL}) AS nth FROM fits)
+SELECT {_TRADE}, NULL::VARCHAR AS reason FROM nth WHERE nth = 1 AND "timestamp" IS NOT NULL
+UNION ALL SELECT NULL, NULL, NULL, count(*)::INTEGER, NULL, NULL, NULL,
+  CASE WHEN trade_id LIKE '%1' THEN 'more' ELSE 'fewer' END || ' fields than the header' AS reason
+FROM raw WHERE l_suppkey % 4 = 3 AND (trade_id LIKE '%1' OR trade_id LIKE '%2') GROUP BY ALL"""
     sql["cleanse_wide_numbers"] = """
 SELECT 'TRD-' || o_orderkey AS trade_id, p AS price, q AS quantity,
   CASE WHEN big_p AND big_q THEN 'price is beyond the store''s range; quantity is beyond the store''s range'
@@ -543,6 +551,16 @@ SELECT reason, count(*) AS "rows" FROM (
     first_copies = f"""WITH {_USABLE}, held AS (
   SELECT *, row_number() OVER (PARTITION BY trade_id ORDER BY ingest_seq) AS nth FROM feed)"""
     sql["idempotent_append"] = f"{first_copies} SELECT {_TRADE} FROM held WHERE nth = 1"
+    sql["append_bucketed"] = sql["store_compacted"] = sql["idempotent_append"]
+    sql["store_as_of"] = f"""{first_copies}, half AS (
+  SELECT held.* FROM held, (SELECT count(*) AS n FROM feed) WHERE nth = 1 AND ingest_seq < n // 2)
+SELECT {_TRADE}, count(*) OVER () AS trade_count, sum(price * quantity) OVER ()::DOUBLE AS volume FROM half"""
+    sql["parity_by_digest"] = f"""WITH {_STORES}, {_totals('lt', 'legacy')}, {_totals('ct', 'cloud')},
+apart AS (SELECT count(*) AS c FROM (SELECT trade_id FROM legacy EXCEPT SELECT trade_id FROM cloud)),
+sides AS (SELECT 'cloud' AS against, ct.n, ct.v, c = 0 AS ids FROM ct, apart UNION ALL SELECT 'swapped', lt.n, lt.v, false FROM lt)
+SELECT against, lt.n AS legacy_count, lt.v::DOUBLE AS legacy_volume, sides.n AS cloud_count, sides.v::DOUBLE AS cloud_volume,
+  ids AS same_ids, lt.n = sides.n AND lt.v = sides.v AS same_totals,
+  CASE WHEN ids AND lt.n = sides.n AND lt.v = sides.v THEN 'IN_PARITY' ELSE 'DRIFT_DETECTED' END AS status FROM lt, sides"""
     sql["append_counts"] = f"""{first_copies}, h AS (
   SELECT count(*) FILTER (WHERE nth = 1 AND ingest_seq < n // 2) AS a,
          count(*) FILTER (WHERE nth = 1 AND ingest_seq >= n // 2) AS b
@@ -572,6 +590,7 @@ FROM lt, ct"""
 SELECT trade_id FROM legacy EXCEPT SELECT trade_id FROM cloud"""
     sql["missing_ids"] = gone
     sql["missing_ids_subtract"] = gone
+    sql["missing_ids_by_digest"] = gone
 
     # Outcomes and control state
     sql["feed_positions"] = f"""WITH {_USABLE}
