@@ -71,6 +71,37 @@ def test_dead_letters_heal_the_outage_but_not_the_halt(spark, drill, tmp_path):
     assert reconcile.read_dead_letters(spark, letters).count() == 0
 
 
+def test_letters_stay_open_until_their_trade_is_there(spark, drill, tmp_path, monkeypatch):
+    """One that comes while a replay runs, and those whose ids the primary lacks as yet."""
+    at, _, _, _ = drill
+    cloud, legacy, letters = (str(tmp_path / n) for n in ("cloud", "legacy", "letters"))
+    stores.append_idempotent(stores.read_store(spark, at.cloud).select(*TRADE_COLUMNS), cloud, "load", 0)
+    all_letters = reconcile.read_dead_letters(spark, at.dead_letters)
+    late = all_letters.filter("ingest_seq = 60")
+    all_letters.filter("ingest_seq != 60").write.partitionBy("batch_id").parquet(letters)
+    first, other = [r.trade_id for r in all_letters.filter("ingest_seq in (61, 62)").orderBy("ingest_seq").collect()]
+    primary = stores.read_store(spark, at.legacy).select(*TRADE_COLUMNS)
+    stores.append_idempotent(primary.filter(f"trade_id not in ('{first}', '{other}')"), legacy, "load", 0)
+
+    replay = reconcile.reconcile
+
+    def with_a_late_letter(*args):
+        late.withColumn("batch_id", late.batch_id + 100).write.mode("append").partitionBy("batch_id").parquet(letters)
+        return replay(*args)
+
+    monkeypatch.setattr(reconcile, "reconcile", with_a_late_letter)
+    reconcile.replay_dead_letters(spark, legacy, cloud, letters)
+    monkeypatch.undo()
+    holding = {r.trade_id for r in stores.read_store(spark, cloud).collect()}
+    left = reconcile.read_dead_letters(spark, letters).collect()
+    assert 60 in {r.ingest_seq for r in left}
+    assert {r.trade_id for r in left} - {late.first().trade_id} == {first, other} - holding
+
+    stores.append_idempotent(primary, legacy, "load", 1)
+    reconcile.replay_dead_letters(spark, legacy, cloud, letters)
+    assert reconcile.read_dead_letters(spark, letters).count() == 0
+
+
 def test_parity_log_has_a_row_per_tick(spark, drill):
     at, ledger, _, _ = drill
     log = spark.read.parquet(at.parity_log).orderBy("batch_id").collect()

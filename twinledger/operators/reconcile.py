@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from twinledger.operators.ordering import keep_first
 from twinledger.operators.parity import missing_ids, parity_audit
 from twinledger.operators.store import append_idempotent, next_batch_id, read_store
-from twinledger.schema import DEAD_LETTERS, TRADE_COLUMNS
+from twinledger.schema import ACKNOWLEDGEMENTS, DEAD_LETTERS, TRADE_COLUMNS
 from twinledger.session import materialize
 
 
@@ -52,29 +52,42 @@ def reconcile(
     )
 
 
+def acknowledgements_path(dead_letters: str) -> str:
+    return f"{dead_letters.rstrip('/')}_acks"
+
+
+def _create_acknowledgements(spark: SparkSession, dead_letters: str) -> None:
+    empty = spark.range(0, 0, 1, 1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in ACKNOWLEDGEMENTS.fields])
+    empty.write.mode("ignore").parquet(acknowledgements_path(dead_letters))
+
+
 def read_dead_letters(spark: SparkSession, path: str) -> DataFrame:
-    """What outages dropped, in order of arrival, copies included."""
-    return spark.read.schema(DEAD_LETTERS).parquet(path)
+    """What outages dropped and no replay has acknowledged, in order of arrival, copies included."""
+    _create_acknowledgements(spark, path)
+    letters = spark.read.schema(DEAD_LETTERS).parquet(path)
+    acknowledged = spark.read.schema(ACKNOWLEDGEMENTS).parquet(acknowledgements_path(path))
+    # A letter is a feed row; its position and id name it, so no key is frequent.
+    return letters.join(acknowledged, ["ingest_seq", "trade_id"], "left_anti").select(*DEAD_LETTERS.fieldNames())
 
 
-def clear_dead_letters(spark: SparkSession, path: str) -> None:
-    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in DEAD_LETTERS.fields]
-    empty = spark.range(0, 0, 1, 1).select(*columns)
-    writer = empty.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    writer.partitionBy("batch_id").parquet(path)
+def acknowledge(letters: DataFrame, path: str) -> None:
+    """Note that some letters are done with. Noting one twice changes nothing."""
+    letters.select(*ACKNOWLEDGEMENTS.fieldNames()).write.mode("append").parquet(acknowledgements_path(path))
 
 
 def replay_dead_letters(
     spark: SparkSession, legacy_path: str, cloud_path: str, dead_letters: str
 ) -> DataFrame:
-    """Reconcile from the dead letters, then clear them.
+    """Reconcile from the open dead letters, then acknowledge those whose ids the cloud store holds.
 
-    They are cleared only after the replay is stored; a failure in between repeats the replay,
-    which adds nothing twice. Trades that came while the consumer was halted are not among them.
+    Only letters that were there at the start are claimed: one that a running load adds meanwhile stays open, as
+    does one whose id the primary store lacks as yet. A failure before the acknowledgement repeats the
+    replay, which adds nothing twice. Trades that came while the consumer was halted are not among the letters.
     """
-    letters = read_dead_letters(spark, dead_letters)
-    done = reconcile(spark, legacy_path, cloud_path, letters, ["ingest_seq"])
-    clear_dead_letters(spark, dead_letters)
+    claimed = materialize(read_dead_letters(spark, dead_letters), "claimed_letters")
+    done = materialize(reconcile(spark, legacy_path, cloud_path, claimed, ["ingest_seq"]), "replay")
+    held = read_store(spark, cloud_path).select("trade_id")
+    acknowledge(claimed.join(held, "trade_id", "left_semi"), dead_letters)
     return done
 
 

@@ -720,6 +720,9 @@ FROM ledger GROUP BY 1 HAVING bool_or(legacy_inserted)"""
     sql["stream_shadow_outage"] = f"WITH {_DRILL} SELECT {_TRADE} FROM ledger WHERE cloud_inserted"
     sql["stream_dead_letter"] = f"""WITH {_EVENT_TRADES}
 SELECT ingest_seq, {_TRADE} FROM et WHERE ingest_seq >= n // 2 AND ingest_seq < 3 * n // 4"""
+    sql["dead_letters_acknowledged"] = f"""WITH {_DRILL}
+SELECT ingest_seq, {_TRADE} FROM ledger WHERE cut_off AND NOT halted AND trade_id LIKE '%7'
+  AND trade_id NOT IN (SELECT trade_id FROM ledger WHERE cloud_inserted)"""
     sql["stream_dead_letters_replayed"] = f"""WITH {_DRILL},
 legacy AS (SELECT * FROM ledger WHERE legacy_inserted),
 cloud AS (SELECT * FROM ledger WHERE cloud_inserted),

@@ -48,6 +48,11 @@ FEED = T.StructType(
 # Feed rows that an outage dropped, kept per batch.
 DEAD_LETTERS = T.StructType(FEED.fields + [T.StructField("batch_id", T.LongType())])
 
+# Dead letters that a replay is done with.
+ACKNOWLEDGEMENTS = T.StructType(
+    [T.StructField("ingest_seq", T.LongType()), T.StructField("trade_id", T.StringType())]
+)
+
 # What a store holds. The last two columns are directory partitions.
 STORE = T.StructType(
     TRADE.fields
