@@ -104,15 +104,19 @@ def with_iso_timestamp(df: DataFrame) -> DataFrame:
 
 
 def usable_trades(raw: DataFrame, strict: bool = True) -> DataFrame:
-    """The steps before deduplication. Timestamps are already rewritten here, once per row, but
-    rows whose timestamp could not be read stay until the first copy of each id is chosen."""
-    return with_iso_timestamp(keep_positive(coerce_numbers(drop_blank_ids(raw, strict))))
+    """Rows with usable ids and numbers, every copy, timestamps rewritten: NULL where they could not be read."""
+    return with_iso_timestamp(_before_dedup(raw, strict))
+
+
+def _before_dedup(raw: DataFrame, strict: bool) -> DataFrame:
+    return keep_positive(coerce_numbers(drop_blank_ids(raw, strict)))
 
 
 def cleanse_trades(raw: DataFrame, order_by: list[str], strict: bool = True) -> DataFrame:
-    """A raw feed cleansed. ``order_by`` is the order of arrival among copies of an id."""
-    first = keep_first(usable_trades(raw, strict), "trade_id", order_by)
-    return first.dropna(subset=["timestamp"])
+    """A raw feed cleansed. ``order_by`` is the order of arrival among copies of an id, by columns other than ``timestamp``."""
+    # Timestamps are parsed for the rows that stay, behind the shuffle, and not for every copy.
+    first = keep_first(_before_dedup(raw, strict), "trade_id", order_by)
+    return with_iso_timestamp(first).dropna(subset=["timestamp"])
 
 
 def cleanse_metrics(raw: DataFrame, cleansed: DataFrame) -> DataFrame:
