@@ -80,6 +80,29 @@ def latest_state(state: DataFrame) -> DataFrame:
     return state.orderBy(F.desc("seq")).limit(1)
 
 
+def as_events(state: DataFrame, before: int) -> DataFrame:
+    """The shortest log that leads to a state of one row, at the places just before ``before``."""
+    steps = [
+        ("rollback", F.col("is_rollback_active"), None),  # first, as it ends an outage
+        ("cutover", F.col("is_cutover_active"), None),
+        ("stream_toggle", F.col("is_streaming"), None),
+        ("chaos_toggle", F.col("is_chaos_active"), None),
+        ("set_rate", F.lit(True), F.col("target_rate")),
+    ]
+    events = [
+        F.when(
+            needed,
+            F.struct(
+                F.lit(before - len(steps) + i).cast("long").alias("seq"),
+                F.lit(action).alias("action"),
+                (F.lit(None) if rate is None else rate).cast("int").alias("rate"),
+            ),
+        )
+        for i, (action, needed, rate) in enumerate(steps)
+    ]
+    return state.select(F.inline(F.array_compact(F.array(*events))))
+
+
 def outage_intervals(state: DataFrame, end_of_feed: int, width: int | None = None) -> DataFrame:
     """Outages as intervals: from each event that starts one to the event that ends it.
 

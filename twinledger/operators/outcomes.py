@@ -95,6 +95,38 @@ def outcome_summary(ledger: DataFrame) -> DataFrame:
     return ledger.groupBy("cloud_status").agg(F.count("*").alias("trades"))
 
 
+def parity_steps(ledger: DataFrame, every: int, seq: str = "ingest_seq") -> DataFrame:
+    """What each run of ``every`` positions adds to either store."""
+    kept_legacy, kept_cloud = F.col("legacy_inserted"), F.col("cloud_inserted")
+    return ledger.groupBy(F.expr(f"`{seq}` div {every}").alias("step")).agg(
+        F.max(seq).alias("_last"),
+        F.count(F.when(kept_legacy, 1)).alias("_ln"),
+        F.count(F.when(kept_cloud, 1)).alias("_cn"),
+        F.coalesce(F.sum(F.when(kept_legacy, notional())), F.lit(0)).alias("_lv"),
+        F.coalesce(F.sum(F.when(kept_cloud, notional())), F.lit(0)).alias("_cv"),
+    )
+
+
+def running_sums(steps: DataFrame, before: DataFrame | None = None, width: int | None = None) -> DataFrame:
+    """Running counts and volumes after each step, on top of those of ``before``: the last row of an earlier run."""
+    columns = {"legacy_count": "_ln", "cloud_count": "_cn", "legacy_volume": "_lv", "cloud_volume": "_cv"}
+    if before is not None:
+        # It stands in front of the first step, as a step of its own, since that one may go on.
+        start = before.select(
+            F.lit(-1).cast("long").alias("step"),
+            F.lit(None).cast("long").alias("_last"),
+            *[F.col(name).alias(part) for name, part in columns.items()],
+        )
+        steps = start.unionByName(steps)
+    # Steps are counted from 0 here: the carried one takes that place.
+    numbered = steps.withColumn("_at", F.col("step") + 1)
+    running = scan_forward(numbered, "_at", sums={name: F.col(part) for name, part in columns.items()}, width=width)
+    exact = [
+        F.col(name).cast("decimal(36,2)" if name.endswith("volume") else "long").alias(name) for name in columns
+    ]
+    return running.filter("step >= 0").select("step", (F.col("_last") + 1).alias("processed"), *exact)
+
+
 def running_parity(
     ledger: DataFrame, every: int, seq: str = "ingest_seq", width: int | None = None
 ) -> DataFrame:
@@ -103,23 +135,5 @@ def running_parity(
     Positions must count from 0 without gaps. Trades are first added up per checkpoint, so the
     running sums go over checkpoints and not over trades.
     """
-    kept_legacy, kept_cloud = F.col("legacy_inserted"), F.col("cloud_inserted")
-    steps = ledger.groupBy(F.expr(f"`{seq}` div {every}").alias("_step")).agg(
-        F.max(seq).alias("_last"),
-        F.count(F.when(kept_legacy, 1)).alias("_ln"),
-        F.count(F.when(kept_cloud, 1)).alias("_cn"),
-        F.coalesce(F.sum(F.when(kept_legacy, notional())), F.lit(0)).alias("_lv"),
-        F.coalesce(F.sum(F.when(kept_cloud, notional())), F.lit(0)).alias("_cv"),
-    )
-    running = scan_forward(
-        steps,
-        "_step",
-        sums={
-            "legacy_count": F.col("_ln"),
-            "cloud_count": F.col("_cn"),
-            "legacy_volume": F.col("_lv"),
-            "cloud_volume": F.col("_cv"),
-        },
-        width=width,
-    )
-    return running.select((F.col("_last") + 1).alias("processed"), *audit_columns())
+    running = running_sums(parity_steps(ledger, every, seq), width=width)
+    return running.select("processed", *audit_columns())

@@ -19,7 +19,7 @@ from twinledger.plans.drills import DrillTables, dual_ingestion, slices_of
 from twinledger.schema import RAW_FEED, TRADE_COLUMNS
 from twinledger.session import materialize, scratch_dir, use_utc
 from twinledger.sources import feeds, payloads, samples, topics
-from twinledger.streaming import loads, telemetry
+from twinledger.streaming import carried, loads, telemetry
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -1022,6 +1022,85 @@ def stream_throughput(spark, sf):
     )
 
 
+@query
+def stream_throughput_windowed(spark, sf):
+    """Trades per hour with buckets that close a day behind; a tenth of the first half comes late."""
+    feed = samples.event_trades(spark, sf)
+    n, at = feed.count(), F.col("ingest_seq")
+    held_back = (at < n // 2) & (at % 10 == 3)
+    parts = [feed.filter((at < n // 2) & ~held_back), feed.filter(held_back | ((at >= n // 2) & (at < 3 * n // 4))), feed.filter(at >= 3 * n // 4)]
+    root = scratch_dir(spark, "windows")
+    for part in parts:
+        topics.publish(part, f"{root}/topic")
+        stream = topics.subscribe(spark, f"{root}/topic")
+        loads.drain(carried.log_windows(stream, f"{root}/buckets", f"{root}/checkpoint", "1 hour", "1 day"))
+    shown = carried.windows_so_far(spark, f"{root}/buckets")
+    return shown.withColumn("bucket_start", F.unix_seconds("bucket_start"))
+
+
+def _in_three(spark, rows, seq, root, load):
+    """Rows as a stream in three deliveries of unequal size, each met by a restarted query."""
+    n = rows.count()
+    for part, files in zip(slices_of(rows, [0, n // 5, n // 2 + 1, n], seq), (3, 1, 2)):
+        part.repartitionByRange(files, seq).write.mode("append").parquet(f"{root}/topic")
+        loads.drain(load(spark.readStream.schema(rows.schema).parquet(f"{root}/topic")))
+
+
+@query
+def control_state_incremental(spark, sf):
+    """State after each control event, each batch starting from the state that the one before left."""
+    root = scratch_dir(spark, "controls")
+    events = samples.control_events(spark, sf)
+    _in_three(spark, events, "seq", root, lambda s: carried.log_controls(s, f"{root}/log", f"{root}/checkpoint"))
+    return carried.control_states(spark, f"{root}/log")
+
+
+@query
+def running_parity_incremental(spark, sf):
+    """The audit after every 250 trades and at the end, from running sums carried over batches."""
+    root = scratch_dir(spark, "running")
+    ledger = _day_ledger(spark, sf).select("ingest_seq", "price", "quantity", "legacy_inserted", "cloud_inserted")
+    ledger = materialize(ledger, "outcomes")
+    _in_three(
+        spark, ledger, "ingest_seq", root,
+        lambda s: carried.log_running_parity(s, CHECKPOINT_EVERY, f"{root}/log", f"{root}/checkpoint"),
+    )
+    return carried.running_parity_so_far(spark, f"{root}/log")
+
+
+@query
+def stream_identity_state(spark, sf):
+    """Each trade once, known by the stream's state on disk: three restarts, other file cuts, the first part delivered again."""
+    feed = samples.event_trades(spark, sf)
+    n = feed.count()
+    root = scratch_dir(spark, "identity")
+    first, second, third = slices_of(feed, [0, n // 3, n // 2, n])
+    for part, files in ((first, 3), (second, 1), (third, 2), (first, 2)):
+        topics.publish(part.repartitionByRange(files, "ingest_seq"), f"{root}/topic")
+        stream = topics.subscribe(spark, f"{root}/topic")
+        loads.drain(loads.load_by_state(stream, f"{root}/store", f"{root}/checkpoint"))
+    return _trades(stores.read_store(spark, f"{root}/store"))
+
+
+@query
+def stream_topic_quarantine(spark, sf):
+    """What became of each record of a topic: stored, a copy of a stored one, or refused, with its reasons."""
+    root = scratch_dir(spark, "topic_quarantine")
+    path = f"{root}/store"
+    stores.create_store(spark, path)
+    decoded = topics.decode_records(samples.records(spark, sf))
+    topic = materialize(decoded, "topic_records")
+    topic.write.parquet(f"{root}/topic")
+    stream = spark.readStream.schema(topic.schema).parquet(f"{root}/topic")
+    loads.drain(loads.load_records(stream, path, f"{root}/quarantine", f"{root}/checkpoint"))
+    refused = spark.read.parquet(f"{root}/quarantine").select("ingest_seq", F.lit("refused").alias("outcome"))
+    accepted = topic.join(refused, "ingest_seq", "left_anti")
+    held = stores.read_store(spark, path).select("trade_id", F.col("price").alias("_price"), F.col("sell_order_id").alias("_sell"))
+    same = (F.col("price") == F.col("_price")) & (F.col("sell_order_id") == F.col("_sell"))
+    met = accepted.join(held, "trade_id").select("ingest_seq", F.when(same, "stored").otherwise("duplicate").alias("outcome"))
+    return met.unionByName(refused)
+
+
 @query
 def telemetry_snapshot(spark, sf):
     """The dashboard's record, with its nested parts written out."""

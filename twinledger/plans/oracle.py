@@ -687,6 +687,24 @@ SELECT trade_id, instrument, '$' || price::VARCHAR AS price_text, quantity,
        split_part("timestamp", 'T', 2) AS time_text FROM legacy"""
     sql["throughput"] = f"WITH {_HOURS} SELECT * FROM hours"
     sql["stream_throughput"] = sql["throughput"]
+    sql["stream_throughput_windowed"] = f"""WITH {_EVENT_TRADES}, d AS (
+  SELECT date_trunc('hour', event_ts) AS h, event_ts,
+    CASE WHEN ingest_seq < n // 2 AND ingest_seq % 10 <> 3 THEN 0 WHEN ingest_seq < 3 * n // 4 THEN 1 ELSE 2 END AS part
+  FROM et),
+marks AS (SELECT p, (SELECT max(event_ts) FROM d WHERE part <= p) - INTERVAL 1 DAY AS mark FROM range(3) t(p))
+SELECT epoch(h)::BIGINT AS bucket_start,
+  count(*) FILTER (WHERE mark IS NULL OR h + INTERVAL 1 HOUR > mark) AS trades,
+  count(*) FILTER (WHERE h + INTERVAL 1 HOUR <= mark) AS late,
+  h + INTERVAL 1 HOUR > (SELECT max(mark) FROM marks) AS is_open
+FROM d LEFT JOIN marks ON p = part - 1 GROUP BY h"""
+    sql["control_state_incremental"] = sql["control_state"]
+    sql["running_parity_incremental"] = sql["running_parity"]
+    sql["stream_identity_state"] = f"WITH {_DRILL} SELECT {_TRADE} FROM ledger WHERE legacy_inserted"
+    sql["stream_topic_quarantine"] = f"""WITH {_EVENT_TRADES}, r AS (
+  SELECT *, (ingest_seq % 4) * 281474976710656 + ingest_seq // 4 AS place,
+    ingest_seq % 50 <> 1 AND coalesce(instrument IS NOT NULL AND price > 0, FALSE) AS ok FROM et)
+SELECT place AS ingest_seq, CASE WHEN NOT ok THEN 'refused'
+  WHEN row_number() OVER (PARTITION BY ok, trade_id ORDER BY place) = 1 THEN 'stored' ELSE 'duplicate' END AS outcome FROM r"""
     sql["throughput_trailing"] = f"""WITH {_HOURS}
 SELECT bucket_start, trades, string_agg(trades::VARCHAR, ',' ORDER BY bucket_start) OVER w AS history,
        greatest(max(trades) OVER w, 60) AS peak

@@ -55,12 +55,6 @@ def kafka_options(
     return options
 
 
-def decode_kafka(records: DataFrame) -> DataFrame:
-    """Kafka records, whose value is a trade as JSON, to feed rows."""
-    trade = F.from_json(F.col("value").cast("string"), FEED)
-    return records.select(trade.alias("_t")).select("_t.*")
-
-
 def decode_records(records: DataFrame) -> DataFrame:
     """Kafka records with trades of seven fields to feed rows with ``payload`` and ``reject_reasons``.
 

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from twinledger.operators.outcomes import flag_outages, outcome_ledger, reached_cloud
-from twinledger.operators.store import append_idempotent, read_store
-from twinledger.operators.validate import split_checked, with_trade_reasons
+from twinledger.operators.store import append_idempotent, append_new, read_store
+from twinledger.operators.validate import split_checked, trade_is_valid, with_trade_reasons
 from twinledger.schema import TRADE_COLUMNS
 from twinledger.sources.payloads import parse_payloads
 
@@ -55,11 +55,15 @@ def write_batch(rows: DataFrame, path: str, writer: str, batch_id: int) -> None:
     rows.write.mode("overwrite").parquet(f"{path}/writer={writer}/batch_id={batch_id}")
 
 
-def set_aside(rows: DataFrame, quarantine: str | None, writer: str, batch_id: int) -> DataFrame:
-    """The rows that a store accepts; the others go to ``quarantine``, if there is one, with reasons."""
+def refused_path(store: str) -> str:
+    """Where a load keeps what it refuses, unless it is told another place."""
+    return f"{store.rstrip('/')}_refused"
+
+
+def set_aside(rows: DataFrame, quarantine: str, writer: str, batch_id: int) -> DataFrame:
+    """The rows that a store accepts; the others go to ``quarantine`` with reasons."""
     good, bad = split_checked(with_trade_reasons(rows))
-    if quarantine:
-        write_batch(bad, quarantine, writer, batch_id)
+    write_batch(bad, quarantine, writer, batch_id)
     return good
 
 
@@ -70,7 +74,8 @@ def load_legacy(
     every: str | None = None,
     quarantine: str | None = None,
 ) -> StreamingQuery:
-    """The primary store takes every new trade; what breaks a rule goes to ``quarantine``."""
+    """The primary store takes every new trade; what breaks a rule goes to ``quarantine``, by itself ``refused_path``."""
+    quarantine = quarantine or refused_path(store)
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         good = set_aside(batch, quarantine, writer_of(batch), batch_id)
@@ -95,8 +100,9 @@ def load_cloud(
     Trades of an outage go to the dead letters, copies included; trades that arrive while the
     consumer is halted are ignored. ``outages`` may be a function: it is asked again for every batch, so
     an outage that begins while the load runs counts from its next batch on. Trades that break a rule go to
-    ``quarantine``, and ``outcomes`` keeps what became of every other trade: each trade of a batch is in one of the two.
+    ``quarantine``, by itself ``refused_path``, and ``outcomes`` keeps what became of every other trade: each trade of a batch is in one of the two.
     """
+    quarantine = quarantine or refused_path(store)
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         writer = writer_of(batch)
@@ -164,3 +170,56 @@ def load_checked(
         write_batch(bad, quarantine, writer_of(batch), batch_id)
 
     return start(stream, each_batch, checkpoint, every)
+
+
+#: Exact identity for ever needs state on disk, and only its changes written with each batch.
+_ON_DISK = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+def first_seen(stream: DataFrame, seq: str = "ingest_seq") -> DataFrame:
+    """Per batch (output mode ``update``) the ids that it met, with their first copy and ``is_new``.
+
+    The state is one row per id and has no watermark, so an id is known for ever. The first copy is the first one
+    delivered, by batch and then by ``seq``. The time of a batch is kept in the checkpoint, so a batch tried again has the same.
+    """
+    copy = F.struct(*[c for c in stream.columns if c != "trade_id"])
+    timed = stream.withColumn("_at", F.current_timestamp())
+    firsts = timed.groupBy("trade_id").agg(
+        F.min_by(copy, F.struct("_at", seq)).alias("_first"), F.min("_at").alias("_from"), F.max("_at").alias("_to")
+    )
+    return firsts.select("trade_id", "_first.*", (F.col("_from") == F.col("_to")).alias("is_new"))
+
+
+def load_by_state(stream: DataFrame, store: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Every new trade to a store that this query alone writes, known by the stream's own state in place of a join with the store.
+
+    What breaks a rule is left out here; ``load_refused`` on the same topic keeps it.
+    """
+    spark = stream.sparkSession
+    before = {name: spark.conf.get(name, None) for name in _ON_DISK}
+    valid = stream.filter(trade_is_valid()).select(*TRADE_COLUMNS, "ingest_seq")
+
+    def each_batch(batch: DataFrame, batch_id: int) -> None:
+        append_new(batch.filter("is_new").select(*TRADE_COLUMNS), store, writer_of(batch), batch_id)
+
+    for name, value in _ON_DISK.items():
+        spark.conf.set(name, value)
+    try:  # a query takes its settings along when it starts
+        writer = first_seen(valid).writeStream.outputMode("update").foreachBatch(each_batch)
+        trigger = {"processingTime": every} if every else {"availableNow": True}
+        return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def load_refused(stream: DataFrame, quarantine: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """The trades that break a rule, with reasons."""
+
+    def each_batch(batch: DataFrame, batch_id: int) -> None:
+        set_aside(batch, quarantine, writer_of(batch), batch_id)
+
+    return start(stream, each_batch, checkpoint, every)
