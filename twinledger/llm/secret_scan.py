@@ -1,49 +1,51 @@
-"""Secret scan: stated patterns, and a linear-chain conditional random field for the rest.
-
-The patterns' spans always stay. The field tags tokens as begin, inside or outside of a secret.
-Only tokens that could be part of one are free: runs of letters, digits and ``+/_.=-`` that have a digit
-or are long. Every other word is outside by construction, so a text falls apart into chains of
-neighbouring free tokens, and Viterbi over these chains is Viterbi over the whole text.
-
-Features are a token's shape, the characters and words beside it, and traits of the whole text. The
-field learns from the patterns' own spans in at most ``LEARN_TEXTS`` texts with a span and as many
-without; each of its chains is shown once more as if no keyword stood before it, so that shape has to count as well.
-The free tokens of all texts are written as a table of numbers once; learning and
-decoding both start from it.
-
-NULL is the empty text. Without a single pattern span in the table nothing is learned or added.
+"""Secret scan: stated patterns, and a linear-chain conditional random field over every token.
+
+The patterns' spans always stay. The field tags each token of a text, words and single signs alike, as begin,
+inside or outside of a secret, from the token's shape, the tokens beside it, whether a word such as ``password`` stands before it with
+signs only in between, and traits of the whole text. Viterbi is over whole texts. Before it runs, tokens that no best
+path can tag as secret are told apart by a bound, which is exact: most of a text never enters its loop.
+
+The field learns from windows of text: around the values that the patterns found, and elsewhere, ``LEARN_WINDOWS`` and
+``LEARN_PLAIN`` at most, those with the smallest hash, from texts of any length. A value of over ``LONGEST_VALUE`` characters shows
+nothing and is left out of learning. Each window with a value is shown once more as if no keyword stood before it. ``LEARN_WINDOWS`` of the
+others are shown once more with a made-up secret put in (joined words, words with digits and signs, random
+letters, quoted phrases) and once more with a keyword before an ordinary word, so that neither keyword nor
+shape decides alone.
+
+NULL is the empty text. Empty tables give no rows; without a single pattern span nothing is learned or added. Repeated rows
+and ids are each answered. Other columns are not looked at, whatever their names. Ties in the sample go by the window's text,
+ties between paths to the smaller tag.
 """
 
 from __future__ import annotations
 
+import random
 import re
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twinledger.session import materialize
-
-LEARN_TEXTS = 2_000
-LEARN_BYTES = 1 << 14
+LEARN_WINDOWS = 600  # with a value; of those without one LEARN_PLAIN
+LEARN_PLAIN = 2_000
+LONGEST_CHAIN = 48  # while learning
+CAUTION = 3.0
+LONGEST_VALUE = 4096
+AROUND = 96
 KINDS = ("assign", "access", "hex")
-LONG = 24
-FEATURES = 13
 SPACE = 1 << 14
-NO_KEYWORD = "no keyword"
-LONGEST_CHAIN = 32  # while learning
+MOST_TYPES = 400_000  # distinct tokens a task remembers before it starts anew
 
 _ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII
 )
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_KEYWORD = re.compile(r"(?:pass|pwd|secret|token|key|auth|cred)[a-z_]*[\"']?\s*[:=]?\s*[\"']?$", re.IGNORECASE | re.ASCII)
-_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")
-_DIGIT = re.compile(r"[0-9][A-Za-z0-9+/_.=-]*")
-_LONG_WORD = re.compile(r"[A-Za-z+/_.=-]{%d,}" % LONG)
+_TOKEN = re.compile(r"\s?(?:\w+|[^\w\s])")
+_KEYWORD = re.compile(r"(?:pass|pwd|secret|token|api_?key|key|auth|cred)[a-z_]*$", re.IGNORECASE | re.ASCII)
 _OUT, _BEGIN, _IN = 0, 1, 2
 
 
@@ -55,97 +57,118 @@ def pattern_spans(text: str) -> list[tuple[int, int, int, int]]:
     return sorted(found)
 
 
-def free_tokens(text: str) -> list[tuple[int, int]]:
-    """Tokens that could be part of a secret."""
-    found = []
-    end = 0
-    for m in _DIGIT.finditer(text):
-        start = m.start()
-        while start > end and text[start - 1] in _CHARS:
-            start -= 1
-        end = m.end()
-        found.append((start, end))
-    if len(text) >= LONG:
-        taken = {s for s, _ in found}
-        found += [m.span() for m in _LONG_WORD.finditer(text) if not _overlaps(m.span(), found, taken)]
-        found.sort()
-    return [(s, e) for s, e in found if e - s >= 4]
+# --- Tokens and features ------------------------------------------------------------------------
 
 
-def _overlaps(span: tuple[int, int], found: list[tuple[int, int]], taken: set[int]) -> bool:
-    # A long word of letters touches a token with digits if it begins it or runs up to it.
-    return span[0] in taken or any(s < span[1] and span[0] < e for s, e in found)
+def tokens_of(text: str) -> list[str]:
+    """Runs of letters and digits, and single signs, each with a blank in front if there is one."""
+    return _TOKEN.findall(text)
 
 
-def _charset(token: str) -> str:
-    return "".join(
-        sign
-        for sign, pattern in (("d", r"[0-9]"), ("h", r"[a-f]"), ("l", r"[g-z]"), ("U", r"[A-Z]"), ("s", r"[+/_=-]"), (".", r"\."))
-        if re.search(pattern, token)
-    )
+def places_of(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Where the tokens start and end, without blanks."""
+    found = [(m.end() - len(m.group().lstrip()), m.end()) for m in _TOKEN.finditer(text)]
+    places = np.array(found, np.int64).reshape(-1, 2)
+    return places[:, 0], places[:, 1]
 
 
 def _bucket(n: int) -> int:
     return min(n.bit_length() * 2 + (n > 1 and n >> (n.bit_length() - 2) & 1), 20)
 
 
-def token_features(text: str, start: int, end: int, traits: str) -> list[int]:
-    """The numbers of a token's features; those at the end name a keyword."""
-    token = text[start:end]
-    signs, size = _charset(token), _bucket(end - start)
-    turns = sum(a.isdigit() != b.isdigit() for a, b in zip(token, token[1:]))
-    before, after = text[max(0, start - 24) : start], text[end : end + 12]
-    word_before = re.search(r"(\w{0,4})\W*$", before)[1].lower()
-    word_after = re.search(r"\w{0,3}", after.lstrip())[0].lower()
-    keyword = bool(_KEYWORD.search(before))
+def _number(name: str) -> int:
+    return zlib.crc32(name.encode("utf-8", "surrogatepass")) % SPACE
+
+
+_DIGIT, _HEX_ONLY = re.compile(r"\d"), re.compile(r"[0-9a-f]+")
+_TURN = re.compile(r"(?<=\d)(?=\D)|(?<=\D)(?=\d)|(?<=[a-z])(?=[A-Z])")
+_NO_VOWELS = dict.fromkeys(map(ord, "aeiouáéíóúàèùâêîôûäöü"))
+
+
+def _signs(word: str) -> str:
+    if not (word[0].isalnum() or word[0] == "_"):
+        return word
+    lower, upper = word != word.upper(), word != word.lower()
+    case = "Aa" if lower and upper and word == word.capitalize() else "m" if lower and upper else "A" if upper else "a" if lower else ""
+    digit, hexes = bool(_DIGIT.search(word)), bool(_HEX_ONLY.fullmatch(word))
+    return f"{case}{'d' if digit else ''}{'h' if hexes else ''}{'_' if '_' in word else ''}{'' if word.isascii() else 'u'}"
+
+
+OWN, SIDE, BEHIND, KEYED = 8, 2, 3, 2
+FEATURES = OWN + SIDE + BEHIND + KEYED + 1
+
+
+def shape_of(token: str) -> tuple[str, int, int, int, bool]:
+    """Signs, size, turns, share of vowels, and whether no blank stands in front. Few shapes cover most tokens."""
+    word = token.lstrip()
+    lowered = word.lower()
+    vowels = 5 * (len(lowered) - len(lowered.translate(_NO_VOWELS))) // len(lowered)
+    return _signs(word), _bucket(len(word)), _bucket(len(_TURN.findall(word))), vowels, len(word) == len(token)
+
+
+def shape_features(shape: tuple[str, int, int, int, bool]) -> list[int]:
+    """Numbers of a shape's features: as itself, as the one before, as the one behind, and behind a keyword."""
+    signs, size, turns, vowels, glued = shape
     names = [
-        f"set {signs}", f"size {size}", f"shape {signs} {size}", f"turns {_bucket(turns)}",
-        f"turns of size {size} {_bucket(turns)}", f"left {before[-1:]}", f"right {after[:1]}", f"next {word_after}",
-        f"upper share {10 * sum(c.isupper() for c in token) // len(token)}",
-        f"digit share {10 * sum(c.isdigit() for c in token) // len(token)}",
-        f"text {traits} {signs}", f"keyword {word_before}" if keyword else NO_KEYWORD, f"keyword {size}" if keyword else NO_KEYWORD,
+        f"signs {signs}", f"size {size}", f"shape {signs} {size}", f"turns {turns}", f"turns of size {size} {turns}",
+        f"vowels {signs} {vowels}", f"glued {glued}", f"before signs {signs}", f"behind signs {signs}",
+        f"behind glued {glued}", f"keyed {signs}", f"keyed turns {signs} {turns}",
     ]
-    return [zlib.crc32(n.encode()) % SPACE for n in names]
+    return [_number(n) for n in names]
 
 
-def free_table(text: str, spans: list[tuple[int, int, int, int]]) -> np.ndarray:
-    """A row per free token: start, end, whether it begins a chain, label, features."""
-    tokens = free_tokens(text)
-    if not tokens:
-        return np.zeros((0, 4 + FEATURES), np.int32)
-    marks = sum(text.count(c) for c in "=:{};")
-    traits = f"{_bucket(1000 * marks // max(1, len(text)))} {_bucket(len(tokens))}"
-    rows = []
-    at, last_end, inside = 0, -9, -1
-    values = sorted((value, end) for _, _, end, value in spans)
-    for start, end in tokens:
-        while at < len(values) and values[at][1] <= start:
-            at += 1
-        label = _OUT
-        if at < len(values) and values[at][0] < end:
-            label, inside = (_IN if inside == at else _BEGIN), at
-        chain = start - last_end > 1 or text[last_end : last_end + 1] not in (" ", "")
-        rows.append([start, end, chain, label, *token_features(text, start, end, traits)])
-        last_end = end
-    return np.array(rows, np.int32)
-
-
-def scan_column(text: Column) -> Column:
-    """Counts and spans of the patterns, and the table of free tokens."""
-
-    @F.pandas_udf("n_assign long, n_access long, n_hex long, base string, free binary, labelled boolean")
-    def scan(texts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for t in texts:
-            t = t or ""
-            spans = pattern_spans(t)
-            free = free_table(t, spans)
-            counts = [sum(k == i for _, k, _, _ in spans) for i in range(3)]
-            base = ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e, _ in spans)
-            rows.append((*counts, base, free.tobytes() or None, bool((free[:, 3] > 0).any())))
-        return pd.DataFrame(rows, columns=["n_assign", "n_access", "n_hex", "base", "free", "labelled"])
+def word_features(token: str) -> tuple[int, int, int]:
+    """Numbers of the word itself, as the one before and as the one behind."""
+    known = token.lstrip()[:24].lower()
+    return _number("is " + known), _number("before " + known), _number("behind " + known)
 
-    return scan(text)
+
+def type_features(token: str) -> list[int]:
+    """All features of a token, part by part."""
+    shape, (itself, before, behind) = shape_features(shape_of(token)), word_features(token)
+    return [itself, *shape[:7], before, shape[7], behind, *shape[8:]]
+
+
+_EDGE = [_number("edge before")] * SIDE, [_number("edge behind")] * BEHIND
+_UNKEYED = [_number("no keyword"), _number("no keyword signs")]
+_PARTS = np.cumsum([0, OWN, SIDE, BEHIND])
+
+
+def traits_of(text: str, words: int) -> int:
+    marks = sum(text.count(c) for c in "=:{};")
+    return _number(f"file {_bucket(1000 * marks // max(1, len(text)))} {_bucket(words) // 4}")
+
+
+def keyed_places(words: list[str], is_key: np.ndarray, is_word: np.ndarray) -> np.ndarray:
+    """Tokens with a keyword before them and signs only in between."""
+    at = np.arange(len(words))
+    last_word = np.maximum.accumulate(np.where(is_word, at, -1))
+    before = np.concatenate([[-1], last_word[:-1]])
+    return (before >= 0) & is_key[before]
+
+
+def kind_of(token: str) -> tuple[bool, bool]:
+    """Whether a token is a keyword, and whether it is a word."""
+    word = token.lstrip()
+    return _KEYWORD.fullmatch(word) is not None, word[0].isalnum() or word[0] == "_"
+
+
+def chain_features(text: str) -> np.ndarray:
+    """The feature numbers of every token of a text."""
+    words = tokens_of(text)
+    if not words:
+        return np.zeros((0, FEATURES), np.int64)
+    types = np.array([type_features(w) for w in words], np.int64)
+    own, before, behind, keyed = np.split(types, _PARTS[1:], axis=1)
+    kinds = np.array([kind_of(w) for w in words], bool)
+    columns = [
+        own,
+        np.concatenate([[_EDGE[0]], before[:-1]]),
+        np.concatenate([behind[1:], [_EDGE[1]]]),
+        np.where(keyed_places(words, kinds[:, 0], kinds[:, 1])[:, None], keyed, _UNKEYED),
+        np.full((len(words), 1), traits_of(text, len(words))),
+    ]
+    return np.concatenate(columns, 1)
 
 
 class Field:
@@ -154,8 +177,7 @@ class Field:
     def __init__(self) -> None:
         self.emit = np.zeros((SPACE, 3))
         self.move = np.zeros((3, 3))
-        self.move[_OUT, _IN] = -30.0  # an inside has a begin before it
-        self.start = np.array([0.0, 0.0, -30.0])
+        self.start = np.zeros(3)
 
     def fit(self, chains: list[np.ndarray], steps: int = 120) -> Field:
         """Maximum likelihood by Adam, all chains at once; chains are arrays of label and features."""
@@ -169,7 +191,6 @@ class Field:
         gold = np.eye(3)[labels] * valid[:, :, None]
         weights = [self.emit, self.move, self.start]
         moments = [(np.zeros_like(w), np.zeros_like(w)) for w in weights]
-        fixed = [None, self.move < -20, self.start < -20]
         for step in range(1, steps + 1):
             scores = self.emit[features].sum(2)
             node, edge = self._marginals(scores, valid)
@@ -180,9 +201,7 @@ class Field:
             both = valid[:, 1:] & valid[:, :-1]
             move = (edge - np.einsum("nti,ntj->ij", gold[:, :-1] * both[:, :, None], gold[:, 1:])) / size
             gradients = [emit + 1e-5 * self.emit, move, rest[:, 0].sum(0)]
-            for w, g, (m, v), stay in zip(weights, gradients, moments, fixed):
-                if stay is not None:
-                    g = np.where(stay, 0, g)
+            for w, g, (m, v) in zip(weights, gradients, moments):
                 m += 0.1 * (g - m)
                 v += 0.01 * (g * g - v)
                 w -= 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
@@ -211,80 +230,282 @@ class Field:
             edge += p.sum(0)
         return np.exp(ahead + back - z[:, None, None]) * valid[:, :, None], edge
 
-    def tags(self, features: np.ndarray) -> list[int]:
-        """The best tags of a chain, by Viterbi."""
-        scores = self.emit[features].sum(1)
-        best, came = scores[0] + self.start, []
-        for row in scores[1:]:
-            options = best[:, None] + self.move
-            came.append(options.argmax(0))
-            best = options.max(0) + row
-        path = [int(best.argmax())]
-        for step in reversed(came):
-            path.append(int(step[path[-1]]))
-        return path[::-1]
+    def uncertain(self, scores: np.ndarray) -> np.ndarray:
+        """Tokens that some best path may tag as begin or inside; all others are outside on every best path.
+
+        A run of tagged tokens gains at most the sum of its tokens' gains, each with the best move into it, and the best
+        move out, over leaving the run outside. Where no run over a token can gain, it is outside.
+        """
+        stay = self.move[_OUT, _OUT]
+        into = max(self.move[:, 1:].max() - stay, self.start[1:].max() - self.start[_OUT])
+        gains = scores[:, 1:].max(1) - scores[:, _OUT] + into
+        out = self.move[1:, _OUT].max() - stay
+        sums = np.concatenate([[0.0], np.cumsum(gains)])
+        if gains.max() + max(out, 0.0) < -1e-6:
+            return np.zeros(len(scores), bool)
+        best_end = np.maximum.accumulate(sums[:0:-1])[::-1]
+        best_start = np.minimum.accumulate(sums[:-1])
+        return best_end - best_start + max(out, 0.0) > -1e-6
+
+    def tags(self, scores: np.ndarray) -> np.ndarray:
+        """The best tags of a chain, by Viterbi, from its tokens' scores per tag."""
+        path = np.zeros(len(scores), np.int64)
+        open_ = np.flatnonzero(self.uncertain(scores)) if len(scores) else []
+        if not len(open_):
+            return path
+        (oo, ob, oi), (bo, bb, bi), (io, ib, ii) = self.move.tolist()
+        for run in np.split(open_, np.flatnonzero(np.diff(open_) > 1) + 1):
+            first, last = int(run[0]), int(run[-1])
+            o, b, i = (scores[first] + (self.move[_OUT] if first else self.start)).tolist()
+            came = []
+            for so, sb, si in scores[first + 1 : last + 1].tolist():
+                to_o = max((o + oo, 0), (b + bo, -1), (i + io, -2))
+                to_b = max((o + ob, 0), (b + bb, -1), (i + ib, -2))
+                to_i = max((o + oi, 0), (b + bi, -1), (i + ii, -2))
+                came.append((-to_o[1], -to_b[1], -to_i[1]))
+                o, b, i = to_o[0] + so, to_b[0] + sb, to_i[0] + si
+            if last + 1 < len(scores):
+                o, b, i = o + oo, b + bo, i + io
+            tag = (o, b, i).index(max(o, b, i))
+            path[last] = tag
+            for at in range(last - 1, first - 1, -1):
+                tag = came[at - first][tag]
+                path[at] = tag
+        return path
+
+
+# --- Learning -----------------------------------------------------------------------------------
+
+
+def windows_of(text: str, spans: list[tuple[int, int, int, int]]) -> list[tuple[str, str]]:
+    """A window around each value, and one at a place that the text's hash picks, with the values in them as ``start:end``."""
+    values = [(value, end) for _, _, end, value in spans if end - value <= LONGEST_VALUE]
+    middle = zlib.crc32(text.encode("utf-8", "surrogatepass")) % max(1, len(text))
+    found = []
+    for lo, hi in [*values, (middle, middle)]:
+        lo, hi = max(0, lo - AROUND), min(len(text), hi + AROUND)
+        # A window begins and ends between words.
+        cut = re.search(r"\s", text[lo : lo + AROUND]) if lo else None
+        lo = lo + cut.end() if cut and not any(a < lo + cut.end() and lo < b for a, b in values) else lo
+        inside = sorted({(a - lo, b - lo) for a, b in values if lo <= a and b <= hi})
+        found.append((text[lo:hi], ",".join(f"{a}:{b}" for a, b in inside)))
+    return found
+
+
+def windows_column(text: Column) -> Column:
+    @F.pandas_udf("array<struct<window: string, at: string>>")
+    def windows(texts: pd.Series) -> pd.Series:
+        rows = [windows_of(t or "", pattern_spans(t or "")) for t in texts]
+        return pd.Series([[{"window": w, "at": a} for w, a in row] for row in rows], dtype=object)
+
+    return windows(text)
+
+
+_JOINERS = (" ", ": ", " = ", "=", ': "', "='")
+_KEYWORDS = ("password", "passwd", "pwd", "pass", "secret", "token", "api_key", "apikey", "passphrase", "credentials", "auth")
+_MARKS = "!@#$%^&*-_+?"
+
+
+def made_up_secret(rng: random.Random, words: list[str]) -> tuple[str, str, str]:
+    """What stands before a made-up secret, the secret, and what stands behind."""
+
+    def word() -> str:
+        return rng.choice(words)
+
+    def drawn(letters: str, low: int, high: int) -> str:
+        return "".join(rng.choice(letters) for _ in range(rng.randint(low, high)))
+
+    mixed = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    swaps = str.maketrans({"a": "4", "e": "3", "i": "1", "o": "0", "s": "5"})
+    kind = rng.randrange(7)
+    secret = (
+        word().capitalize() + word().capitalize() + (word().capitalize() if rng.random() < 0.3 else ""),
+        word().capitalize().translate(swaps) + rng.choice(_MARKS) + drawn("0123456789" + _MARKS, 1, 4) + word(),
+        word() + drawn("0123456789", 1, 4) + drawn(_MARKS, 1, 6) + (word() if rng.random() < 0.5 else ""),
+        drawn(mixed, 10, 32),
+        drawn(mixed + "+/", 20, 44) + rng.choice(("", "=", "==")),
+        drawn("0123456789abcdef", 16, 40),
+        " ".join(word().lower() for _ in range(rng.randint(3, 6))),
+    )[kind]
+    if kind == 6:  # ordinary words are a secret only if keyword and quotes say so
+        return rng.choice(_KEYWORDS) + rng.choice((': "', ' = "')), secret, '"'
+    if kind == 0 or rng.random() < 0.7:
+        joiner = rng.choice(_JOINERS)
+        return rng.choice(_KEYWORDS) + joiner, secret, joiner[-1] if joiner[-1] in "\"'" else ""
+    return "", secret, ""
+
+
+def _labels(starts: np.ndarray, ends: np.ndarray, values: list[tuple[int, int]]) -> np.ndarray:
+    labels = np.zeros(len(starts), np.int64)
+    for a, b in values:
+        inside = np.flatnonzero((starts < b) & (ends > a))
+        labels[inside] = _IN
+        labels[inside[:1]] = _BEGIN
+    return labels
+
+
+def training_chains(windows: list[tuple[str, list[tuple[int, int]]]]) -> list[np.ndarray]:
+    """Chains of label and features: the windows as they are, and changed as the module says."""
+    rng = random.Random(0)
+    plain = [w for w, values in windows if not values]
+    words = sorted({w for text in plain for w in map(str.lstrip, tokens_of(text)) if w.isalpha() and 3 <= len(w) <= 12}) or ["word"]
+    shown = list(windows)
+    for text in plain[:LEARN_WINDOWS]:
+        gaps = [m.start() for m in re.finditer(r" ", text)] or [len(text)]
+        cut = rng.choice(gaps)
+        before, secret, behind = made_up_secret(rng, words)
+        front = f"{text[:cut]} {before}"
+        shown.append((f"{front}{secret}{behind}{text[cut:]}", [(len(front), len(front) + len(secret))]))
+        cut = rng.choice(gaps)
+        shown.append((f"{text[:cut]} {rng.choice(_KEYWORDS)}{rng.choice(('', ':', ' is'))}{text[cut:]}", []))
+    chains = []
+    for text, values in shown:
+        chains.append(np.concatenate([_labels(*places_of(text), values)[:, None], chain_features(text)], 1))
+    for text, values in windows:
+        if values:
+            features = chain_features(text)
+            features[:, OWN + SIDE + BEHIND : -1] = _UNKEYED
+            features[:, OWN : OWN + SIDE] = _EDGE[0]
+            chains.append(np.concatenate([_labels(*places_of(text), values)[:, None], features], 1))
+    return [c[i : i + LONGEST_CHAIN] for c in chains for i in range(0, len(c), LONGEST_CHAIN)]
+
+
+def learn(docs: DataFrame) -> Field | None:
+    """Fit the field on a bounded sample of windows, those with the smallest hash of their text."""
+    every = docs.select(F.explode(windows_column(F.col("text"))).alias("w")).select("w.*")
+    chosen = [
+        every.filter(keep).orderBy(F.xxhash64("window"), "window", "at").limit(most)
+        for keep, most in ((F.col("at") != "", LEARN_WINDOWS), (F.col("at") == "", LEARN_PLAIN))
+    ]
+    rows = chosen[0].unionByName(chosen[1]).collect()  # a bounded number of windows of bounded length
+    windows = [(r.window, [tuple(map(int, v.split(":"))) for v in r["at"].split(",") if v]) for r in rows]
+    if not any(values for _, values in windows):
+        return None
+    return Field().fit(training_chains(windows))
+
+
+# --- Tagging ------------------------------------------------------------------------------------
+
+
+class Tagger:
+    """Scores of tokens under a field; what a distinct token adds is worked out once.
+
+    ``caution`` is added to the score of outside, so that a doubtful token stays outside.
+    """
+
+    def __init__(self, field: Field, caution: float = CAUTION) -> None:
+        self.field, self.caution = field, caution
+        self.edges = field.emit[_EDGE[0]].sum(0), field.emit[_EDGE[1]].sum(0)
+        self.unkeyed = field.emit[_UNKEYED].sum(0)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.places: dict[str, int] = {}
+        self.shapes: dict[tuple, np.ndarray] = {}
+        self.parts = [np.zeros((1024, 3)) for _ in range(4)]
+        self.kinds = np.zeros((1024, 2), bool)
+
+    def _learn_types(self, tokens: set[str]) -> None:
+        """Take in tokens that were not met before."""
+        new = sorted(tokens.difference(self.places))
+        if not new:
+            return
+        first, last = len(self.places), len(self.places) + len(new)
+        while last > len(self.kinds):
+            self.parts = [np.concatenate([part, np.zeros_like(part)]) for part in self.parts]
+            self.kinds = np.concatenate([self.kinds, np.zeros_like(self.kinds)])
+        shapes = []
+        for token in new:
+            shape = shape_of(token)
+            if shape not in self.shapes:
+                self.shapes[shape] = np.add.reduceat(self.field.emit[shape_features(shape)], (0, 7, 8, 10))
+            shapes.append(self.shapes[shape])
+        summed = np.array(shapes)
+        words = self.field.emit[np.array([word_features(t) for t in new])]
+        for part in range(4):
+            self.parts[part][first:last] = summed[:, part] + (words[:, part] if part < 3 else 0)
+        self.kinds[first:last] = [kind_of(t) for t in new]
+        self.places.update(zip(new, range(first, last)))
+
+    def scores(self, text: str) -> np.ndarray:
+        """Scores per tag of every token."""
+        words = tokens_of(text)
+        if not words:
+            return np.zeros((0, 3))
+        if len(self.places) > MOST_TYPES:
+            self._forget()
+        self._learn_types(set(words))
+        at = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
+        own, before, behind, keyed = self.parts
+        total = own.take(at, 0)
+        total += self.unkeyed + self.field.emit[traits_of(text, len(words))]
+        total[1:] += before.take(at[:-1], 0)
+        total[0] += self.edges[0]
+        total[:-1] += behind.take(at[1:], 0)
+        total[-1] += self.edges[1]
+        is_key = self.kinds[:, 0].take(at)
+        if is_key.any():
+            places = keyed_places(words, is_key, self.kinds[:, 1].take(at))
+            total[places] += keyed.take(at[places], 0) - self.unkeyed
+        return total
+
+    def spans(self, text: str) -> list[tuple[int, int]]:
+        """What the field tags as secrets; spans that touch are one."""
+        scores = self.scores(text)
+        scores[:, _OUT] += self.caution
+        tags = self.field.tags(scores)
+        found: list[tuple[int, int]] = []
+        tagged = np.flatnonzero(tags).tolist()
+        if not tagged:
+            return found
+        starts, ends = places_of(text)
+        last = -2
+        for i in tagged:
+            if found and (tags[i] == _IN and last == i - 1 or found[-1][1] == starts[i]):
+                found[-1] = (found[-1][0], int(ends[i]))
+            else:
+                found.append((int(starts[i]), int(ends[i])))
+            last = i
+        return found
+
+
+def added_spans(found: list[tuple[int, int]], base: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans that say more than the patterns' own: those that lie within one of theirs are left out."""
+    # By start; a span lies within a base span that starts at or before it and reaches as far.
+    reach, at, kept = -1, 0, []
+    base = sorted(base)
+    for start, end in found:
+        while at < len(base) and base[at][0] <= start:
+            reach = max(reach, base[at][1])
+            at += 1
+        if end > reach:
+            kept.append((start, end))
+    return kept
+
 
+def scan_text(text: str, tagger: Tagger | None) -> tuple[int, int, int, str, str]:
+    base = pattern_spans(text)
+    new = added_spans(tagger.spans(text), [(s, e) for s, _, e, _ in base]) if tagger else []
+    counts = [sum(k == i for _, k, _, _ in base) for i in range(3)]
+    every = sorted([(s, k, e) for s, k, e, _ in base] + [(s, len(KINDS), e) for s, e in new])
+    shown = ",".join(f"{(*KINDS, 'field')[k]}:{s}:{e}" for s, k, e in every)
+    return (*counts, ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e, _ in base), shown)
 
-def chains_of(free: bytes | None) -> list[np.ndarray]:
-    table = np.frombuffer(free or b"", np.int32).reshape(-1, 4 + FEATURES)
-    return np.split(table, np.flatnonzero(table[1:, 2]) + 1) if len(table) else []
 
+def scan_column(text: Column, field: Field | None) -> Column:
+    """Counts and spans of the patterns, ``base``, and all spans, those of the field as kind ``field``."""
 
-def learn(scanned: DataFrame, texts: int = LEARN_TEXTS) -> Field | None:
-    """Fit the field on a bounded sample of texts, those with the smallest hash of their tokens."""
-    some = scanned.filter(F.octet_length("free") <= LEARN_BYTES).select("free", "labelled")
-    chosen = [
-        some.filter(F.col("labelled") == flag).orderBy(F.xxhash64("free"), "free").limit(texts) for flag in (True, False)
-    ]
-    rows = [bytes(r.free) for part in chosen for r in part.collect()]  # at most 2 * texts * LEARN_BYTES
-    chains = [c[i : i + LONGEST_CHAIN, 3:] for free in rows for c in chains_of(free) for i in range(0, len(c), LONGEST_CHAIN)]
-    if not any((c[:, 0] > 0).any() for c in chains):
-        return None
-    hidden = []
-    for chain in chains:
-        blind = chain.copy()
-        blind[:, -2:] = zlib.crc32(NO_KEYWORD.encode()) % SPACE
-        hidden.append(blind)
-    return Field().fit(chains + hidden)
-
-
-def added_spans(free: bytes | None, taken: list[tuple[int, int]], field: Field) -> list[tuple[int, int]]:
-    """Spans that the field finds and that touch none of those taken."""
-    found: list[tuple[int, int]] = []
-    for chain in chains_of(free):
-        open_ = False
-        for (start, end), tag in zip(chain[:, :2].tolist(), field.tags(chain[:, 4:])):
-            if tag == _IN and open_:
-                found[-1] = (found[-1][0], end)
-            elif tag != _OUT:
-                found.append((start, end))
-            open_ = tag != _OUT
-    return [f for f in found if not any(f[0] < e and s < f[1] for s, e in taken)]
-
-
-def spans_column(base: Column, free: Column, field: Field | None) -> Column:
-    """All spans as text: those of the patterns, and as kind ``field`` what the field adds."""
-    if field is None:
-        return base
-
-    @F.pandas_udf("string")
-    def spans(bases: pd.Series, frees: pd.Series) -> pd.Series:
-        out = []
-        for text, table in zip(bases, frees):
-            have = [(int(s), KINDS.index(k), int(e)) for k, s, e in (x.split(":") for x in text.split(",") if x)]
-            new = added_spans(table, [(s, e) for s, _, e in have], field) if table else []
-            every = sorted(have + [(s, len(KINDS), e) for s, e in new])
-            out.append(",".join(f"{(*KINDS, 'field')[k]}:{s}:{e}" for s, k, e in every))
-        return pd.Series(out, dtype=object)
-
-    return spans(base, free)
+    @F.pandas_udf("n_assign long, n_access long, n_hex long, base string, spans string")
+    def scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        tagger = Tagger(field) if field is not None else None
+        for texts in batches:
+            rows = [scan_text(t or "", tagger) for t in texts]
+            yield pd.DataFrame(rows, columns=["n_assign", "n_access", "n_hex", "base", "spans"])
+
+    return scan(text)
 
 
 def find_secrets(docs: DataFrame) -> DataFrame:
     """``doc_id``, counts per kind, pattern spans ``base`` and all ``spans`` of every row."""
-    scanned = materialize(docs.select("doc_id", scan_column(F.col("text")).alias("s")).select("doc_id", "s.*"), "secrets")
-    field = learn(scanned)
-    return scanned.select(
-        "doc_id", "n_assign", "n_access", "n_hex", "base", spans_column(F.col("base"), F.col("free"), field).alias("spans")
-    )
-
+    scanned = docs.select("doc_id", scan_column(F.col("text"), learn(docs)).alias("s"))
+    return scanned.select("doc_id", "s.*")
