@@ -137,6 +137,12 @@ def test_values_are_found_again_without_their_keyword(field):
     assert hits >= 48
 
 
+def test_window_without_its_keyword():
+    text, values = 'it token = "abcdef" and key=zz99zz x', [(12, 18), (28, 34)]
+    bare, moved = secret_scan.without_keyword(text, values)
+    assert bare == "it abcdef and key=zz99zz x" and [bare[a:b] for a, b in moved] == ["abcdef", "zz99zz"]
+
+
 def test_spans_that_patterns_hold_are_not_repeated():
     assert secret_scan.added_spans([(0, 4), (5, 9), (8, 14), (20, 22)], [(4, 10), (0, 6)]) == [(8, 14), (20, 22)]
 

@@ -344,12 +344,21 @@ def _labels(starts: np.ndarray, ends: np.ndarray, values: list[tuple[int, int]])
     return labels
 
 
+def without_keyword(text: str, values: list[tuple[int, int]]) -> tuple[str, list[tuple[int, int]]]:
+    """A window whose first value stands there bare: keyword, sign and quotes are gone."""
+    start, end = values[0]
+    front = re.sub(r"""\S*\s*[:=]\s*["']?$""", "", text[:start])
+    back = text[end + (text[end : end + 1] in ("'", '"')) :]
+    moved = len(front) + end - start - (len(text) - len(back))
+    return front + text[start:end] + back, [(len(front), len(front) + end - start), *((a + moved, b + moved) for a, b in values[1:])]
+
+
 def training_chains(windows: list[tuple[str, list[tuple[int, int]]]]) -> list[np.ndarray]:
     """Chains of label and features: the windows as they are, and changed as the module says."""
     rng = random.Random(0)
     plain = [w for w, values in windows if not values]
     words = sorted({w for text in plain for w in map(str.lstrip, tokens_of(text)) if w.isalpha() and 3 <= len(w) <= 12}) or ["word"]
-    shown = list(windows)
+    shown = [*windows, *(without_keyword(text, values) for text, values in windows if values)]
     for text in plain[:LEARN_WINDOWS]:
         gaps = [m.start() for m in re.finditer(r" ", text)] or [len(text)]
         cut = rng.choice(gaps)
@@ -361,12 +370,6 @@ def training_chains(windows: list[tuple[str, list[tuple[int, int]]]]) -> list[np
     chains = []
     for text, values in shown:
         chains.append(np.concatenate([_labels(*places_of(text), values)[:, None], chain_features(text)], 1))
-    for text, values in windows:
-        if values:
-            features = chain_features(text)
-            features[:, OWN + SIDE + BEHIND : -1] = _UNKEYED
-            features[:, OWN : OWN + SIDE] = _EDGE[0]
-            chains.append(np.concatenate([_labels(*places_of(text), values)[:, None], features], 1))
     return [c[i : i + LONGEST_CHAIN] for c in chains for i in range(0, len(c), LONGEST_CHAIN)]
 
 
