@@ -12,11 +12,13 @@ from twinledger.operators.cleanse import (
     cleanse_metrics,
     cleanse_trades,
     drop_blank_ids,
+    drop_missing,
     keep_positive,
     cleanse_csv,
     coerce_numbers,
     out_of_range,
     rejects_by_rule,
+    with_iso_timestamp,
 )
 from twinledger.schema import NULL_TOKENS, TRADE_COLUMNS, WHITESPACE
 from twinledger.sources.feeds import (
@@ -127,6 +129,30 @@ def test_strip_takes_all_whitespace(spark):
     assert one(spark, "​", is_blank) is False  # not whitespace
 
 
+def test_strip_knows_what_needs_no_stripping(spark):
+    odd = ["\u00a0", "\u3000", "\x1f", "\x7f", "~", "!", "é", "x", " "]
+    texts = [""] + odd + [a + m + b for a in odd for b in odd for m in ("", "mid")]
+    cases = [(t, t.strip(WHITESPACE)) for t in texts]
+    assert evaluated(spark, cases, strip_ws) == [want for _, want in cases]
+
+
+def test_one_layout_is_tried_for_a_shape(spark):
+    zoo = [
+        ("10/01/2026 09:30:15.250123", "2026-10-01T09:30:15Z"), ("10/01/2026 9:30:15 pm", "2026-10-01T21:30:15Z"),
+        ("10-01-2026 9:30", "2026-10-01T09:30:00Z"), ("2026/1/5", "2026-01-05T00:00:00Z"), ("1 october 2026", "2026-10-01T00:00:00Z"),
+        ("october 1, 2026 9:30 am", "2026-10-01T09:30:00Z"), ("1 May 2026 9:30", "2026-05-01T09:30:00Z"), ("10/01/2026 13:30 PM", None),
+        ("10/01/20261", None), ("10/01/1676", None), ("10/01/2263", None), ("Octob 1 2026", None), ("10/01/02026", None),
+    ]
+    assert evaluated(spark, zoo, normalize_iso8601) == [want for _, want in zoo]
+
+
+def test_a_timestamp_is_computed_once(spark):
+    raw = spark.createDataFrame([("T", "10/01/2026")], "trade_id string, timestamp string")
+    plan = drop_missing(with_iso_timestamp(raw), "timestamp")._jdf.queryExecution().optimizedPlan().toString()
+    once = with_iso_timestamp(raw)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("M-d-yyyy") == once.count("M-d-yyyy") == 1
+
+
 def test_term_and_time_of_day(spark):
     assert one(spark, "Brand#12", lambda c: contains_ignore_case(c, " brand#1 "))
     assert one(spark, "x", lambda c: contains_ignore_case(c, "  "))

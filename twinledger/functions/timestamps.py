@@ -24,20 +24,24 @@ _COMPACT_SHAPE = rf"^{_YEAR}\d{{4}}T\d{{6}}Z?$"
 _AROUND = r"^[A-Za-z]{3,9}, (?=\d)| (?:GMT|UTC|Z)$"
 _CENTURY_TURNS = 2068
 
-# Free-form layouts tried in turn after ISO. Month comes first in the numeric ones.
+_NAMED = r"^[A-Za-z]{3} "
+_AFTERNOON = r"(?i) [AP]M$"
+#: Shape of a free-form text, and the one layout that can read it. The first shape that fits decides.
+#: Month comes first in the numeric ones.
 FREE_FORM_LAYOUTS = [
-    "M/d/yyyy[ H:mm[:ss[.SSSSSS][.SSS]]]",
-    "M/d/yyyy h:mm[:ss] a",
-    "M-d-yyyy[ H:mm[:ss]]",
-    "yyyy/M/d[ H:mm[:ss]]",
-    "MMM d[,] yyyy[ H:mm[:ss]]",
-    "MMM d[,] yyyy h:mm[:ss] a",
-    "MMMM d[,] yyyy[ H:mm[:ss]]",
-    "MMMM d[,] yyyy h:mm[:ss] a",
-    "d MMM yyyy[ H:mm[:ss]]",
-    "d MMMM yyyy[ H:mm[:ss]]",
-    "d-MMM-yyyy[ H:mm[:ss]]",
+    (rf"^\d+/\d+/\d{{4}} .*{_AFTERNOON}", "M/d/yyyy h:mm[:ss] a"),
+    (r"^\d+/\d+/\d{4}", "M/d/yyyy[ H:mm[:ss[.SSSSSS][.SSS]]]"),
+    (r"^\d+-\d+-\d{4}", "M-d-yyyy[ H:mm[:ss]]"),
+    (r"^\d{4}/", "yyyy/M/d[ H:mm[:ss]]"),
+    (r"^\d+ [A-Za-z]{3} ", "d MMM yyyy[ H:mm[:ss]]"),
+    (r"^\d+ [A-Za-z]+ ", "d MMMM yyyy[ H:mm[:ss]]"),
+    (r"^\d+-[A-Za-z]", "d-MMM-yyyy[ H:mm[:ss]]"),
+    (rf"{_NAMED}.*{_AFTERNOON}", "MMM d[,] yyyy h:mm[:ss] a"),
+    (_NAMED, "MMM d[,] yyyy[ H:mm[:ss]]"),
+    (rf"^[A-Za-z]+ \d.*{_AFTERNOON}", "MMMM d[,] yyyy h:mm[:ss] a"),
+    (r"^[A-Za-z]+ \d", "MMMM d[,] yyyy[ H:mm[:ss]]"),
 ]
+_TWO_DIGIT_YEAR_SHAPE = r"^\d{1,2}/\d{1,2}/\d\d\b"
 _TWO_DIGIT_YEAR_LAYOUT = "M/d/yy[ H:mm[:ss]]"
 
 
@@ -49,20 +53,30 @@ def _from_epoch(text: Column) -> Column:
     ).when(number <= _LATEST_SECONDS, F.timestamp_micros(number * 1_000_000))
 
 
-def parse_timestamp(c: Column) -> Column:
-    """Epoch seconds or milliseconds, ISO text, or a known free-form layout; else NULL."""
-    text = strip_ws(c)
-    bare = F.regexp_replace(text, _AROUND, "")
-    layouts = [F.try_to_timestamp(bare, F.lit(layout)) for layout in FREE_FORM_LAYOUTS]
+def _free_form(text: Column, bare: Column) -> Column:
+    """The layout that the text's shape names, and no other: a text that a layout cannot read costs an exception."""
     short = F.try_to_timestamp(bare, F.lit(_TWO_DIGIT_YEAR_LAYOUT))
     # Two digits from 69 on are of the last century.
     short = F.when(F.year(short) > _CENTURY_TURNS, short - F.expr("INTERVAL 100 YEARS")).otherwise(short)
+    found = F.when(text.rlike(_TWO_DIGIT_YEAR_SHAPE), short)
+    for shape, layout in FREE_FORM_LAYOUTS:
+        found = found.when(bare.rlike(shape), F.try_to_timestamp(bare, F.lit(layout)))
+    return found
+
+
+def parse_timestamp(c: Column) -> Column:
+    """Epoch seconds or milliseconds, ISO text, or a known free-form layout; else NULL.
+
+    A text is classed by its shape once, and then read by one parser.
+    """
+    text = strip_ws(c)
+    bare = F.regexp_replace(text, _AROUND, "")
     compact = F.try_to_timestamp(F.regexp_replace(text, "Z$", ""), F.lit("yyyyMMdd'T'HHmmss"))
     return (
         F.when(text.rlike(_ISO_SHAPE), text.try_cast("timestamp"))
         .when(text.rlike(_EPOCH_SHAPE), _from_epoch(text))
         .when(text.rlike(_COMPACT_SHAPE), compact)
-        .when(text.rlike(_FREE_FORM_SHAPE), F.coalesce(*layouts, short))
+        .when(text.rlike(_FREE_FORM_SHAPE), _free_form(text, bare))
     )
 
 

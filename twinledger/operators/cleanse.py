@@ -116,7 +116,15 @@ def cleanse_trades(raw: DataFrame, order_by: list[str], strict: bool = True) ->
     """A raw feed cleansed. ``order_by`` is the order of arrival among copies of an id, by columns other than ``timestamp``."""
     # Timestamps are parsed for the rows that stay, behind the shuffle, and not for every copy.
     first = keep_first(_before_dedup(raw, strict), "trade_id", order_by)
-    return with_iso_timestamp(first).dropna(subset=["timestamp"])
+    return drop_missing(with_iso_timestamp(first), "timestamp")
+
+
+def drop_missing(df: DataFrame, name: str) -> DataFrame:
+    """Drop rows whose ``name`` is NULL, for a column that is costly to compute.
+
+    A filter would be moved below the column's expression and would compute it a second time; unnesting stays above.
+    """
+    return df.withColumn(name, F.explode(F.array_compact(F.array(name))))
 
 
 def cleanse_metrics(raw: DataFrame, cleansed: DataFrame) -> DataFrame:

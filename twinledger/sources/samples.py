@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twinledger.functions.timestamps import format_iso_utc
-from twinledger.operators.cleanse import cleanse_trades, usable_trades
+from twinledger.operators.cleanse import cleanse_trades, drop_missing, usable_trades
 from twinledger.operators.ordering import with_position
 from twinledger.operators.store import append_idempotent, create_store, read_store
 from twinledger.schema import PRICE_TYPE, TRADE_COLUMNS
@@ -157,7 +157,7 @@ def delivery_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Usable trades with every repeated delivery kept, numbered in order of arrival."""
 
     def build() -> DataFrame:
-        usable = usable_trades(raw_trades(spark, sf_dir)).dropna(subset=["timestamp"])
+        usable = drop_missing(usable_trades(raw_trades(spark, sf_dir)), "timestamp")
         # Numbering writes the sorted rows once; they are not written again.
         return with_position(usable, ARRIVAL).select(
             *TRADE_COLUMNS,
