@@ -1,14 +1,19 @@
 """URL filter by association rules.
 
 Stated rules come first: the longest that fits a URL decides. The URLs that they decide are labelled
-by them, and FP-growth mines which combinations of URL tokens go with a verdict. Rules short of
-support or confidence are pruned, and so is a rule that a shorter one equals in confidence. The
+by them, and FP-growth mines which combinations of URL tokens go with a verdict. URLs without a label are
+baskets without a verdict: they count against the confidence of what fits them, so a rule has to be right on most
+of all URLs it fits and not only on those that happen to be labelled. Rules short of
+support or confidence are pruned, and so is a rule that a shorter one equals in confidence, and one that does not
+hold without any one of its sites, unless it names its site. The
 others form an inverted index: each stands under its rarest token, a URL looks its tokens up there, and
 what it finds is tested for the rest of the rule. The most confident rule judges; without any, the URL
 is allowed.
 
 NULL urls and urls without ``://`` have an empty host and path, no tokens, and are allowed. URLs are judged
-once each, however many pages share one.
+once each, however many pages share one: repeated rows get equal verdicts, and each keeps its row. Rules that tie in
+confidence go by support, then by length and text. Empty tables give no rows. Whole URLs of any length are used. Other
+columns pass through, but for ``host``, ``path``, ``rule``, ``verdict`` and ``mined_rule``, which are replaced.
 """
 
 from __future__ import annotations
@@ -33,6 +38,7 @@ MIN_SUPPORT = 0.005
 MIN_CONFIDENCE = 0.8
 DEFAULT = "allow"
 _VERDICT = "verdict:"
+_SITE = "site:"
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -72,7 +78,7 @@ def url_tokens(url: Column, host: Column, path: Column) -> Column:
     tail = F.when(F.size(labels) > 1, F.array(F.array_join(F.slice(labels, -2, 2), "."))).otherwise(F.array().cast("array<string>"))
     top = F.array(F.element_at(labels, -1))
     found = F.concat(
-        tagged("scheme:", scheme), tagged("top:", top), tagged("site:", tail), tagged("label:", labels),
+        tagged("scheme:", scheme), tagged("top:", top), tagged(_SITE, tail), tagged("label:", labels),
         tagged("path:", segment), tagged("query:", keys),
         F.when(F.instr(url, "#") > 0, F.array(F.lit("fragment"))).otherwise(F.array().cast("array<string>")),
     )
@@ -81,8 +87,14 @@ def url_tokens(url: Column, host: Column, path: Column) -> Column:
 
 
 def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """Rules ``antecedent``, ``verdict``, ``confidence``, ``support`` from rows of ``tokens`` and ``verdict``."""
-    baskets = labelled.select(F.array_append("tokens", F.concat(F.lit(_VERDICT), "verdict")).alias("items"))
+    """Rules ``antecedent``, ``verdict``, ``confidence``, ``support`` from rows of ``tokens`` and ``verdict``.
+
+    A row without a verdict counts as one that the rule gets wrong.
+    """
+    said = F.when(F.col("verdict").isNull(), F.array().cast("array<string>")).otherwise(
+        F.array(F.concat(F.lit(_VERDICT), "verdict"))
+    )
+    baskets = labelled.select(F.concat("tokens", said).alias("items"))
     baskets = materialize(baskets, "baskets")
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
     rules = model.associationRules.select(
@@ -120,6 +132,33 @@ def rule_index(rules: DataFrame, urls: DataFrame) -> DataFrame:
     )
 
 
+def fitting(urls: DataFrame, index: DataFrame) -> DataFrame:
+    """Each URL with each rule of the index that fits it."""
+    looked_up = urls.withColumn("token", F.explode("tokens"))
+    # Past the measured size the index is shuffled instead, and a frequent token is split by the engine.
+    index = F.broadcast(index) if fits_broadcast(index) else index
+    return looked_up.join(index, "token").filter(F.size(F.array_except("antecedent", "tokens")) == 0)
+
+
+def hold_elsewhere(index: DataFrame, urls: DataFrame, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+    """The rules that are confident without any one of their sites, too, or that name their site.
+
+    ``urls`` has ``tokens``, ``site`` and ``stated``. A rule that only one site bears out says nothing of others.
+    """
+    fits = fitting(urls.select("tokens", "site", "stated"), index.select("rule_id", "verdict", "token", "antecedent"))
+    per_site = fits.groupBy("rule_id", "verdict", "site").agg(
+        F.count("*").alias("n"), F.count(F.when(F.col("stated") == F.col("verdict"), 1)).alias("right")
+    )
+    per_site = materialize(per_site, "rule_sites")
+    whole = per_site.groupBy("rule_id", "verdict").agg(F.sum("n").alias("all_n"), F.sum("right").alias("all_right"))
+    others_n, others_right = F.col("all_n") - F.col("n"), F.col("all_right") - F.col("right")
+    # 0 of 0 is not confident: the only site of a rule leaves nothing to hold it.
+    least = F.min(F.when(others_n > 0, others_right / others_n).otherwise(0.0))
+    checked = per_site.join(whole, ["rule_id", "verdict"]).groupBy("rule_id", "verdict").agg(least.alias("elsewhere"))
+    names_site = F.exists("antecedent", lambda x: x.startswith(_SITE))
+    return index.join(checked, ["rule_id", "verdict"]).filter(names_site | (F.col("elsewhere") >= min_confidence))
+
+
 def judge(pages: DataFrame, rules: tuple = RULES, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """Add ``host``, ``path``, ``rule``, ``verdict`` and the mined rule that judged, ``mined_rule``."""
     host, path = url_parts(F.col("url"))
@@ -129,13 +168,13 @@ def judge(pages: DataFrame, rules: tuple = RULES, min_support: float = MIN_SUPPO
         .withColumn("stated", verdict)
         .withColumn("tokens", url_tokens(F.col("url"), F.col("host"), F.col("path")))
     )
-    urls = materialize(urls.select("url", "stated", "tokens"), "urls")
-    labelled = urls.filter("stated IS NOT NULL").select("tokens", F.col("stated").alias("verdict"))
-    index = materialize(rule_index(mine(labelled, min_support, min_confidence), urls), "rule_index")
-    looked_up = urls.filter("stated IS NULL").select("url", "tokens", F.explode("tokens").alias("token"))
-    # Past the measured size the index is shuffled instead, and a frequent token is split by the engine.
-    index = F.broadcast(index) if fits_broadcast(index) else index
-    matched = looked_up.join(index, "token").filter(F.size(F.array_except("antecedent", "tokens")) == 0)
+    site = F.array_join(F.slice(F.split("host", r"\."), -2, 2), ".")
+    site = F.when(F.size(F.split("host", r"\.")) > 1, site).otherwise(F.col("host"))
+    urls = materialize(urls.select("url", "stated", "tokens", site.alias("site")), "urls")
+    mined = mine(urls.select("tokens", F.col("stated").alias("verdict")), min_support, min_confidence)
+    index = materialize(rule_index(mined, urls), "rule_index")
+    index = materialize(hold_elsewhere(index, urls, min_confidence), "checked_index")
+    matched = fitting(urls.filter("stated IS NULL").select("url", "tokens"), index)
     rank = F.struct("confidence", "support", F.size("antecedent"), "rule_id", "verdict")
     judged = matched.groupBy("url").agg(
         F.max_by(F.struct(F.col("verdict").alias("v"), F.col("rule_id").alias("r")), rank).alias("best")
