@@ -56,11 +56,27 @@ def test_mined_rules_judge_what_no_rule_fits(spark):
     assert got["http://other.org/de/1"][0] == "allow"
 
 
-def test_what_one_site_bears_out_is_no_rule_for_others(spark):
-    urls = [f"http://s{i}.example.com/en/{i}" for i in range(60)] + [f"http://s{i}.com/de/{i}" for i in range(30)]
+def test_what_one_host_bears_out_is_no_rule_for_others(spark):
+    urls = [f"http://example.com/en/{i}" for i in range(60)] + [f"http://s{i}.com/de/{i}" for i in range(30)]
     assert judged(spark, urls + ["http://other.org/en/1"])["http://other.org/en/1"] == ("allow", None)
 
 
+def test_hosts_without_labels_are_judged_as_the_stated_rules_would(spark):
+    """The rules learned on some hosts find the verdicts of others, whose labels are hidden."""
+    urls = [f"http://h{i % 40}.site.{t}/{p}/{i}" for i in range(400) for t in ("com", "net") for p in ("es", "fr", "de")]
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    host, path = url_rules.url_parts(df.url)
+    _, truth = url_rules.stated_rule(host, path)
+    rows = df.select("url", host.alias("host"), url_rules.url_tokens(df.url, host, path).alias("tokens"), truth.alias("stated"))
+    hidden = "crc32(host) % 5 = 0"
+    learned = rows.filter(f"NOT {hidden}")
+    index = url_rules.rule_index(url_rules.mine(learned.withColumnRenamed("stated", "verdict")), learned)
+    index = url_rules.hold_elsewhere(index, learned).filter("verdict = 'block'").drop("verdict")
+    tested = rows.filter(hidden)
+    blocked = {r.url for r in url_rules.fitting(tested, index).collect()}
+    assert blocked == {r.url for r in tested.collect() if r.stated == "block"} and blocked
+
+
 def test_urls_without_label_count_against_a_rule(spark):
     # All labelled .net URLs are blocked, but most .net URLs have no label.
     urls = [f"http://s{i % 5}.net/es/{i}" for i in range(30)] + [f"http://s{i % 5}.net/{p}/{i}" for i in range(60) for p in ("de", "en")]
@@ -68,20 +84,20 @@ def test_urls_without_label_count_against_a_rule(spark):
     assert {v for u, (v, _) in got.items() if "/es/" not in u} == {"allow"}
 
 
-def test_sites_are_left_out_one_at_a_time_as_brute_force_does(spark):
+def test_hosts_are_left_out_one_at_a_time_as_brute_force_does(spark):
     urls = [f"http://h.{'abc'[i % 3]}{i % 2}.net/{('es', 'de', 'fr')[i % 3 if i % 7 else 1]}/{i}" for i in range(120)]
     df = spark.createDataFrame([(u,) for u in urls], "url string")
     host, path = url_rules.url_parts(df.url)
     _, stated = url_rules.stated_rule(host, path)
-    rows = df.select(url_rules.url_tokens(df.url, host, path).alias("tokens"), stated.alias("stated"), host.alias("site"))
+    rows = df.select(url_rules.url_tokens(df.url, host, path).alias("tokens"), stated.alias("stated"), host.alias("host"))
     index = url_rules.rule_index(url_rules.mine(rows.withColumnRenamed("stated", "verdict"), 0.02, 0.5), rows)
     kept = {(r.rule_id, r.verdict) for r in url_rules.hold_elsewhere(index, rows, 0.8).collect()}
     want, data = set(), rows.collect()
     for r in index.collect():
         have = [x for x in data if set(r.antecedent) <= set(x.tokens)]
         shares = []
-        for site in {x.site for x in have}:
-            others = [x for x in have if x.site != site]
+        for left_out in {x.host for x in have}:
+            others = [x for x in have if x.host != left_out]
             shares.append(sum(x.stated == r.verdict for x in others) / len(others) if others else 0)
         if any(t.startswith("site:") for t in r.antecedent) or min(shares) >= 0.8:
             want.add((r.rule_id, r.verdict))

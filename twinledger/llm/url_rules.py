@@ -5,7 +5,7 @@ by them, and FP-growth mines which combinations of URL tokens go with a verdict.
 baskets without a verdict: they count against the confidence of what fits them, so a rule has to be right on most
 of all URLs it fits and not only on those that happen to be labelled. Rules short of
 support or confidence are pruned, and so is a rule that a shorter one equals in confidence, and one that does not
-hold without any one of its sites, unless it names its site. The
+hold without any one of its hosts, unless it names its site. The
 others form an inverted index: each stands under its rarest token, a URL looks its tokens up there, and
 what it finds is tested for the rest of the rule. The most confident rule judges; without any, the URL
 is allowed.
@@ -141,20 +141,20 @@ def fitting(urls: DataFrame, index: DataFrame) -> DataFrame:
 
 
 def hold_elsewhere(index: DataFrame, urls: DataFrame, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """The rules that are confident without any one of their sites, too, or that name their site.
+    """The rules that are confident without any one of their hosts, too, or that name their site.
 
-    ``urls`` has ``tokens``, ``site`` and ``stated``. A rule that only one site bears out says nothing of others.
+    ``urls`` has ``tokens``, ``host`` and ``stated``. A rule that only one host bears out says nothing of others.
     """
-    fits = fitting(urls.select("tokens", "site", "stated"), index.select("rule_id", "verdict", "token", "antecedent"))
-    per_site = fits.groupBy("rule_id", "verdict", "site").agg(
+    fits = fitting(urls.select("tokens", "host", "stated"), index.select("rule_id", "verdict", "token", "antecedent"))
+    per_host = fits.groupBy("rule_id", "verdict", "host").agg(
         F.count("*").alias("n"), F.count(F.when(F.col("stated") == F.col("verdict"), 1)).alias("right")
     )
-    per_site = materialize(per_site, "rule_sites")
-    whole = per_site.groupBy("rule_id", "verdict").agg(F.sum("n").alias("all_n"), F.sum("right").alias("all_right"))
+    per_host = materialize(per_host, "rule_hosts")
+    whole = per_host.groupBy("rule_id", "verdict").agg(F.sum("n").alias("all_n"), F.sum("right").alias("all_right"))
     others_n, others_right = F.col("all_n") - F.col("n"), F.col("all_right") - F.col("right")
-    # 0 of 0 is not confident: the only site of a rule leaves nothing to hold it.
+    # 0 of 0 is not confident: the only host of a rule leaves nothing to hold it.
     least = F.min(F.when(others_n > 0, others_right / others_n).otherwise(0.0))
-    checked = per_site.join(whole, ["rule_id", "verdict"]).groupBy("rule_id", "verdict").agg(least.alias("elsewhere"))
+    checked = per_host.join(whole, ["rule_id", "verdict"]).groupBy("rule_id", "verdict").agg(least.alias("elsewhere"))
     names_site = F.exists("antecedent", lambda x: x.startswith(_SITE))
     return index.join(checked, ["rule_id", "verdict"]).filter(names_site | (F.col("elsewhere") >= min_confidence))
 
@@ -168,9 +168,7 @@ def judge(pages: DataFrame, rules: tuple = RULES, min_support: float = MIN_SUPPO
         .withColumn("stated", verdict)
         .withColumn("tokens", url_tokens(F.col("url"), F.col("host"), F.col("path")))
     )
-    site = F.array_join(F.slice(F.split("host", r"\."), -2, 2), ".")
-    site = F.when(F.size(F.split("host", r"\.")) > 1, site).otherwise(F.col("host"))
-    urls = materialize(urls.select("url", "stated", "tokens", site.alias("site")), "urls")
+    urls = materialize(urls.select("url", "stated", "tokens", "host"), "urls")
     mined = mine(urls.select("tokens", F.col("stated").alias("verdict")), min_support, min_confidence)
     index = materialize(rule_index(mined, urls), "rule_index")
     index = materialize(hold_elsewhere(index, urls, min_confidence), "checked_index")
