@@ -58,11 +58,14 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def split_input(spark: SparkSession, sf_dir: str, splits: int) -> str:
-    """The given tables as folders of ``splits`` files, not timed. Each given file is one row group, which
-    one task alone would read and, up to the first shuffle, work on."""
+    """A copy of the given tables in which ``lineitem`` is ``splits`` files, not timed. The given file is one row group,
+    which one task alone would read and, up to the first shuffle, work on. The others stay whole: streams take
+    a batch per file."""
     path = scratch_dir(spark, "bench_input")
     for name in TABLES:
-        spark.read.parquet(f"{sf_dir}/{name}.parquet").repartition(splits).write.parquet(f"{path}/{name}.parquet")
+        spark.read.parquet(f"{sf_dir}/{name}.parquet").repartition(
+            splits if name == "lineitem" else 1
+        ).write.parquet(f"{path}/{name}.parquet")
     return path
 
 
