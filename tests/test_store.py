@@ -9,9 +9,16 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from twinledger.operators import parity
 from twinledger.operators import store as stores
-from twinledger.operators.reconcile import failback_proof, reconcile, replay_candidates
+from twinledger.operators.reconcile import (
+    failback_proof,
+    read_dead_letters,
+    reconcile,
+    refused_letters,
+    replay_candidates,
+    replay_dead_letters,
+)
 from twinledger.operators.reporting import eod_export, eod_report
-from twinledger.schema import AUDIT, REPORT_LABELS, TRADE
+from twinledger.schema import AUDIT, DEAD_LETTERS, REPORT_LABELS, TRADE
 from twinledger.sources.jdbc import jdbc_options
 
 T1 = ("TRD-001", "AAPL", Decimal("150.00"), 10, "BUY-101", "SELL-101", "2026-10-01T10:00:00Z")
@@ -215,3 +222,18 @@ def test_totals_are_healed_after_a_crash(spark, tmp_path):
     for _ in range(2):
         stores.heal_totals(spark, path)
         assert sorted(map(tuple, stores.read_totals(spark, path).collect())) == want
+
+
+def test_refused_letters_do_not_stay_open(spark, tmp_path):
+    """A letter that breaks a rule is settled and kept with its reasons, and a later good copy of its id is replayed."""
+    legacy, cloud, letters = (str(tmp_path / n) for n in ("legacy", "cloud", "letters"))
+    stores.append_idempotent(trades(spark, T1, T2), legacy, "load", 0)
+    stores.append_idempotent(trades(spark, T1), cloud, "load", 0)
+    free = ("TRD-003", T1[1], Decimal("0.00"), *T1[3:])
+    unnamed, unusable = (None, *T1[1:]), (*T2[:2], Decimal("0.00"), *T2[3:])
+    rows = [(*row, i, None, 0) for i, row in enumerate([free, unnamed, unusable, T2])]
+    spark.createDataFrame(rows, DEAD_LETTERS).write.partitionBy("batch_id").parquet(letters)
+    done = replay_dead_letters(spark, legacy, cloud, letters).first()
+    assert (done.replayed_count, done.final_status) == (1, "IN_PARITY")
+    assert read_dead_letters(spark, letters).count() == 0
+    assert {r.ingest_seq for r in refused_letters(spark, letters).collect()} == {0, 1, 2}

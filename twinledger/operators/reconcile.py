@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from twinledger.operators.ordering import keep_first
 from twinledger.operators.parity import missing_ids, parity_audit
 from twinledger.operators.store import append_idempotent, next_batch_id, read_store
+from twinledger.operators.validate import rejected, split_checked, with_trade_reasons
 from twinledger.schema import ACKNOWLEDGEMENTS, DEAD_LETTERS, TRADE_COLUMNS
 from twinledger.session import materialize
 
@@ -66,8 +67,14 @@ def read_dead_letters(spark: SparkSession, path: str) -> DataFrame:
     _create_acknowledgements(spark, path)
     letters = spark.read.schema(DEAD_LETTERS).parquet(path)
     acknowledged = spark.read.schema(ACKNOWLEDGEMENTS).parquet(acknowledgements_path(path))
-    # A letter is a feed row; its position and id name it, so no key is frequent.
-    return letters.join(acknowledged, ["ingest_seq", "trade_id"], "left_anti").select(*DEAD_LETTERS.fieldNames())
+    # A letter is a feed row; its position and id name it, so no key is frequent. An id may be missing.
+    same = (letters.ingest_seq == acknowledged.ingest_seq) & letters.trade_id.eqNullSafe(acknowledged.trade_id)
+    return letters.join(acknowledged, same, "left_anti").select(*DEAD_LETTERS.fieldNames())
+
+
+def refused_letters(spark: SparkSession, path: str) -> DataFrame:
+    """Letters, acknowledged or not, that no store takes as they break a rule, with ``reject_reasons``."""
+    return rejected(with_trade_reasons(spark.read.schema(DEAD_LETTERS).parquet(path)))
 
 
 def acknowledge(letters: DataFrame, path: str) -> None:
@@ -78,16 +85,19 @@ def acknowledge(letters: DataFrame, path: str) -> None:
 def replay_dead_letters(
     spark: SparkSession, legacy_path: str, cloud_path: str, dead_letters: str
 ) -> DataFrame:
-    """Reconcile from the open dead letters, then acknowledge those whose ids the cloud store holds.
+    """Reconcile from the open dead letters, then acknowledge those whose ids the cloud store holds, and those that
+    break a rule: no store ever takes them, and ``refused_letters`` has them. They are no first copy of their id either.
 
     Only letters that were there at the start are claimed: one that a running load adds meanwhile stays open, as
     does one whose id the primary store lacks as yet. A failure before the acknowledgement repeats the
     replay, which adds nothing twice. Trades that came while the consumer was halted are not among the letters.
     """
     claimed = materialize(read_dead_letters(spark, dead_letters), "claimed_letters")
-    done = materialize(reconcile(spark, legacy_path, cloud_path, claimed, ["ingest_seq"]), "replay")
+    good, refused = split_checked(with_trade_reasons(claimed))
+    done = materialize(reconcile(spark, legacy_path, cloud_path, good, ["ingest_seq"]), "replay")
     held = read_store(spark, cloud_path).select("trade_id")
-    acknowledge(claimed.join(held, "trade_id", "left_semi"), dead_letters)
+    settled = good.join(held, "trade_id", "left_semi").select(*DEAD_LETTERS.fieldNames())
+    acknowledge(settled.unionByName(refused.select(*DEAD_LETTERS.fieldNames())), dead_letters)
     return done
 
 
