@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from twinledger.functions.numbers import to_number
 from twinledger.functions.text import contains_ignore_case, is_blank, strip_ws, time_of_day
@@ -18,9 +21,11 @@ from twinledger.operators.cleanse import (
     coerce_numbers,
     out_of_range,
     rejects_by_rule,
+    usable_trades,
     with_iso_timestamp,
 )
-from twinledger.schema import NULL_TOKENS, TRADE_COLUMNS, WHITESPACE
+from twinledger.operators import store as stores
+from twinledger.schema import NULL_TOKENS, RAW_FEED, TRADE_COLUMNS, WHITESPACE
 from twinledger.sources.feeds import (
     ARRIVAL,
     broken_lines,
@@ -28,6 +33,7 @@ from twinledger.sources.feeds import (
     read_arriving_csv,
     read_raw_csv,
     read_trades_csv,
+    write_trades,
 )
 
 GOOD = ("T1", "AAPL", "150.50", "10", "B1", "S1", "2026-10-01T10:00:00Z")
@@ -153,6 +159,33 @@ def test_a_timestamp_is_computed_once(spark):
     assert plan.count("M-d-yyyy") == once.count("M-d-yyyy") == 1
 
 
+def test_texts_in_normal_form_are_checked_all_the_same(spark):
+    cases = [
+        ("2024-02-29T23:59:59Z", "2024-02-29T23:59:59Z"), ("2023-02-29T00:00:00Z", None), ("2026-04-31T00:00:00Z", None),
+        ("2026-12-31T00:00:00Z", "2026-12-31T00:00:00Z"), ("2026-01-01T24:00:00Z", None), ("1676-01-01T00:00:00Z", None),
+        ("2026-01-01T00:00:00Z\n", "2026-01-01T00:00:00Z"), (" 2026-01-01T00:00:00Z", "2026-01-01T00:00:00Z"), (None, None),
+    ]
+    assert evaluated(spark, cases, normalize_iso8601) == [want for _, want in cases]
+
+
+def test_no_step_is_too_long_to_be_compiled(spark, tmp_path, capsys):
+    """The JVM never compiles a method of over 8,000 bytes: such a step runs many times slower."""
+    raw = spark.createDataFrame([], T.StructType([*RAW_FEED.fields, T.StructField("at", T.LongType())]))
+    write_trades(spark.createDataFrame([("T", "X", "1", "1", "B", "S", "2026-10-01")], RAW_FEED), str(tmp_path / "in"), "csv")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # all of the plan is shown
+    try:
+        usable = drop_missing(usable_trades(raw), "timestamp")
+        loaded = stores.first_copies(stores.storable(cleanse_trades(raw, ["at"])))
+        arriving = cleanse_trades(read_arriving_csv(spark, str(tmp_path / "in")), ARRIVAL)
+        for df in (usable, loaded, arriving):
+            capsys.readouterr()
+            df.explain("codegen")
+            sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+            assert sizes and max(sizes) < 8000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 def test_term_and_time_of_day(spark):
     assert one(spark, "Brand#12", lambda c: contains_ignore_case(c, " brand#1 "))
     assert one(spark, "x", lambda c: contains_ignore_case(c, "  "))

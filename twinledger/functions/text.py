@@ -21,7 +21,7 @@ def strip_ws(c: Column) -> Column:
 
 def is_blank(c: Column) -> Column:
     """True for NULL, empty and whitespace-only text."""
-    return c.isNull() | (strip_ws(c) == "")
+    return c.isNull() | ~c.rlike(f"[^{WHITESPACE}]")
 
 
 def contains_ignore_case(c: Column, term: str) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,6 +26,10 @@ _COMPACT_SHAPE = rf"^{_YEAR}\d{{4}}T\d{{6}}Z?$"
 _AROUND = r"^[A-Za-z]{3,9}, (?=\d)| (?:GMT|UTC|Z)$"
 _CENTURY_TURNS = 2068
 
+# Texts that already are what ``format_iso_utc`` writes; the 29th of February goes the long way.
+_DAY_OF_MONTH = r"(?:(?:0[1-9]|1[0-2])-(?:0[1-9]|1\d|2[0-8])|(?:0[13-9]|1[0-2])-(?:29|30)|(?:0[13578]|1[02])-31)"
+_NORMAL_SHAPE = rf"^{_YEAR}-{_DAY_OF_MONTH}T(?:[01]\d|2[0-3]):[0-5]\d:[0-5]\dZ\z"
+
 _NAMED = r"^[A-Za-z]{3} "
 _AFTERNOON = r"(?i) [AP]M$"
 #: Shape of a free-form text, and the one layout that can read it. The first shape that fits decides.
@@ -64,20 +70,31 @@ def _free_form(text: Column, bare: Column) -> Column:
     return found
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once however often it is used.
+
+    An expression that repeats another is written out in full by Spark, and past 8,000 bytes the JVM no longer compiles it.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def parse_timestamp(c: Column) -> Column:
     """Epoch seconds or milliseconds, ISO text, or a known free-form layout; else NULL.
 
     A text is classed by its shape once, and then read by one parser.
     """
-    text = strip_ws(c)
-    bare = F.regexp_replace(text, _AROUND, "")
-    compact = F.try_to_timestamp(F.regexp_replace(text, "Z$", ""), F.lit("yyyyMMdd'T'HHmmss"))
-    return (
-        F.when(text.rlike(_ISO_SHAPE), text.try_cast("timestamp"))
-        .when(text.rlike(_EPOCH_SHAPE), _from_epoch(text))
-        .when(text.rlike(_COMPACT_SHAPE), compact)
-        .when(text.rlike(_FREE_FORM_SHAPE), _free_form(text, bare))
-    )
+
+    def read(text: Column) -> Column:
+        compact = F.try_to_timestamp(F.regexp_replace(text, "Z$", ""), F.lit("yyyyMMdd'T'HHmmss"))
+        free_form = _bound(F.regexp_replace(text, _AROUND, ""), lambda bare: _free_form(text, bare))
+        return (
+            F.when(text.rlike(_ISO_SHAPE), text.try_cast("timestamp"))
+            .when(text.rlike(_EPOCH_SHAPE), _from_epoch(text))
+            .when(text.rlike(_COMPACT_SHAPE), compact)
+            .when(text.rlike(_FREE_FORM_SHAPE), free_form)
+        )
+
+    return _bound(strip_ws(c), read)
 
 
 def format_iso_utc(ts: Column) -> Column:
@@ -86,4 +103,5 @@ def format_iso_utc(ts: Column) -> Column:
 
 
 def normalize_iso8601(c: Column) -> Column:
-    return format_iso_utc(parse_timestamp(c))
+    """Text in any known layout as ``yyyy-MM-ddTHH:mm:ssZ``; what has that form already is not parsed."""
+    return F.when(c.rlike(_NORMAL_SHAPE), c).otherwise(format_iso_utc(parse_timestamp(c)))
