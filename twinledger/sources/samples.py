@@ -157,7 +157,8 @@ def delivery_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Usable trades with every repeated delivery kept, numbered in order of arrival."""
 
     def build() -> DataFrame:
-        usable = drop_missing(usable_trades(raw_trades(spark, sf_dir)), "timestamp")
+        # Written once, as the ranges of the numbering are cut by a pass of its own, which would cleanse the feed again.
+        usable = materialize(drop_missing(usable_trades(raw_trades(spark, sf_dir)), "timestamp"), "usable")
         # Numbering writes the sorted rows once; they are not written again.
         return with_position(usable, ARRIVAL).select(
             *TRADE_COLUMNS,
