@@ -186,6 +186,22 @@ def test_no_step_is_too_long_to_be_compiled(spark, tmp_path, capsys):
         spark.conf.unset("spark.sql.adaptive.enabled")
 
 
+def test_csv_files_grow_in_number(spark, tmp_path, monkeypatch):
+    """No file, and so no task, takes a fixed share of the feed: a quarter of it went to one."""
+    from twinledger.plans import catalog
+
+    monkeypatch.setattr(catalog, "LINES_PER_FILE", 100)
+    written = []
+    cleanse_csv = catalog.cleanse.cleanse_csv
+    monkeypatch.setattr(catalog.cleanse, "cleanse_csv", lambda s, raw, out: (written.append(raw), cleanse_csv(s, raw, out)))
+    sf = "/root/testdata/sf0.001"
+    for name in ("cleanse_from_csv", "cleanse_from_mixed_headers"):
+        catalog.query_catalog()[name](spark, sf)
+    lines = [spark.read.text(raw).groupBy(F.col("_metadata.file_path").alias("file")).count().collect() for raw in written]
+    assert max(r["count"] for r in lines[0]) < 300
+    assert sum("/3/" in r.file for r in lines[1]) > 1
+
+
 def test_term_and_time_of_day(spark):
     assert one(spark, "Brand#12", lambda c: contains_ignore_case(c, " brand#1 "))
     assert one(spark, "x", lambda c: contains_ignore_case(c, "  "))

@@ -25,6 +25,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 ARRIVAL = samples.ARRIVAL
 CHECKPOINT_EVERY = 250
+LINES_PER_FILE = 1_000_000
 TERM = " brand#1 "
 EXPORTED_AT_MS = 1_790_847_000_250
 
@@ -191,11 +192,17 @@ def cleanse_trades_basic(spark, sf):
     return _trades(cleanse.cleanse_trades(samples.dirty_trades(spark, sf), ARRIVAL, strict=False))
 
 
+def _in_files(feed: DataFrame, files: int) -> DataFrame:
+    """A feed in order of arrival, cut into as many files."""
+    return feed.repartitionByRange(files, *ARRIVAL).sortWithinPartitions(*ARRIVAL)
+
+
 @query
 def cleanse_from_csv(spark, sf):
     """Several raw CSV files cleansed into CSV: the first copy of an id is the first by file and line."""
     raw, out = scratch_dir(spark, "raw_csv"), scratch_dir(spark, "cleansed_csv")
-    ordered = samples.raw_trades(spark, sf).repartitionByRange(4, *ARRIVAL).sortWithinPartitions(*ARRIVAL)
+    feed = samples.raw_trades(spark, sf)
+    ordered = _in_files(feed, max(4, feed.count() // LINES_PER_FILE))
     feeds.write_trades(_trades(ordered), raw, "csv")
     cleanse.cleanse_csv(spark, raw, out)
     return _trades(feeds.read_trades_csv(spark, out))
@@ -203,25 +210,27 @@ def cleanse_from_csv(spark, sf):
 
 @query
 def cleanse_from_mixed_headers(spark, sf):
-    """Four files of one feed, each with its own header: the usual one, another order and an unknown column, one identifier
+    """Four folders of one feed, each with its own header: the usual one, another order and an unknown column, one identifier
     absent, and lines too long or too short. Cleansed trades, and the broken lines with their reasons."""
     raw, out = scratch_dir(spark, "mixed_csv"), scratch_dir(spark, "cleansed_csv")
-    ordered = samples.raw_trades(spark, sf).withColumn("part", F.regexp_extract("sell_order_id", "[0-9]+", 0).cast("long") % 4)
+    feed = samples.raw_trades(spark, sf)
+    files = max(1, feed.count() // LINES_PER_FILE // 4)
+    dealt = feed.withColumn("part", F.regexp_extract("sell_order_id", "[0-9]+", 0).cast("long") % 4)
     other = ["timestamp", "instrument", "quantity", "trade_id", "venue", "price", "sell_order_id", "buy_order_id"]
     header = {0: TRADE_COLUMNS, 1: other, 2: [c for c in TRADE_COLUMNS if c != "buy_order_id"], 3: TRADE_COLUMNS}
     for part, names in header.items():
-        some = ordered.filter(F.col("part") == part).withColumn("venue", F.lit("X"))
+        some = _in_files(dealt.filter(F.col("part") == part).withColumn("venue", F.lit("X")), files)
         if part < 3:
-            feeds.write_trades(some.sort(*ARRIVAL).select(*names), f"{raw}/{part}", "csv")
+            feeds.write_trades(some.select(*names), f"{raw}/{part}", "csv")
         else:
             line = F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in names])
             cut = F.when(F.col("trade_id").endswith("1"), F.concat(line, F.lit(",more"))).when(
                 F.col("trade_id").endswith("2"), F.concat_ws(",", "trade_id", "instrument")
             )
-            lines = some.select(F.coalesce(cut, line).alias("value"), *ARRIVAL)
-            first = spark.range(1).select(F.lit(",".join(names)).alias("value"))
-            whole = first.unionByName(lines, allowMissingColumns=True).repartition(1)
-            whole.sortWithinPartitions(*[F.asc_nulls_first(c) for c in ARRIVAL]).select("value").write.text(f"{raw}/{part}")
+            # The header as the name of a single column, and no separator in any line: each file gets its header, lines stay as they are.
+            lines = some.select(F.coalesce(cut, line).alias(",".join(names)))
+            as_is = {"header": True, "sep": "\x01", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+            lines.write.options(**as_is).csv(f"{raw}/{part}")
     cleanse.cleanse_csv(spark, f"{raw}/*", out)
     clean = feeds.read_trades_csv(spark, out).select(*TRADE_COLUMNS, F.lit(None).cast("string").alias("reason"))
     broken = feeds.broken_lines(spark, f"{raw}/*").groupBy(F.col("line_reason").alias("reason")).agg(F.count("*").cast("int").alias("quantity"))
