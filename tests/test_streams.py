@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from twinledger.operators import outcomes, parity, reconcile
 from twinledger.operators import store as stores
+from twinledger.operators import validate
 from twinledger.plans.drills import dual_ingestion, slices_of
 from twinledger.schema import FEED, TRADE_COLUMNS
 from twinledger.sources import topics
@@ -51,6 +52,40 @@ def held(spark, path):
     return {(r.trade_id, r.price) for r in stores.read_store(spark, path).collect()}
 
 
+def test_a_delivery_is_dealt_evenly_over_its_files(spark, tmp_path):
+    """Each half of the feed lies in one split of the input; its consumers are to read it in several tasks."""
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "4k"}
+    before = {name: spark.conf.get(name, None) for name in small}
+    for name, value in small.items():
+        spark.conf.set(name, value)
+    try:
+        feed = trades(spark, 4000)
+        at = dual_ingestion(spark, slices_of(feed, [0, 2000, 4000]), outages(spark, ("PARTITION", 0, 0)), str(tmp_path))
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    files = spark.read.schema(FEED).parquet(at.topic).groupBy(
+        F.floor(F.col("ingest_seq") / 2000).alias("delivery"), F.input_file_name().alias("file")
+    ).count().collect()
+    for delivery in (0, 1):
+        rows = [r["count"] for r in files if r.delivery == delivery]
+        assert sum(rows) == 2000 and max(rows) < 1000
+    assert stores.read_store(spark, at.legacy).count() == len({r.trade_id for r in feed.collect()})
+
+
+def test_set_aside_splits_as_the_reasons_do(spark, tmp_path):
+    texts = ["T1", " T", "\t", "", None, "\u2003", "\u200b", "\u00e9", "\x7f", "\x1f", "~ "]
+    rows = [(t, "A", p, q, "B", "S", "x") for t in texts for p in ("1.00", "0.00", None) for q in (1, 0, None)]
+    given = spark.createDataFrame(rows, "trade_id string, instrument string, p string, quantity int, buy_order_id string, sell_order_id string, timestamp string")
+    given = given.withColumn("price", F.col("p").cast("decimal(15,2)")).drop("p").repartition(1)
+    good = loads.set_aside(given, str(tmp_path), "w", 0)
+    want_good, want_bad = validate.split_checked(validate.with_trade_reasons(given))
+    bad = spark.read.parquet(f"{tmp_path}/writer=w/batch_id=0")
+    assert sorted(map(str, good.collect())) == sorted(map(str, want_good.collect()))
+    assert sorted(map(str, bad.select(*want_bad.columns).collect())) == sorted(map(str, want_bad.collect()))
+    assert {r.trade_id for r in good.collect()} == {"T1", " T", "\u200b", "\u00e9", "\x7f", "~ "}
+
+
 def test_both_consumers_match_the_batch_ledger(spark, drill):
     at, ledger, _, _ = drill
     rows = ledger.collect()

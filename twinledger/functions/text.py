@@ -20,8 +20,12 @@ def strip_ws(c: Column) -> Column:
 
 
 def is_blank(c: Column) -> Column:
-    """True for NULL, empty and whitespace-only text."""
-    return c.isNull() | ~c.rlike(f"[^{WHITESPACE}]")
+    """True for NULL, empty and whitespace-only text.
+
+    A text that begins with a visible ASCII character is told by comparing; only others are searched.
+    """
+    begins = (c >= F.lit("!")) & (c < F.lit("\x7f"))
+    return c.isNull() | ~(begins | c.rlike(f"[^{WHITESPACE}]"))
 
 
 def contains_ignore_case(c: Column, term: str) -> Column:

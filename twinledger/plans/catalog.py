@@ -913,7 +913,7 @@ def stream_two_topics_one_store(spark, sf):
     path = f"{root}/store"
     stores.create_store(spark, path)
     for name, part in (("a", slices_of(feed, [0, n // 2])[0]), ("b", slices_of(feed, [n // 4, n])[0])):
-        topics.publish(part, f"{root}/{name}")
+        topics.publish(part, f"{root}/{name}", spread=True)
         stream = topics.subscribe(spark, f"{root}/{name}")
         loads.drain(loads.load_legacy(stream, path, f"{root}/checkpoint_{name}"))
     return _trades(stores.read_store(spark, path))
@@ -949,7 +949,7 @@ def _stream_outcomes(spark, sf) -> DataFrame:
     topic, path = topics.topic_path(root), f"{root}/store"
     stores.create_store(spark, path)
     for part in slices_of(feed, samples.drill_cuts(n)):
-        topics.publish(part, topic)
+        topics.publish(part, topic, spread=True)
         load = loads.load_cloud(
             topics.subscribe(spark, topic), path, f"{root}/letters", lambda: samples.drill_outages(spark, n),
             f"{root}/checkpoint", quarantine=f"{root}/quarantine", outcomes=f"{root}/outcomes",

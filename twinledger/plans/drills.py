@@ -54,7 +54,7 @@ def dual_ingestion(
     create_store(spark, at.legacy)
     create_store(spark, at.cloud)
     for delivery in deliveries:
-        publish(delivery, at.topic)
+        publish(delivery, at.topic, spread=True)
         loads = [
             load_legacy(subscribe(spark, at.topic), at.legacy, f"{root}/checkpoints/legacy"),
             load_cloud(

@@ -16,9 +16,18 @@ def topic_path(root: str, topic: str = DEFAULT_TOPIC) -> str:
     return f"{root.rstrip('/')}/{topic}"
 
 
-def publish(trades: DataFrame, path: str) -> None:
-    """Add trades to a topic folder. Each call is delivered after the calls before it."""
-    trades.select(*FEED.fieldNames()).write.mode("append").parquet(path)
+def publish(trades: DataFrame, path: str, spread: bool = False) -> None:
+    """Add trades to a topic folder. Each call is delivered after the calls before it.
+
+    The files follow the input's own splits, of which a part of a feed may fill a few only. ``spread`` deals the
+    rows evenly, so that every consumer reads them in as many tasks; copies of an id may then lie in any file of
+    the call, so its consumers must take the whole call in one trigger.
+    """
+    rows = trades.select(*FEED.fieldNames())
+    if spread:
+        # Positions are unique, so no key is frequent; the number of files follows from the size.
+        rows = rows.repartition("ingest_seq")
+    rows.write.mode("append").parquet(path)
 
 
 def subscribe(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:

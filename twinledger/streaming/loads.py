@@ -62,9 +62,10 @@ def refused_path(store: str) -> str:
 
 def set_aside(rows: DataFrame, quarantine: str, writer: str, batch_id: int) -> DataFrame:
     """The rows that a store accepts; the others go to ``quarantine`` with reasons."""
-    good, bad = split_checked(with_trade_reasons(rows))
+    # Reasons are worked out for the rows that need them; a row without any is a valid one.
+    bad = with_trade_reasons(rows.filter(~trade_is_valid()))
     write_batch(bad, quarantine, writer, batch_id)
-    return good
+    return rows.filter(trade_is_valid())
 
 
 def load_legacy(
