@@ -235,3 +235,41 @@ def test_sketches_merge_and_estimate(spark):
     )
     got = dict(map(tuple, fingerprints.merged(parts, "k", "f").collect()))
     assert (fingerprints.decode(got["x"]) == both[: fingerprints.K]).all() and got["y"] == fingerprints.encode(sa) and got["z"] == ""
+
+
+def test_windows_are_sampled_in_one_pass(spark, monkeypatch, capsys):
+    monkeypatch.setattr(secret_scan, "LEARN_WINDOWS", 3)
+    monkeypatch.setattr(secret_scan, "LEARN_PLAIN", 5)
+    docs = spark.createDataFrame(secret_rows(), DOC_SCHEMA).repartition(3)
+    sample = secret_scan.sample_windows(docs)
+    sample.explain()
+    shown = capsys.readouterr().out
+    assert len([line for line in shown.splitlines() if "ArrowEvalPython" in line]) == 1 and "WindowGroupLimit" in shown
+    every = docs.select(F.explode(secret_scan.windows_column(F.col("text"))).alias("w")).select("w.*")
+    every = every.withColumn("hash", F.xxhash64("window")).orderBy("hash", "window", "at").collect()
+    want = [r.window for r in every if r["at"]][:3] + [r.window for r in every if not r["at"]][:5]
+    assert [r.window for r in sample.orderBy("plain", "rank").collect()] == want
+
+
+def test_patterns_and_shapes_by_shortcut_are_the_same():
+    rng = random.Random(5)
+    parts = ["Pass", "WORD", "password", "apİ_key", "Api_Key", "API", "KEY", "=", ": ", "'", "AKIA", "ABCDEFGH12345678", "é", "ſecret", "K", "\ud800",
+             "secret", "TOKEN", "0123456789abcdef", "deadbeef", "f", "x", " ", "\n", "hunter22", "İ"]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 12)))
+        want = [(m.start(), 0, m.end(), m.start(2)) for m in secret_scan._ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 6]
+        want += [(m.start(), 1, m.end(), m.start()) for m in secret_scan._ACCESS.finditer(text) if m.end() - m.start() >= 20]
+        want += [(m.start(), 2, m.end(), m.start()) for m in secret_scan._HEX.finditer(text)]
+        assert secret_scan.pattern_spans(text) == sorted(want)
+    for word in ["a", "fade", "Fade", "A", "AB", "aB", "Word", "mixedCase", "x9", "É", "été", "_", "z"]:
+        signs, size, turns, _, glued = secret_scan.shape_of(" " + word)
+        assert (signs, size, glued) == (secret_scan._signs(word), secret_scan._bucket(len(word)), False)
+        assert turns == secret_scan._bucket(len(secret_scan._TURN.findall(word)))
+    field = secret_scan.Field()
+    field.emit[:] = np.random.default_rng(3).normal(size=field.emit.shape)
+    tagger = secret_scan.Tagger(field)
+    for text in ["one two", "two three two one", "password= Hunter22! one"]:  # places are given as tokens come
+        numbers = secret_scan.chain_features(text)
+        bare = secret_scan.Tagger(field).scores(text)
+        assert np.allclose(tagger.scores(text), bare) and len(bare) == len(numbers)
+        assert np.allclose(bare, field.emit[numbers].sum(1))

@@ -23,10 +23,11 @@ import random
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 LEARN_WINDOWS = 600  # with a value; of those without one LEARN_PLAIN
@@ -49,11 +50,23 @@ _KEYWORD = re.compile(r"(?:pass|pwd|secret|token|api_?key|key|auth|cred)[a-z_]*$
 _OUT, _BEGIN, _IN = 0, 1, 2
 
 
+_ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
+_HEX_THIRDS = re.compile(r"[0-9a-f]{8}")
+
+
 def pattern_spans(text: str) -> list[tuple[int, int, int, int]]:
-    """(start, kind, end, start of the value), by start and kind."""
-    found = [(m.start(), 0, m.end(), m.start(2)) for m in _ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 6]
-    found += [(m.start(), 1, m.end(), m.start()) for m in _ACCESS.finditer(text) if m.end() - m.start() >= 20]
-    found += [(m.start(), 2, m.end(), m.start()) for m in _HEX.finditer(text)]
+    """(start, kind, end, start of the value), by start and kind.
+
+    A pattern runs only where it can match: an assignment needs its word, and of 24 hex digits in a row every third is one too.
+    """
+    found = []
+    lowered = text.lower()  # ASCII letters keep to themselves, so no word is lost
+    if any(word in lowered for word in _ASSIGN_WORDS):
+        found += [(m.start(), 0, m.end(), m.start(2)) for m in _ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 6]
+    if "AKIA" in text:
+        found += [(m.start(), 1, m.end(), m.start()) for m in _ACCESS.finditer(text) if m.end() - m.start() >= 20]
+    if _HEX_THIRDS.search(text[::3]):
+        found += [(m.start(), 2, m.end(), m.start()) for m in _HEX.finditer(text)]
     return sorted(found)
 
 
@@ -101,6 +114,11 @@ FEATURES = OWN + SIDE + BEHIND + KEYED + 1
 def shape_of(token: str) -> tuple[str, int, int, int, bool]:
     """Signs, size, turns, share of vowels, and whether no blank stands in front. Few shapes cover most tokens."""
     word = token.lstrip()
+    if word.isalpha() and word.isascii() and (word.islower() or len(word) > 1 and word[1:].islower()):
+        # The common case by plain tests: no digit, no underscore and no turn.
+        vowels = sum(map(word.count, "aeiouAEIOU"))
+        signs = "Aa" if word[0] < "a" else "a" if word.strip("abcdef") else "ah"
+        return signs, _bucket(len(word)), 0, 5 * vowels // len(word), len(word) == len(token)
     lowered = word.lower()
     vowels = 5 * (len(lowered) - len(lowered.translate(_NO_VOWELS))) // len(lowered)
     return _signs(word), _bucket(len(word)), _bucket(len(_TURN.findall(word))), vowels, len(word) == len(token)
@@ -117,10 +135,14 @@ def shape_features(shape: tuple[str, int, int, int, bool]) -> list[int]:
     return [_number(n) for n in names]
 
 
+# The sum of a name goes on from that of its first word.
+_IS, _BEFORE, _BEHIND = map(zlib.crc32, (b"is ", b"before ", b"behind "))
+
+
 def word_features(token: str) -> tuple[int, int, int]:
     """Numbers of the word itself, as the one before and as the one behind."""
-    known = token.lstrip()[:24].lower()
-    return _number("is " + known), _number("before " + known), _number("behind " + known)
+    known = token.lstrip()[:24].lower().encode("utf-8", "surrogatepass")
+    return zlib.crc32(known, _IS) % SPACE, zlib.crc32(known, _BEFORE) % SPACE, zlib.crc32(known, _BEHIND) % SPACE
 
 
 def type_features(token: str) -> list[int]:
@@ -373,14 +395,22 @@ def training_chains(windows: list[tuple[str, list[tuple[int, int]]]]) -> list[np
     return [c[i : i + LONGEST_CHAIN] for c in chains for i in range(0, len(c), LONGEST_CHAIN)]
 
 
-def learn(docs: DataFrame) -> Field | None:
-    """Fit the field on a bounded sample of windows, those with the smallest hash of their text."""
+def sample_windows(docs: DataFrame) -> DataFrame:
+    """A bounded sample of windows, those of either kind with the smallest hash of their text.
+
+    Both kinds are ranked in one pass over the texts; Spark limits each to its first before the shuffle.
+    """
     every = docs.select(F.explode(windows_column(F.col("text"))).alias("w")).select("w.*")
-    chosen = [
-        every.filter(keep).orderBy(F.xxhash64("window"), "window", "at").limit(most)
-        for keep, most in ((F.col("at") != "", LEARN_WINDOWS), (F.col("at") == "", LEARN_PLAIN))
-    ]
-    rows = chosen[0].unionByName(chosen[1]).collect()  # a bounded number of windows of bounded length
+    ranked = every.withColumn("plain", F.col("at") == "").withColumn("hash", F.xxhash64("window"))
+    order = Window.partitionBy("plain").orderBy("hash", "window", "at")
+    first = ranked.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= max(LEARN_PLAIN, LEARN_WINDOWS))
+    return first.filter(F.col("rank") <= F.when(F.col("plain"), LEARN_PLAIN).otherwise(LEARN_WINDOWS))
+
+
+def learn(docs: DataFrame) -> Field | None:
+    """Fit the field on a sample of windows."""
+    # A bounded number of windows of bounded length.
+    rows = sorted(sample_windows(docs).collect(), key=lambda r: (r.plain, r.rank))
     windows = [(r.window, [tuple(map(int, v.split(":"))) for v in r["at"].split(",") if v]) for r in rows]
     if not any(values for _, values in windows):
         return None
@@ -390,6 +420,14 @@ def learn(docs: DataFrame) -> Field | None:
 # --- Tagging ------------------------------------------------------------------------------------
 
 
+class _Places(dict):
+    """A place for every token, given when it is first asked for."""
+
+    def __missing__(self, token: str) -> int:
+        place = self[token] = len(self)
+        return place
+
+
 class Tagger:
     """Scores of tokens under a field; what a distinct token adds is worked out once.
 
@@ -403,32 +441,32 @@ class Tagger:
         self._forget()
 
     def _forget(self) -> None:
-        self.places: dict[str, int] = {}
-        self.shapes: dict[tuple, np.ndarray] = {}
+        self.places = _Places()
+        self.shapes: dict[tuple, int] = {}
+        self.sums: list[np.ndarray] = []
         self.parts = [np.zeros((1024, 3)) for _ in range(4)]
         self.kinds = np.zeros((1024, 2), bool)
 
-    def _learn_types(self, tokens: set[str]) -> None:
-        """Take in tokens that were not met before."""
-        new = sorted(tokens.difference(self.places))
-        if not new:
-            return
-        first, last = len(self.places), len(self.places) + len(new)
+    def _learn_types(self, new: list[str]) -> None:
+        """Take in tokens that were not met before, the last to get their places."""
+        last = len(self.places)
+        first = last - len(new)
         while last > len(self.kinds):
             self.parts = [np.concatenate([part, np.zeros_like(part)]) for part in self.parts]
             self.kinds = np.concatenate([self.kinds, np.zeros_like(self.kinds)])
         shapes = []
-        for token in new:
-            shape = shape_of(token)
-            if shape not in self.shapes:
-                self.shapes[shape] = np.add.reduceat(self.field.emit[shape_features(shape)], (0, 7, 8, 10))
-            shapes.append(self.shapes[shape])
-        summed = np.array(shapes)
+        for shape in map(shape_of, new):
+            at = self.shapes.get(shape)
+            if at is None:
+                at = self.shapes[shape] = len(self.sums)
+                self.sums.append(np.add.reduceat(self.field.emit[shape_features(shape)], (0, 7, 8, 10)))
+            shapes.append(at)
+        known = sorted(set(shapes))
+        summed = np.array([self.sums[at] for at in known])[np.searchsorted(known, shapes)]
         words = self.field.emit[np.array([word_features(t) for t in new])]
         for part in range(4):
             self.parts[part][first:last] = summed[:, part] + (words[:, part] if part < 3 else 0)
         self.kinds[first:last] = [kind_of(t) for t in new]
-        self.places.update(zip(new, range(first, last)))
 
     def scores(self, text: str) -> np.ndarray:
         """Scores per tag of every token."""
@@ -437,8 +475,10 @@ class Tagger:
             return np.zeros((0, 3))
         if len(self.places) > MOST_TYPES:
             self._forget()
-        self._learn_types(set(words))
+        before_these = len(self.places)
         at = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
+        if len(self.places) > before_these:
+            self._learn_types(list(islice(reversed(self.places), len(self.places) - before_these))[::-1])
         own, before, behind, keyed = self.parts
         total = own.take(at, 0)
         total += self.unkeyed + self.field.emit[traits_of(text, len(words))]
