@@ -36,7 +36,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from twinledger.llm.common import utf8
@@ -47,6 +47,7 @@ MOST_SEGMENTS = 20_000
 BUCKET_BYTES = 64 << 20
 SEARCH_BYTES = 1 << 20
 NO_ID = (1 << 63) - 1
+MOST_COUNTED = 30_000
 _BLOCK_BITS = 20
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -109,7 +110,7 @@ def _keys(hashes: np.ndarray, buckets: int) -> np.ndarray:
 # 1. Anchors that more than one document has
 
 
-_ANCHOR_ROWS = "bucket int, sure boolean, keys array<int>, docs array<smallint>, uids array<long>"
+_ANCHOR_ROWS = "bucket int, sure boolean, keys array<int>, counts array<smallint>, uids array<long>"
 
 
 def _list(values: np.ndarray, cuts: np.ndarray, kind: pa.DataType) -> pa.ListArray:
@@ -136,16 +137,20 @@ def _send_anchors(buckets: int):
             for sure, pick in ((False, first), (True, again)):
                 k, d = key[pick], doc[pick]
                 to = (d.astype(np.int64) if sure else k >> 32) % buckets
-                order = np.argsort(to, kind="stable")
+                # Document by document, so that a row says how many keys each has, not whose each key is.
+                order = np.lexsort((d, to))
                 k, d, to = k[order], d[order], to[order]
                 if not len(k):
                     continue
                 cuts = np.append(np.flatnonzero(np.append(True, to[1:] != to[:-1])), len(to))
-                parts = [np.unique(d[a:b], return_inverse=True) for a, b in zip(cuts, cuts[1:])]
-                homes = np.append(0, np.cumsum([len(p[0]) for p in parts]))
+                # A count is of 16 bits; a document with more keys than that is listed again.
+                heads = np.append(True, (d[1:] != d[:-1]) | (to[1:] != to[:-1]))
+                since = np.arange(len(d)) - np.maximum.accumulate(np.where(heads, np.arange(len(d)), 0))
+                heads = np.flatnonzero(since % MOST_COUNTED == 0)
+                counts = np.diff(np.append(heads, len(d))).astype(np.int16)
+                homes = np.searchsorted(heads, cuts)
                 low = (k & 0xFFFFFFFF).astype(np.uint32).view(np.int32)
                 # A sure row is told its bucket besides, as it does not lie there.
-                docs = np.concatenate([p[1] for p in parts]).astype(np.int16)
                 if sure:
                     pairs = np.empty(2 * len(k), np.int32)
                     pairs[0::2], pairs[1::2] = low, (k >> 32).astype(np.int32)
@@ -154,10 +159,10 @@ def _send_anchors(buckets: int):
                     listed = _list(low, cuts, pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(to[cuts[:-1]], pa.int32()), pa.array([sure] * len(parts)), listed,
-                        _list(docs, cuts, pa.int16()), _list(uids[np.concatenate([p[0] for p in parts])], homes, pa.int64()),
+                        pa.array(to[cuts[:-1]], pa.int32()), pa.array([sure] * (len(cuts) - 1)), listed,
+                        _list(counts, homes, pa.int16()), _list(uids[d[heads]], homes, pa.int64()),
                     ],
-                    names=["bucket", "sure", "keys", "docs", "uids"],
+                    names=["bucket", "sure", "keys", "counts", "uids"],
                 )
 
     return run
@@ -168,9 +173,9 @@ def _find_repeated(rows: pa.Table) -> pa.Table:
     bucket = rows.column("bucket")[0].as_py() if rows.num_rows else 0
     key, uid, known_key, known_uid = [], [], [], []
     for batch in rows.to_batches():
-        for sure, keys, docs, uids in zip(*(batch.column(n) for n in ("sure", "keys", "docs", "uids"))):
+        for sure, keys, counts, uids in zip(*(batch.column(n) for n in ("sure", "keys", "counts", "uids"))):
             low = keys.values.to_numpy(zero_copy_only=False)
-            owner = uids.values.to_numpy(zero_copy_only=False)[docs.values.to_numpy(zero_copy_only=False)]
+            owner = np.repeat(uids.values.to_numpy(zero_copy_only=False), counts.values.to_numpy(zero_copy_only=False))
             if sure.as_py():
                 known_key.append((low[1::2].astype(np.int64) << 32) | low[0::2].view(np.uint32))
                 known_uid.append(owner)
@@ -206,11 +211,18 @@ def _segments(text: bytes, wanted: list[int], buckets: int) -> Iterator[tuple[in
         yield key, at - a, a, text[a : b + LENGTH]
 
 
-_PLACE_ROWS = "key long, sure boolean, name long, uid long, place long, at int, strings int"
+# ``span`` is a segment's first string and how many it has, as ``_span``. Where it is negative the place is sure: it is
+# -1 less the first byte of a run of segments that repeat, and ``name`` the end of that run.
+_PLACE_ROWS = "key long, name long, uid long, place long, span long"
+_MOST_STRINGS = LENGTH - PIECE + 1
+
+
+def _span(at: int, strings: int) -> int:
+    return at * _MOST_STRINGS + strings - 1
 
 
 def _each_place(buckets: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, least = [], {}
             for uid, place, text, wanted in zip(*(batch.column(n) for n in ("uid", "place", "text", "wanted"))):
@@ -219,19 +231,27 @@ def _each_place(buckets: int):
                     name = xxhash.xxh3_64_intdigest(segment, offset) - (1 << 63)
                     rows.append((key, name, home, own, at, len(segment) - LENGTH + 1))
                     least[key, name] = min(own, least.get((key, name), own))
-            if not rows:
-                continue
-            # What stands in an earlier document of this very task needs no more comparing, and goes
-            # to any task at all, not to its anchor's.
-            sure = [own > least[key, name] for key, name, _, own, _, _ in rows]
-            keys, names, homes, owns, ats, strings = zip(*rows)
-            keys = [home if known else key for key, home, known in zip(keys, homes, sure)]
-            columns = [keys, sure, names, homes, owns, ats, strings]
-            types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
-            labels = ["key", "sure", "name", "uid", "place", "at", "strings"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=labels)
+            # What stands in an earlier document of this very task needs no more comparing. It goes to any task
+            # at all, not to its anchor's, and what overlaps or touches in a document as one.
+            sent, run = [], None
+            for key, name, home, own, at, strings in rows:
+                if own <= least[key, name]:
+                    sent.append((key, name, home, own, _span(at, strings)))
+                    continue
+                end = at + strings + LENGTH - 1
+                if run and run[0] == home and run[1] == own and run[2] <= at <= run[3]:
+                    run[3] = max(run[3], end)
+                    continue
+                if run:
+                    sent.append((run[0], run[3], run[0], run[1], -1 - run[2]))
+                run = [home, own, at, end]
+            if run:
+                sent.append((run[0], run[3], run[0], run[1], -1 - run[2]))
+            if sent:
+                labels = ["key", "name", "uid", "place", "span"]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*sent)], names=labels)
 
-    return run
+    return run_batches
 
 
 # 3. Backward extension
@@ -372,12 +392,14 @@ def remove_repeats(docs: DataFrame, most_segments: int = MOST_SEGMENTS) -> DataF
     marked = places.withColumn("least", F.min("place").over(segment)).withColumn(
         "several", F.min("name").over(anchor) != F.max("name").over(anchor)
     )
-    end = F.col("at") + F.col("strings") + (LENGTH - 1)
-    later = marked.filter(F.col("sure") | (F.col("place") > F.col("least"))).select("uid", "place", F.col("at").alias("a"), end.alias("b"))
+    sure = F.col("span") < 0
+    a = F.when(sure, -1 - F.col("span")).otherwise(_at()).cast("int")
+    b = F.when(sure, F.col("name")).otherwise(_at() + _strings() + (LENGTH - 1)).cast("int")
+    later = marked.filter(sure | (F.col("place") > F.col("least"))).select("uid", "place", a.alias("a"), b.alias("b"))
     firsts = (
-        marked.filter(~F.col("sure") & (F.col("place") == F.col("least")) & F.col("several"))
+        marked.filter(~sure & (F.col("place") == F.col("least")) & F.col("several"))
         .withColumn("n", F.count("*").over(anchor))
-        .select("key", "uid", F.col("place").alias("first"), "at", "strings", (F.col("n") > most_segments).alias("busy"))
+        .select("key", "uid", F.col("place").alias("first"), "span", (F.col("n") > most_segments).alias("busy"))
     )
     bucket = F.pmod(F.xxhash64("key"), F.lit(4 * tasks)).alias("bucket")
     light = _with_text(firsts.filter(~F.col("busy")), dealt).select(bucket, "key", "uid", "place", "at", "segment")
@@ -407,11 +429,21 @@ def remove_repeats(docs: DataFrame, most_segments: int = MOST_SEGMENTS) -> DataF
     )
 
 
+def _at() -> Column:
+    """A segment's first string, out of its ``span``."""
+    return F.expr(f"span div {_MOST_STRINGS}")
+
+
+def _strings() -> Column:
+    return F.col("span") % _MOST_STRINGS + 1
+
+
 def _with_text(firsts: DataFrame, dealt: DataFrame) -> DataFrame:
     """Add ``segment``. The places are compared by order, as an equality would deal the texts anew."""
     joined = dealt.join(firsts, "uid").filter((F.col("place") <= F.col("first")) & (F.col("place") >= F.col("first")))
-    text = F.substring(F.col("text"), F.col("at") + 1, F.col("strings") + (LENGTH - 1))
-    return joined.select("key", "uid", "place", "at", "strings", text.alias("segment"))
+    at, strings = _at().cast("int"), _strings().cast("int")
+    text = F.substring(F.col("text"), at + 1, strings + (LENGTH - 1))
+    return joined.select("key", "uid", "place", at.alias("at"), strings.alias("strings"), text.alias("segment"))
 
 
 def _one_by_one(heavy: DataFrame) -> DataFrame:
